@@ -2,10 +2,13 @@
 
 from larkspur.plans.queries import (  # noqa: F401
     evaluation,
+    features,
     joins,
+    models,
     monitoring,
     preparation,
     sampling,
     sources,
+    streams,
     tables,
 )
