@@ -7,8 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tokens read as null in CSV text.
-NULL_TOKENS = ("NA", "N/A", "", "null")
+# Tokens read as null in CSV text, the usual four and the others pandas knows.
+NULL_TOKENS = (
+    *("NA", "N/A", "", "null"),
+    *("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>"),
+    *("NULL", "NaN", "None", "n/a", "nan"),
+)
 
 # Declared dtype name -> Spark type.
 DTYPES = {

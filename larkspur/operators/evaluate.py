@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from larkspur.functions.columns import ratio
 from larkspur.operators.curves import curve_summary
@@ -17,10 +18,20 @@ from larkspur.operators.curves import curve_summary
 METRICS = ("accuracy", "precision", "recall", "f1")
 
 
+def _common_type(df: DataFrame, *columns: str) -> str:
+    """Type in which the columns can be compared: their own, or double, or text."""
+    kinds = [df.schema[c].dataType for c in columns]
+    if len({k.simpleString() for k in kinds}) == 1:
+        return kinds[0].simpleString()
+    return "double" if all(isinstance(k, NumericType) for k in kinds) else "string"
+
+
 def pair_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count("*").alias("n")
-    )
+    """Rows per (true, predicted) class; both classes in one type."""
+    kind = _common_type(df, label, prediction)
+    return df.groupBy(
+        *by, F.col(label).cast(kind).alias("label"), F.col(prediction).cast(kind).alias("prediction")
+    ).agg(F.count("*").alias("n"))
 
 
 def class_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +46,7 @@ def class_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str]
         F.when(same, 0).otherwise(F.col("n")).alias("fn"),
     )
     other = F.struct(
-        F.col("prediction").cast(df.schema[label].dataType).alias("class"),
+        F.col("prediction").alias("class"),
         F.lit(0).cast("long").alias("tp"),
         F.when(same, 0).otherwise(F.col("n")).alias("fp"),
         F.lit(0).cast("long").alias("fn"),
@@ -104,16 +115,12 @@ def classification_metrics(
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Every (true, predicted) pair of the classes seen, with its count and its share of the true class."""
     pairs = pair_counts(df, label, prediction)
-    kind = df.schema[label].dataType
-    seen = pairs.select(
-        F.explode(F.array("label", F.col("prediction").cast(kind))).alias("label")
-    ).distinct()
+    seen = pairs.select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
     # The window is over the distinct classes only.
     grid = seen.withColumn("_all", F.collect_set("label").over(Window.partitionBy())).select(
         "label", F.explode("_all").alias("prediction")
     )
-    counted = pairs.withColumn("prediction", F.col("prediction").cast(kind))
-    filled = grid.join(counted, ["label", "prediction"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    filled = grid.join(pairs, ["label", "prediction"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     row = F.sum("n").over(Window.partitionBy("label"))
     return filled.withColumn("share", F.when(row > 0, F.col("n") / row))
 
@@ -128,12 +135,9 @@ def champion_verdict(
     if score:
         metric = "roc_auc"
     names = {"challenger": challenger, **({"champion": champion} if champion else {})}
-    tall = df.select(
-        F.col(label).alias("label"),
-        F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.col(v).alias("value")) for k, v in names.items()])).alias(
-            "m"
-        ),
-    ).select("label", "m.*")
+    kind = _common_type(df, *names.values())
+    values = [F.struct(F.lit(k).alias("model"), F.col(v).cast(kind).alias("value")) for k, v in names.items()]
+    tall = df.select(F.col(label).alias("label"), F.explode(F.array(*values)).alias("m")).select("label", "m.*")
     if score:
         table = curve_summary(tall, "label", "value", ["model"])
     else:

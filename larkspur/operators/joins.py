@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.workspace import materialize
@@ -49,10 +50,15 @@ def training_set(
 ) -> DataFrame:
     """Base rows with their features: as many rows as the base, a missing key gives nulls, the label comes last.
 
+    The keys of a lookup table must be unique; ``feature_table.check_keys`` tells.
+
     With ``time`` (base column) and a lookup's own ``time``, the features are those valid at that moment.
     """
     rows = base
     for one in fuse(lookups):
+        taken = set(rows.columns) & set(one.features)
+        if taken:
+            raise ValueError(f"features {sorted(taken)} are already in the base rows")
         if time is not None and one.time is not None:
             rows = as_of_join(rows, one.table, one.base_names(), time, one.time, one.features, one.keys)
             continue
@@ -96,6 +102,10 @@ def as_of_join(
     sorted in pieces of time on many tasks, and the last feature of each piece is carried to that key's later pieces.
     """
     feature_keys = list(feature_keys or keys)
+    # Rows without key or time match nothing and need no sorting.
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, base_time)])
+    unmatched = base.where(~complete)
+    base, features = base.where(complete), features.dropna(subset=[*feature_keys, feature_time])
     side = features.select(
         *[F.col(f).alias(k) for f, k in zip(feature_keys, keys, strict=True)],
         F.col(feature_time).cast("timestamp").alias("_time"),
@@ -120,13 +130,12 @@ def as_of_join(
         .orderBy("_time", "_kind", "_feature")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    # A base row without a time matches nothing.
-    last = F.when(F.col("_time").isNotNull(), F.last("_feature", ignorenulls=True).over(upto))
-    return (
-        both.withColumn("_found", last)
+    found = (
+        both.withColumn("_found", F.last("_feature", ignorenulls=True).over(upto))
         .where(F.col("_kind") == 1)
         .select("_base.*", *[F.col(f"_found.{c}").alias(c) for c in columns])
     )
+    return found.unionByName(unmatched, allowMissingColumns=True)
 
 
 def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, n_hot: int, pieces: int) -> DataFrame:
@@ -163,10 +172,10 @@ def attach_label(df: DataFrame, sources: Sequence[DataFrame], key: str, label: s
 
     The sources become one table with one label per key, so a repeated key cannot multiply rows, and one join is enough.
     """
-    ranked = None
-    for i, source in enumerate(sources):
-        part = source.select(key, F.struct(F.lit(i).alias("source"), F.col(label).alias("label")).alias("_pick"))
-        part = part.where(F.col("_pick.label").isNotNull())
-        ranked = part if ranked is None else ranked.unionByName(part)
-    one = ranked.groupBy(key).agg(F.min("_pick").alias("_pick")).select(key, F.col("_pick.label").alias(name))
-    return df.join(one, key, "left")
+    marked = [
+        source.select(key, F.lit(i).alias("_source"), F.col(label).alias(name)) for i, source in enumerate(sources)
+    ]
+    # One plain column per source keeps this a hash aggregation, reduced before the shuffle.
+    picks = [F.min(F.when(F.col("_source") == i, F.col(name))) for i in range(len(sources))]
+    labels = reduce(DataFrame.unionByName, marked).groupBy(key).agg(F.coalesce(*picks).alias(name))
+    return df.join(labels, key, "left")

@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     NaiveBayes,
+    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -54,6 +55,8 @@ _KNOWN: dict[str, tuple[type, dict[str, str], dict[str, Any]]] = {
     **{name: (GBTClassifier, _BOOST, {}) for name in ("gradient_boosting", "lightgbm", "xgboost", "catboost")},
 }
 _SEEDED = (RandomForestClassifier, DecisionTreeClassifier, GBTClassifier)
+# Fitted once per class when there are more.
+_TWO_CLASSES = (GBTClassifier, LinearSVC)
 CLASSIFIERS = (*_KNOWN, "knn")
 
 
@@ -126,6 +129,8 @@ class ModelPlan:
             return FittedModel(steps, neighbours=classifier.fit(rows))
         training = rows.select("_label", FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if isinstance(classifier, _TWO_CLASSES) and training.select("_label").distinct().limit(3).count() > 2:
+                classifier = OneVsRest(classifier=classifier, featuresCol=FEATURES, labelCol="_label")
             return FittedModel(PipelineModel([*steps.stages, classifier.fit(training)]))
         finally:
             training.unpersist()
@@ -157,7 +162,10 @@ class FittedModel:
     neighbours: NeighbourClassifier | None = None
 
     def score(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-        """The input with ``prediction`` and ``probability``, the probability of class 1 (null for the linear SVM)."""
+        """The input with ``prediction`` and ``probability``, the probability of class 1.
+
+        The linear SVM, and boosted trees of more than two classes, give no probability.
+        """
         if self.neighbours is not None:
             return self._vote(df, keys)
         scored = self.spark_model.transform(df)

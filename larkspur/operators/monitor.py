@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from larkspur.functions.columns import ratio
 from larkspur.operators.joins import attach_label
 from larkspur.operators.tables import insert_by_name, save_table, table_exists
+from larkspur.workspace import materialize
 
 # Profile window and the smallest accepted mean of weighted F1 x 100.
 WINDOW = "30 minutes"
 FLOOR = 75.0
 
+# Rank error of at most one in a thousand; keeps a window's sketch to a few kilobytes.
+_MEDIAN_ACCURACY = 1_000
+
 _COMPARE = {
     "LESS_THAN": operator.lt,
     "LESS_THAN_OR_EQUAL": operator.le,
@@ -47,10 +51,11 @@ def append_new(spark: SparkSession, rows: DataFrame, table: str, keys: Sequence[
     if not table_exists(spark, table):
         save_table(dated.dropDuplicates(list(keys)), table, "error", partition_by=["event_date"], audit=False)
         return
-    # Only the days that the new rows span are read from the table.
-    first, last = dated.agg(F.min("event_date"), F.max("event_date")).first()
+    # Parsed and joined once; only the days the new rows span are read from the table.
+    arrived = materialize(dated, "arrived")
+    first, last = arrived.agg(F.min("event_date"), F.max("event_date")).first()
     held = spark.table(table).where(F.col("event_date").between(first, last))
-    insert_by_name(new_rows(dated, held, keys).hint("rebalance", "event_date"), table)
+    insert_by_name(new_rows(arrived, held, keys).hint("rebalance", "event_date"), table)
 
 
 def profile_columns(
@@ -71,7 +76,7 @@ def profile_columns(
             F.stddev(c).alias(f"{c}_stddev"),
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
-            F.approx_percentile(c, 0.5).alias(f"{c}_median"),
+            F.approx_percentile(c, 0.5, _MEDIAN_ACCURACY).alias(f"{c}_median"),
         ]
     variation = F.sum(y * y) - F.sum(y) * F.sum(y) / n
     columns += [

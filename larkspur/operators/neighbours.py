@@ -237,7 +237,7 @@ def smote(
     near = nearest(minority, minority, k, same=True).select(
         F.col("id").alias(key), "rank", "neighbour"
     )
-    other = df.select(F.col(key).alias("neighbour"), F.col(vector).cast("array<double>").alias("_other"))
+    other = minority.select(F.col("id").alias("neighbour"), F.col("vector").alias("_other"))
     between = F.zip_with(
         F.col(vector).cast("array<double>"), "_other", lambda a, b: a + F.col("share") * (b - a)
     )

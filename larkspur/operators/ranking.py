@@ -87,14 +87,8 @@ class RankIndex:
 
         Only prefixes that some pick falls into are read and numbered.
         """
-        spark = self.rows.sparkSession
-        steps = F.broadcast(
-            spark.createDataFrame(
-                [(c, max(1, n // _PREFIXES)) for c, n in self.totals.items()], "_class string, _step long"
-            )
-        )
         # Prefixes and picks meet on a block of ranks; an evenly filled prefix covers one or two blocks.
-        blocks = self.spans.join(steps, "_class").select(
+        blocks = self._with_step(self.spans).select(
             "_class",
             "_prefix",
             "_ahead",
@@ -102,7 +96,7 @@ class RankIndex:
             F.explode(F.expr("sequence(_ahead div _step, (_ahead + _n - 1) div _step)")).alias("_block"),
         )
         placed = (
-            picks.join(steps, "_class")
+            self._with_step(picks)
             .withColumn("_block", F.expr("_rank div _step"))
             .drop("_step")
             .join(blocks, ["_class", "_block"])
@@ -118,6 +112,14 @@ class RankIndex:
         )
         return placed.join(numbered, ["_class", "_prefix", "_inner"]).drop("_prefix", "_inner")
 
+    def _with_step(self, df: DataFrame) -> DataFrame:
+        """Add the number of ranks per block of the row's class."""
+        steps = {c: max(1, n // _PREFIXES) for c, n in self.totals.items()}
+        if len(steps) == 1:
+            return df.withColumn("_step", F.lit(next(iter(steps.values()))).cast("long"))
+        table = df.sparkSession.createDataFrame(list(steps.items()), "_class string, _step long")
+        return df.join(F.broadcast(table), "_class")
+
 
 def rank_index(
     df: DataFrame, keys: Sequence[str], seed: int, by: str | None = None, max_classes: int = 10_000

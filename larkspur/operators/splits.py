@@ -50,7 +50,11 @@ def stratified_split(
     smallest = min(index.totals.values(), default=0)
     if smallest < 2:
         raise ValueError(f"a class of {target} has fewer than 2 rows")
-    quota = class_quotas(index.totals, _test_rows(sum(index.totals.values()), test_size))
+    n = sum(index.totals.values())
+    wanted = _test_rows(n, test_size)
+    if min(wanted, n - wanted) < len(index.totals):
+        raise ValueError(f"{len(index.totals)} classes do not fit into {wanted} test and {n - wanted} train rows")
+    quota = class_quotas(index.totals, wanted)
     return _two(index.cut(lambda c, _: [quota[c]]))
 
 

@@ -212,8 +212,8 @@ def _(t):
     "champion_verdict_auc",
     f"""WITH {SCORED}, points AS (SELECT y, score AS threshold FROM scored), {CURVE},
         rival AS (
-          SELECT (count_if(a.rival > b.rival) + 0.5 * count_if(a.rival = b.rival)) / count(*) AS auc
-          FROM (SELECT rival FROM scored WHERE y = 1) a CROSS JOIN (SELECT rival FROM scored WHERE y = 0) b)
+          SELECT 0.5 * (1 + count_if(y = 1 AND rival = 1) / count_if(y = 1)
+                          - count_if(y = 0 AND rival = 1) / count_if(y = 0)) AS auc FROM scored)
         SELECT round(roc_auc, 6) AS challenger, round(auc, 6) AS champion, roc_auc > auc AS improved FROM areas, rival""",
 )
 def _(t):

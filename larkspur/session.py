@@ -6,12 +6,20 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Strict casts fail on a bad value.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join on a hot key is split even when that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Quantile sketches of many time windows stay in a hash table instead of sorting the rows first.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state beyond the memory of an executor.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
