@@ -51,17 +51,18 @@ def save_table(
     writer = rows.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", "static")
     writer.saveAsTable(name)
 
 
 def insert_by_name(df: DataFrame, name: str, overwrite: bool = False) -> None:
-    """``INSERT INTO`` aligned by column name; a column the rows lack or have in excess is an error."""
+    """``INSERT INTO`` aligned by column name; a column the rows lack or have in excess is an error.
+
+    With ``overwrite``, the partitions that occur in the rows are replaced and all others stay.
+    """
     target = df.sparkSession.table(name).columns
     if set(target) != set(df.columns):
         raise ValueError(f"columns differ: table {sorted(target)}, rows {sorted(df.columns)}")
-    df.select(*target).write.insertInto(name, overwrite=overwrite)
+    df.select(*target).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=overwrite)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -15,7 +15,6 @@ SETTINGS = {
     # Quantile sketches of many time windows stay in a hash table instead of sorting the rows first.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Streaming state beyond the memory of an executor.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
