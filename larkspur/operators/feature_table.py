@@ -14,6 +14,9 @@ from larkspur.workspace import materialize
 
 BUCKET = "key_bucket"
 
+# Table properties.
+_BUCKETS, _KEYS = "larkspur.buckets", "larkspur.keys"
+
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per offending key: how often it occurs, and whether a part of it is null."""
@@ -95,10 +98,18 @@ def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 def create_feature_table(
     df: DataFrame, name: str, keys: Sequence[str], schema: StructType | None = None, buckets: int = 64
 ) -> None:
-    """Cast to the declared schema, check the key, and write the table split by key bucket."""
+    """Cast to the declared schema, check the key, and write the table split by key bucket.
+
+    More buckets make a merge rewrite less; the number is kept with the table.
+    """
     typed = df if schema is None else df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     check_keys(typed, keys)
     save_table(_bucketed(typed, keys, buckets), name, partition_by=[BUCKET], audit=False)
+    df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_KEYS}' = '{','.join(keys)}')")
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def read_feature_table(spark: SparkSession, name: str) -> DataFrame:
@@ -106,14 +117,25 @@ def read_feature_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def merge_into(
-    spark: SparkSession, name: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = (), buckets: int = 64
+    spark: SparkSession, name: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> None:
-    """Upsert into a stored feature table, rewriting only the key buckets that the updates touch."""
-    latest = materialize(_bucketed(latest_per_key(updates, keys, order), keys, buckets), "updates")
-    # At most `buckets` distinct values.
+    """Upsert into a stored feature table, rewriting only the key buckets that the updates touch.
+
+    Columns that only the updates have are added to the table.
+    """
+    stated = _properties(spark, name)
+    if stated[_KEYS] != ",".join(keys):
+        raise ValueError(f"the key of {name} is {stated[_KEYS]}")
+    one_each = latest_per_key(updates, keys, order)
+    latest = materialize(_bucketed(one_each, keys, int(stated[_BUCKETS])), "updates")
+    # At most as many values as the table has buckets.
     touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]
     if not touched:
         return
+    known = spark.table(name).columns
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in latest.schema if f.name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
     stored = spark.table(name)
     current = stored.where(F.col(BUCKET).isin(touched))
     # Written aside first: the same buckets are read and replaced.

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Fixed value: the audit column.
 AUDIT_COLUMN = "update_timestamp_utc"
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def with_audit(
     df: DataFrame,
@@ -62,7 +64,14 @@ def insert_by_name(df: DataFrame, name: str, overwrite: bool = False) -> None:
     target = df.sparkSession.table(name).columns
     if set(target) != set(df.columns):
         raise ValueError(f"columns differ: table {sorted(target)}, rows {sorted(df.columns)}")
-    df.select(*target).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=overwrite)
+    spark = df.sparkSession
+    # Only the session setting counts for an insert; a writer option is not looked at.
+    previous = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        df.select(*target).write.insertInto(name, overwrite=overwrite)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, previous)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

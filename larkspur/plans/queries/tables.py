@@ -186,7 +186,7 @@ def _(t):
     name = f"{scratch_database(t.spark)}.orders"
     feature_table.create_feature_table(old_orders(t), name, ["o_orderkey"], buckets=4)
     for _ in range(2):
-        feature_table.merge_into(t.spark, name, new_orders(t), ["o_orderkey"], buckets=4)
+        feature_table.merge_into(t.spark, name, new_orders(t), ["o_orderkey"])
     return feature_table.read_feature_table(t.spark, name)
 
 

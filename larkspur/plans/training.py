@@ -49,8 +49,10 @@ class TrainingJob:
         One row: the new model's metrics, both F1 scores, the verdict and the newest version afterwards.
         """
         self.update_features(train, test)
-        model = self.plan.fit(self.training_rows(train), self.label, self.keys)
-        tested = self.training_rows(test)
+        # Read several times by the fit and by both models: looked up once.
+        trained = materialize(self.training_rows(train), "train")
+        tested = materialize(self.training_rows(test), "test")
+        model = self.plan.fit(trained, self.label, self.keys)
         scores = model.score(tested, self.keys).withColumnRenamed("prediction", "challenger")
         champion = None
         if self.models.latest() is not None:

@@ -71,7 +71,7 @@ def test_merge_rewrites_only_touched_buckets(spark):
     rows = spark.range(100).withColumn("x", F.lit(0))
     feature_table.create_feature_table(rows, name, ["id"], buckets=8)
     files = {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()}
-    feature_table.merge_into(spark, name, spark.range(1).withColumn("x", F.lit(1)), ["id"], buckets=8)
+    feature_table.merge_into(spark, name, spark.range(1).withColumn("x", F.lit(1)), ["id"])
     kept = {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()} & files
     assert len(kept) == len(files) - 1
     got = feature_table.read_feature_table(spark, name)
@@ -79,6 +79,16 @@ def test_merge_rewrites_only_touched_buckets(spark):
     assert got.where("x = 1").count() == 1
 
 
+def test_merge_adds_new_columns_and_knows_its_key(spark):
+    name = f"{scratch_database(spark)}.f"
+    feature_table.create_feature_table(spark.range(10).withColumn("x", F.lit(0)), name, ["id"], buckets=4)
+    feature_table.merge_into(spark, name, spark.range(8, 12).withColumn("y", F.lit("new")), ["id"])
+    got = {r["id"]: (r["x"], r["y"]) for r in feature_table.read_feature_table(spark, name).collect()}
+    assert got == {**{i: (0, None) for i in range(8)}, 8: (0, "new"), 9: (0, "new"), 10: (None, "new"), 11: (None, "new")}
+    with pytest.raises(ValueError, match="key of"):
+        feature_table.merge_into(spark, name, spark.range(1).withColumn("x", F.lit(1)), ["x"])
+
+
 def test_change_feed_sees_nulls(spark):
     old = spark.createDataFrame([(1, None), (2, "b"), (3, "c")], "k int, v string")
     new = spark.createDataFrame([(1, None), (2, None), (4, "d")], "k int, v string")
