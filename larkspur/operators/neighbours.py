@@ -32,6 +32,12 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 0))
 
 
+def _plain(frame: pd.DataFrame) -> pd.DataFrame:
+    """Text columns as plain objects: Arrow takes no column that was put together from several chunks."""
+    text = [c for c in frame.columns if not pd.api.types.is_numeric_dtype(frame[c])]
+    return frame.astype(dict.fromkeys(text, object))
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     squares = (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2.0 * a @ b.T
     return np.sqrt(np.maximum(squares, 0.0))
@@ -55,7 +61,7 @@ def _top_k(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
         found = pd.DataFrame({"id": own[rows], "neighbour": ids[cols], "distance": exact})
         found = found.sort_values(["id", "distance", "neighbour"])
         parts.append(found[found.groupby("id").cumcount() < k])
-    return pd.concat(parts) if parts else pd.DataFrame({"id": [], "neighbour": [], "distance": []})
+    return _plain(pd.concat(parts)) if parts else pd.DataFrame({"id": [], "neighbour": [], "distance": []})
 
 
 def nearest(queries: DataFrame, data: DataFrame, k: int, same: bool = False) -> DataFrame:
@@ -161,7 +167,7 @@ def _cell_bounds(placed: DataFrame, k: int):
         kept = pd.DataFrame({"group": [], "cell": [], "gap": []})
         for batch in batches:
             kept = pd.concat([kept, batch]).sort_values("gap").groupby(["group", "cell"]).head(k)
-        yield kept
+        yield _plain(kept)
 
     few = placed.select("group", "cell", "gap").mapInPandas(smallest, "group string, cell int, gap double")
     order = Window.partitionBy("group", "cell").orderBy("gap")

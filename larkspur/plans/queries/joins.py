@@ -116,11 +116,11 @@ def _(t):
 
 @query(
     "top_suppliers",
-    """SELECT l_suppkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY 1
+    """SELECT l_suppkey, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM lineitem GROUP BY 1
        ORDER BY 2 DESC, 1 LIMIT 10""",
 )
 def _(t):
-    revenue = F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2)
+    revenue = F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4)
     return aggregates.top_n(t.lineitem.groupBy("l_suppkey").agg(revenue.alias("revenue")), "revenue", "l_suppkey", 10)
 
 

@@ -33,7 +33,7 @@ def _(t):
     """WITH counted AS (
          SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS window_start,
                 time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS window_end, event_type AS model_name,
-                count(*) AS rows, round(avg(value), 6) AS value_mean, max(value) AS value_max,
+                count(*) AS rows, round(avg(value), 9) AS value_mean, max(value) AS value_max,
                 round(count_if((value > 20) = (value > 10)) / count(*), 6) AS accuracy_score
          FROM events GROUP BY ALL)
        SELECT * FROM counted WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
@@ -61,7 +61,7 @@ def _(t):
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "model_name",
         "rows",
-        F.round("value_mean", 6).alias("value_mean"),
+        F.round("value_mean", 9).alias("value_mean"),
         "value_max",
         F.round("accuracy_score", 6).alias("accuracy_score"),
     )

@@ -138,10 +138,15 @@ def test_nearest_with_many_cells_hot_cell_and_copies(spark, monkeypatch):
     copies = np.repeat(spread[:1], 40, axis=0)
     points = [(i, v.tolist()) for i, v in enumerate(np.concatenate([clump, spread, copies]))]
     df = spark.createDataFrame(points, "id long, vector array<double>").repartition(8)
-    got: dict[int, list] = {}
-    for r in neighbours.nearest(df, df, 4, same=True).orderBy("id", "rank").collect():
-        got.setdefault(r["id"], []).append(r["neighbour"])
-    assert got == _brute_force(points, 4)
+    text = df.withColumn("id", F.format_string("%03d", "id"))
+    for table in (df, text):
+        # Small Arrow batches, as with many rows.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        got: dict[int, list] = {}
+        for r in neighbours.nearest(table, table, 4, same=True).orderBy("id", "rank").collect():
+            got.setdefault(int(r["id"]), []).append(int(r["neighbour"]))
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert got == _brute_force(points, 4)
 
 
 def test_nearest_between_tables_with_text_keys(spark):
