@@ -33,9 +33,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _plain(frame: pd.DataFrame) -> pd.DataFrame:
-    """Text columns as plain objects: Arrow takes no column that was put together from several chunks."""
-    text = [c for c in frame.columns if not pd.api.types.is_numeric_dtype(frame[c])]
-    return frame.astype(dict.fromkeys(text, object))
+    """Columns as plain arrays: Arrow takes no column that was put together from several chunks."""
+    return pd.DataFrame({c: np.array(frame[c].tolist()) for c in frame.columns}).infer_objects()
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,10 +163,12 @@ def _cell_bounds(placed: DataFrame, k: int):
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Each task keeps k gaps per cell, so the final choice is over few rows.
-        kept = pd.DataFrame({"group": [], "cell": [], "gap": []})
+        kept = None
         for batch in batches:
-            kept = pd.concat([kept, batch]).sort_values("gap").groupby(["group", "cell"]).head(k)
-        yield _plain(kept)
+            both = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            kept = both.sort_values("gap").groupby(["group", "cell"], sort=False).head(k)
+        if kept is not None:
+            yield _plain(kept)
 
     few = placed.select("group", "cell", "gap").mapInPandas(smallest, "group string, cell int, gap double")
     order = Window.partitionBy("group", "cell").orderBy("gap")
