@@ -36,8 +36,8 @@ def score_totals(
     )
     running = running_totals(counted, [*by, F.desc("threshold")], {"tp": "pos", "fp": "neg"})
     if not by:
-        p, n = running.agg(F.max("tp")).scalar(), running.agg(F.max("fp")).scalar()
-        return running.withColumns({"p": p, "n": n})
+        totals = running.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
+        return running.withColumns({"p": totals["p"], "n": totals["n"]})
     # The running total goes through all groups; take off what came before the group.
     groups = running.groupBy(*by).agg(
         F.min(F.col("tp") - F.col("pos")).alias("_tp0"),

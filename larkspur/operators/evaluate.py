@@ -107,7 +107,8 @@ def classification_metrics(
     if by:
         result, values = result.join(areas, list(by)), {c: F.col(c) for c in names}
     else:
-        values = {c: areas.select(c).scalar() for c in names}
+        both = areas.select(F.struct(*names)).scalar()
+        values = {c: both[c] for c in names}
     binary = F.col("_true_classes") == 2
     return result.withColumns({c: F.when(binary, v) for c, v in values.items()}).drop("_true_classes")
 

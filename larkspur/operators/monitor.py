@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.columns import ratio
 from larkspur.operators.joins import attach_label
+from larkspur.operators.prep import drop_incomplete
 from larkspur.operators.tables import insert_by_name, save_table, table_exists
 from larkspur.workspace import materialize
 
@@ -33,11 +34,10 @@ _COMPARE = {
 
 def label_predictions(flat: DataFrame, sources: Sequence[DataFrame], key: str, label: str) -> DataFrame:
     """Attach the true label as ``status``, make both sides double, and drop rows that lack either."""
-    return (
-        attach_label(flat, sources, key, label)
-        .withColumns({"status": F.col("status").cast("double"), "prediction": F.col("prediction").cast("double")})
-        .dropna(subset=["status", "prediction"])
+    labelled = attach_label(flat, sources, key, label).withColumns(
+        {"status": F.col("status").cast("double"), "prediction": F.col("prediction").cast("double")}
     )
+    return drop_incomplete(labelled, ["status", "prediction"])
 
 
 def new_rows(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +133,11 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Drop rows with a null in any of the columns.
+
+    One condition per column, so that each moves as far down as it can and turns an outer join into an inner one.
+    """
+    return reduce(DataFrame.where, [F.col(c).isNotNull() for c in columns], df)
 
 
 def first_rows(df: DataFrame, order: Sequence, n: int) -> DataFrame:

@@ -163,7 +163,26 @@ def _(t):
     return table.withColumns({c: F.round(c, 6) for c in ("q25", "q50", "q75")})
 
 
-@query("approximate_quantiles")
+@query(
+    "approximate_quantiles",
+    """SELECT c AS "column", s AS share, count(*) AS rows, true AS close FROM lineitem,
+              (VALUES ('l_extendedprice'), ('l_quantity')) a(c), (VALUES (0.25::DOUBLE), (0.5), (0.75)) b(s) GROUP BY 1, 2""",
+)
 def _(t):
-    found = approximate_quantiles(t.lineitem, ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.75])
-    return t.spark.createDataFrame([(c, *q) for c, q in found.items()], "column string, q25 double, q50 double, q75 double")
+    """Each sketched quantile lies within a thousandth of the rank it was asked for."""
+    columns, shares = ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.75]
+    found = approximate_quantiles(t.lineitem, columns, shares)
+    checks = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(s).alias("share"),
+            F.count("*").alias("rows"),
+            (
+                (F.count_if(F.col(c) < q) / F.count("*") <= s + 0.001)
+                & (F.count_if(F.col(c) <= q) / F.count("*") >= s - 0.001)
+            ).alias("close"),
+        )
+        for c in columns
+        for s, q in zip(shares, found[c], strict=True)
+    ]
+    return t.lineitem.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))

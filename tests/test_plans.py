@@ -57,6 +57,12 @@ def test_only_needed_columns_are_read(t):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
+def test_rows_without_label_are_dropped_by_an_inner_join(spark):
+    plan = queries()["label_predictions"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan
+    assert "LeftOuter" not in plan
+
+
 def test_filters_reach_the_scan(t):
     train, _ = splits.random_split(t.orders, ["o_orderkey"])
     plan = plan_of(train.where(F.col("o_totalprice") > 400_000))
