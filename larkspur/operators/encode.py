@@ -100,7 +100,7 @@ class Preprocessor:
         if not self.drop:
             rest = [c for c in df.columns if c not in listed and c not in exclude]
             outputs += [(f"remainder__{c}" if listed else c, _name(c)) for c in rest]
-        return FittedPreprocessor(tuple(outputs))
+        return FittedPreprocessor(tuple(_distinct_names(outputs)))
 
     # Numeric columns
 
@@ -202,6 +202,16 @@ class Preprocessor:
         return flags
 
 
+def _distinct_names(outputs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Categories that differ only in a character names cannot hold get a number."""
+    seen: dict[str, int] = {}
+    result = []
+    for name, sql in outputs:
+        seen[name] = seen.get(name, 0) + 1
+        result.append((name if seen[name] == 1 else f"{name}_{seen[name]}", sql))
+    return result
+
+
 def _native_order(df: DataFrame, column: str):
     """Sort key for category texts: numbers as numbers."""
     return float if isinstance(df.schema[column].dataType, NumericType) else str

@@ -138,6 +138,6 @@ def merge_into(
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
     stored = spark.table(name)
     current = stored.where(F.col(BUCKET).isin(touched))
-    # Written aside first: the same buckets are read and replaced.
-    merged = materialize(upsert(current, latest, [*keys, BUCKET]).select(*stored.columns), "merged")
+    # The write goes to a staging folder, so the buckets it replaces can be read meanwhile.
+    merged = upsert(current, latest, [*keys, BUCKET]).select(*stored.columns)
     insert_by_name(merged.hint("rebalance", BUCKET), name, overwrite=True)
