@@ -14,11 +14,15 @@ from larkspur.plans.registry import query
 
 @query(
     "missing_columns",
-    "SELECT * FROM (VALUES ('no_such_price'), ('no_such_segment')) v(missing)",
+    """SELECT missing, count(*) AS rows FROM orders, (VALUES ('no_such_price'), ('no_such_segment')) v(missing)
+       GROUP BY 1""",
 )
 def _(t):
-    required = [*t.orders.columns, "no_such_price", "no_such_segment"]
-    return t.spark.createDataFrame([(c,) for c in prep.missing_columns(t.orders, required)], "missing string")
+    """The columns a table of so many rows lacks."""
+    orders = t.orders
+    missing = prep.missing_columns(orders, [*orders.columns, "no_such_price", "no_such_segment"])
+    names = F.explode(F.array(*[F.lit(c) for c in missing])).alias("missing")
+    return orders.agg(F.count("*").alias("rows")).select(names, "rows")
 
 
 @query(

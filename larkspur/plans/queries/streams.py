@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from larkspur.plans.inputs import FIELDS, FLAT, MODEL, RECORD, payload
+from larkspur.operators.monitor import label_predictions
+from larkspur.plans.inputs import FIELDS, FLAT, MODEL, RECORD, label_sources, payload
+from larkspur.plans.queries.monitoring import PROFILE
 from larkspur.plans.registry import query
 from larkspur.streaming.inference import append_available, flatten_stream, payload_stream, profile_stream
 from larkspur.workspace import new_path
@@ -65,3 +67,28 @@ def _(t):
         "value_max",
         F.round("accuracy_score", 6).alias("accuracy_score"),
     )
+
+
+@query(
+    "stream_quality_profile",
+    f"""WITH {PROFILE} SELECT window_start, window_end, model_name, rows, value_max, value_median,
+              round(accuracy_score, 6) AS accuracy_score, round(f1_score_weighted, 6) AS f1_score_weighted FROM profile
+        WHERE window_end <= (SELECT max(timestamp) FROM flat) - INTERVAL 1 HOUR""",
+)
+def _(t):
+    """From logged JSON to the quality of each closed window in one stream; the labels are static tables."""
+    path, schema = _log_folder(t)
+    flat = flatten_stream(payload_stream(t.spark, path, schema), RECORD, FIELDS, MODEL)
+    labelled = label_predictions(flat, label_sources(t), "event_id", "status")
+    out = new_path(t.spark, "profile")
+    append_available(profile_stream(labelled, numeric=["value"]), out, new_path(t.spark, "state"))
+    return t.spark.read.parquet(out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "model_name",
+        "rows",
+        "value_max",
+        "value_median",
+        F.round("accuracy_score", 6).alias("accuracy_score"),
+        F.round("f1_score_weighted", 6).alias("f1_score_weighted"),
+    )

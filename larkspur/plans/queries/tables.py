@@ -48,13 +48,13 @@ def _(t):
 
 @query(
     "table_exists",
-    "SELECT true AS present, false AS absent, count(*) AS rows FROM nation",
+    "SELECT true AS present, false AS absent, count(*) AS rows FROM customer",
 )
 def _(t):
     base = scratch_database(t.spark)
-    tables.save_table(t.nation, f"{base}.nation", audit=False)
-    present, absent = (tables.table_exists(t.spark, f"{base}.{n}") for n in ("nation", "nations"))
-    return t.spark.table(f"{base}.nation").agg(
+    tables.save_table(t.customer, f"{base}.customer", audit=False)
+    present, absent = (tables.table_exists(t.spark, f"{base}.{n}") for n in ("customer", "customers"))
+    return t.spark.table(f"{base}.customer").agg(
         F.lit(present).alias("present"), F.lit(absent).alias("absent"), F.count("*").alias("rows")
     )
 
@@ -76,10 +76,10 @@ def _(t):
     return t.spark.table(name)
 
 
-@query("drop_table", "SELECT count(*) AS rows_before, true AS dropped, false AS dropped_again, false AS left_over FROM region")
+@query("drop_table", "SELECT count(*) AS rows_before, true AS dropped, false AS dropped_again, false AS left_over FROM orders")
 def _(t):
-    name = f"{scratch_database(t.spark)}.region"
-    tables.save_table(t.region, name, audit=False)
+    name = f"{scratch_database(t.spark)}.orders"
+    tables.save_table(t.orders, name, audit=False)
     rows = t.spark.table(name).count()
     found = (rows, tables.drop_table(t.spark, name), tables.drop_table(t.spark, name), tables.table_exists(t.spark, name))
     return t.spark.createDataFrame([found], "rows_before long, dropped boolean, dropped_again boolean, left_over boolean")
