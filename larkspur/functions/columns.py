@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 # Tokens read as null in CSV text, the usual four and the others pandas knows.
 NULL_TOKENS = (
@@ -38,6 +39,14 @@ def spark_type(dtype: str) -> str:
     return DTYPES.get(dtype, dtype)
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """Null, or not a number in a fractional column."""
+    col = F.col(column)
+    if isinstance(df.schema[column].dataType, FractionalType) and df.schema[column].dataType.typeName() != "decimal":
+        return col.isNull() | F.isnan(col)
+    return col.isNull()
+
+
 def null_if_token(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None)).otherwise(col)
 

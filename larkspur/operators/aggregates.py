@@ -11,8 +11,10 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count("*").alias("n"))
+def value_counts(df: DataFrame, column: str, drop_nulls: bool = True) -> DataFrame:
+    """Rows per value; nulls are left out unless asked for."""
+    rows = df.where(F.col(column).isNotNull()) if drop_nulls else df
+    return rows.groupBy(column).agg(F.count("*").alias("n"))
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:

@@ -120,20 +120,22 @@ class Preprocessor:
     def _numeric(self, df: DataFrame) -> list[tuple[str, str]]:
         if self.numeric_strategy == "none":
             return [(f"num__{c}", _name(c)) for c in self.numeric]
+        # NaN counts as missing.
+        raw = {c: f"nullif(CAST({_name(c)} AS DOUBLE), double('NaN'))" for c in self.numeric}
+        df = df.selectExpr(*[f"{raw[c]} AS {_name(c)}" for c in self.numeric])
         stats = (F.count, F.avg, F.var_pop, F.min, F.max)
         row = df.agg(
             F.count("*").alias("rows"),
-            *[s(F.col(c).cast("double")).alias(f"{c}_{i}") for c in self.numeric for i, s in enumerate(stats)],
+            *[s(F.col(c)).alias(f"{c}_{i}") for c in self.numeric for i, s in enumerate(stats)],
         ).first()
         seen = {c: [row[f"{c}_{i}"] for i in range(len(stats))] for c in self.numeric}
         impute = self.missing_strategy != "none"
         fills = self._fills(df, {c: s[1] for c, s in seen.items()}) if impute else {}
-        raw = {c: f"CAST({_name(c)} AS DOUBLE)" for c in self.numeric}
         filled = {
             c: f"coalesce({raw[c]}, {_number(fills[c])})" if fills.get(c) is not None else raw[c] for c in self.numeric
         }
         if self.numeric_strategy == "robust":
-            full = df.selectExpr(*[f"{filled[c]} AS {_name(c)}" for c in self.numeric])
+            full = df.fillna({c: v for c, v in fills.items() if v is not None}) if fills else df
             quartiles = self._quantiles(full, self.numeric, [0.25, 0.5, 0.75])
             middle = {c: (q[1], q[2] - q[0]) if q[1] is not None else (0.0, 1.0) for c, q in quartiles.items()}
         else:

@@ -31,14 +31,18 @@ class Lookup:
 
 
 def fuse(lookups: Sequence[Lookup]) -> list[Lookup]:
-    """One lookup per (table, key) instead of one per feature."""
-    grouped: dict[tuple, Lookup] = {}
+    """One lookup per (table, key) instead of one per feature. Two DataFrames of one table count as that table."""
+    fused: list[Lookup] = []
     for one in lookups:
-        slot = (id(one.table), tuple(one.keys), tuple(one.base_names()), one.time)
-        have = grouped.get(slot)
-        features = [*(have.features if have else ()), *one.features]
-        grouped[slot] = Lookup(one.table, list(dict.fromkeys(features)), one.keys, one.base_keys, one.time)
-    return list(grouped.values())
+        for i, have in enumerate(fused):
+            same_key = (list(have.keys), have.base_names(), have.time) == (list(one.keys), one.base_names(), one.time)
+            if same_key and (have.table is one.table or have.table.sameSemantics(one.table)):
+                features = list(dict.fromkeys([*have.features, *one.features]))
+                fused[i] = Lookup(have.table, features, have.keys, have.base_keys, have.time)
+                break
+        else:
+            fused.append(one)
+    return fused
 
 
 def training_set(

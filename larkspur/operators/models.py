@@ -136,6 +136,10 @@ class ModelPlan:
             training.unpersist()
 
     def _balanced(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        if self.resampling is None:
+            return rows
+        # Read several times by the resampler and the fit.
+        rows = materialize(rows, "features")
         options = {"seed": 42, **self.resampling_params}
         if "random_state" in options:
             options["seed"] = options.pop("random_state")
@@ -143,15 +147,13 @@ class ModelPlan:
             return over_sample(rows, "_label", keys, **options)
         if self.resampling == "random_under":
             return under_sample(rows, "_label", keys, **options)
-        if self.resampling == "smote":
-            if len(keys) != 1:
-                raise ValueError("smote needs one key column")
-            if "k_neighbors" in options:
-                options["k"] = options.pop("k_neighbors")
-            arrays = rows.withColumn(FEATURES, vector_to_array(FEATURES))
-            made = smote(arrays, "_label", keys[0], FEATURES, **options)
-            return arrays.unionByName(made.select(arrays.columns)).withColumn(FEATURES, array_to_vector(FEATURES))
-        return rows
+        if len(keys) != 1:
+            raise ValueError("smote needs one key column")
+        if "k_neighbors" in options:
+            options["k"] = options.pop("k_neighbors")
+        arrays = rows.withColumn(FEATURES, vector_to_array(FEATURES))
+        made = smote(arrays, "_label", keys[0], FEATURES, **options)
+        return arrays.unionByName(made.select(arrays.columns)).withColumn(FEATURES, array_to_vector(FEATURES))
 
 
 @dataclass(frozen=True)

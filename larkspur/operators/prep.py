@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.columns import map_label, spark_type
+from larkspur.functions.columns import is_missing, map_label, spark_type
 
 
 @dataclass(frozen=True)
@@ -79,9 +79,9 @@ def _unpivot(row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
 
 
 def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: null count, percent of all rows, and the row total. One pass for all columns."""
+    """One row per column: null count (with NaN), percent of all rows, and the row total. One pass for all columns."""
     columns = list(columns or df.columns)
-    row = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    row = df.agg(F.count("*").alias("_rows"), *[F.count_if(is_missing(df, c)).alias(c) for c in columns])
     pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("nulls")) for c in columns]
     return (
         row.select("_rows", F.explode(F.array(*pairs)).alias("p"))
@@ -133,11 +133,11 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with a null in any of the columns.
+    """Drop rows with a null or NaN in any of the columns.
 
     One condition per column, so that each moves as far down as it can and turns an outer join into an inner one.
     """
-    return reduce(DataFrame.where, [F.col(c).isNotNull() for c in columns], df)
+    return reduce(DataFrame.where, [F.col(c).isNotNull() & ~is_missing(df, c) for c in columns], df)
 
 
 def first_rows(df: DataFrame, order: Sequence, n: int) -> DataFrame:

@@ -40,6 +40,13 @@ def test_all_null_column_and_nulls(spark):
     assert [r["cat__c_a"] for r in got] == [1.0, 1.0, 1.0]
 
 
+def test_nan_is_imputed(spark):
+    rows = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "x double")
+    for strategy in ("standard", "robust"):
+        fitted = Preprocessor(numeric=["x"], numeric_strategy=strategy, missing_strategy="median").fit(rows)
+        assert [r[0] for r in fitted.transform(rows).collect()][2] == 0.0
+
+
 def test_constant_column_is_not_divided_by_zero(spark):
     rows = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     for strategy in ("standard", "minmax", "robust"):

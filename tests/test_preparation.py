@@ -74,6 +74,12 @@ def test_unmapped_label_is_a_null_and_offends(rows):
     assert prep.check_nulls(prep.prepare(odd, SPEC, check=False), max_null_fraction=0.5) == []
 
 
+def test_nan_counts_as_null(spark):
+    rows = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    assert prep.null_report(rows).first()["nulls"] == 2
+    assert prep.drop_incomplete(rows, ["x"]).count() == 1
+
+
 def test_custom_step(rows):
     class Custom:
         def apply_transformations(self, df):
