@@ -79,12 +79,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         .agg(F.count("*").alias("n"))
     )
     running = running_totals(counted, ["column", "value"], {"through": "n"})
-    bounds = {
-        r["column"]: (r["first"], r["last"])
-        for r in running.groupBy("column")
-        .agg(F.min(F.col("through") - F.col("n")).alias("first"), F.max("through").alias("last"))
-        .collect()
-    }
+    # The running count goes through the columns in name order, so their sizes say where each begins.
+    sizes = {r["column"]: r["size"] for r in running.groupBy("column").agg(F.sum("n").alias("size")).collect()}
+    bounds, first = {}, 0
+    for c in sorted(sizes):
+        bounds[c] = (first, first + sizes[c])
+        first += sizes[c]
     wanted, aggregates = {}, []
     for c, (first, last) in bounds.items():
         for i, share in enumerate(shares):
