@@ -24,6 +24,7 @@ from larkspur.workspace import materialize
 _DATA_ROWS = 8_192
 _QUERY_ROWS = 16_384
 _PIVOTS = 256
+_CELLS = 100_000
 _BATCH = 128
 _ONE = "all"
 
@@ -155,10 +156,10 @@ def _cell_bounds(placed: DataFrame, k: int):
     rows = (
         placed.groupBy("group", "cell")
         .agg(F.count("*").alias("n"), F.min("gap").alias("low"), F.max("gap").alias("high"))
-        .limit(1_000_001)
+        .limit(_CELLS + 1)
         .collect()
     )
-    if len(rows) > 1_000_000:
+    if len(rows) > _CELLS:
         raise ValueError("too many groups for a neighbour search")
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
