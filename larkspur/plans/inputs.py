@@ -62,8 +62,9 @@ SPEC = FeatureSpec(
 )
 
 PREPARED = f"""{SALES}, prepared AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice AS price, c_acctbal AS balance, order_year, order_month,
-         order_day, o_orderpriority AS priority, c_mktsegment AS segment,
+  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice AS price, c_acctbal AS balance,
+         CAST(order_year AS SMALLINT) AS order_year, CAST(order_month AS SMALLINT) AS order_month,
+         CAST(order_day AS SMALLINT) AS order_day, o_orderpriority AS priority, c_mktsegment AS segment,
          CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 WHEN 'P' THEN 0 END AS status
   FROM sales)"""
 

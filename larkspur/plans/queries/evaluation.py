@@ -36,7 +36,8 @@ areas AS (
 @query(
     "class_metrics",
     f"""WITH {SCORED}, pairs AS (SELECT status AS y, guess AS p FROM scored), {PER_CLASS}
-        SELECT class, tp, fp, fn, support, round(pr, 6) AS precision, round(re, 6) AS recall, round(f, 6) AS f1
+        SELECT class, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
+               CAST(support AS BIGINT) AS support, round(pr, 6) AS precision, round(re, 6) AS recall, round(f, 6) AS f1
         FROM per_metric""",
 )
 def _(t):

@@ -101,8 +101,8 @@ def _(t):
 
 @query(
     "ordinal_encode_unseen",
-    f"""WITH {GAPPY} SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 0.0 WHEN '2-HIGH' THEN 1.0
-              WHEN '3-MEDIUM' THEN 2.0 ELSE -1.0 END AS cat__o_orderpriority FROM gappy""",
+    f"""WITH {GAPPY} SELECT o_orderkey, CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1
+              WHEN '3-MEDIUM' THEN 2 ELSE -1 END AS DOUBLE) AS cat__o_orderpriority FROM gappy""",
 )
 def _(t):
     rows = gappy(t)

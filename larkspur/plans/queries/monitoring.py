@@ -30,20 +30,20 @@ def _(t):
     return _ntz(_labelled(t), "timestamp")
 
 
-@query("append_new_rows", f"WITH {LABELLED} SELECT *, CAST(timestamp AS DATE) AS event_date FROM labelled")
+@query("append_new_rows", f"WITH {LABELLED} SELECT *, strftime(timestamp, '%Y-%m-%d') AS event_date FROM labelled")
 def _(t):
     """Two refreshes: the first sees the requests of three weeks, the second sees all; nothing is stored twice."""
     name = f"{scratch_database(t.spark)}.monitoring"
     rows = _labelled(t)
     monitor.append_new(t.spark, rows.where(F.col("timestamp") < F.lit("2024-01-22").cast("timestamp")), name, ROW_KEY)
     monitor.append_new(t.spark, rows, name, ROW_KEY)
-    return _ntz(t.spark.table(name), "timestamp")
+    return _ntz(t.spark.table(name), "timestamp").withColumn("event_date", F.col("event_date").cast("string"))
 
 
 PROFILE = f"""{LABELLED}, profile AS (
   SELECT time_bucket(INTERVAL 30 MINUTE, timestamp) AS window_start,
          time_bucket(INTERVAL 30 MINUTE, timestamp) + INTERVAL 30 MINUTE AS window_end, model_name, count(*) AS rows,
-         count_if(value IS NULL) AS value_nulls, avg(value) AS value_mean, stddev_samp(value) AS value_stddev,
+         CAST(count_if(value IS NULL) AS BIGINT) AS value_nulls, avg(value) AS value_mean, stddev_samp(value) AS value_stddev,
          min(value) AS value_min, max(value) AS value_max, quantile_disc(value, 0.5) AS value_median,
          avg((prediction - status) ** 2) AS mse, sqrt(avg((prediction - status) ** 2)) AS rmse,
          avg(abs(prediction - status)) AS mae,

@@ -60,8 +60,8 @@ def _(t):
 
 @query(
     "cast_rejects",
-    """SELECT 'o_orderpriority' AS "column", count_if(try_cast(o_orderpriority AS INT) IS NULL) AS rejected FROM orders
-       UNION ALL SELECT 'o_totalprice', count_if(trunc(o_totalprice) NOT BETWEEN -32768 AND 32767) FROM orders""",
+    """SELECT 'o_orderpriority' AS "column", CAST(count_if(try_cast(o_orderpriority AS INT) IS NULL) AS BIGINT) AS rejected FROM orders
+       UNION ALL SELECT 'o_totalprice', CAST(count_if(trunc(o_totalprice) NOT BETWEEN -32768 AND 32767) AS BIGINT) FROM orders""",
 )
 def _(t):
     return prep.cast_rejects(t.orders, {"o_orderpriority": "int", "o_totalprice": "smallint"})
@@ -82,7 +82,7 @@ def _(t):
           UNION ALL SELECT 'c_acctbal', count_if(c_acctbal IS NULL), count(*) FROM gappy
           UNION ALL SELECT 'c_mktsegment', count_if(c_mktsegment IS NULL), count(*) FROM gappy
           UNION ALL SELECT 'o_orderstatus', count_if(o_orderstatus IS NULL), count(*) FROM gappy)
-        SELECT "column", nulls, rows, round(100.0 * nulls / rows, 6) AS percent FROM counted""",
+        SELECT "column", CAST(nulls AS BIGINT) AS nulls, rows, round(100.0 * nulls / rows, 6) AS percent FROM counted""",
 )
 def _(t):
     report = prep.null_report(gappy(t), ["o_totalprice", "c_acctbal", "c_mktsegment", "o_orderstatus"])
@@ -255,7 +255,7 @@ def _(t):
 @query(
     "request_records",
     f"""WITH {FLAT}, bodies AS (
-          SELECT databricks_request_id, count(*) AS records, sum(event_id) AS event_sum, round(sum(value), 4) AS value_sum
+          SELECT databricks_request_id, count(*) AS records, CAST(sum(event_id) AS BIGINT) AS event_sum, round(sum(value), 4) AS value_sum
           FROM flat GROUP BY 1)
         SELECT * FROM bodies""",
 )

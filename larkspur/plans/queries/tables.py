@@ -85,14 +85,14 @@ def _(t):
     return t.spark.createDataFrame([found], "rows_before long, dropped boolean, dropped_again boolean, left_over boolean")
 
 
-@query("truncate_table", "SELECT count(*) AS rows_before, 0 AS rows_after, 5 AS columns FROM customer")
+@query("truncate_table", "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after, 5 AS columns FROM customer")
 def _(t):
     name = f"{scratch_database(t.spark)}.customer"
     tables.save_table(t.customer, name, audit=False)
     before = t.spark.table(name).count()
     tables.truncate_table(t.spark, name)
     return t.spark.table(name).agg(
-        F.lit(before).alias("rows_before"), F.count("*").alias("rows_after")
+        F.lit(before).cast("long").alias("rows_before"), F.count("*").alias("rows_after")
     ).withColumn("columns", F.lit(len(t.spark.table(name).columns)))
 
 
