@@ -16,6 +16,7 @@ documents are ignored by ``contamination`` and kept by ``decontaminate``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from larkspur.llm.kernels import LOWER, MARKS, Texts, pieces, texts_of, words
 
 _NORMAL = bytes(0x20 if MARKS[b] else int(LOWER[b]) for b in range(256))
-_automata: dict[int, tuple[ahocorasick.Automaton, list[list[str]]]] = {}
+_automata: dict[str, tuple[ahocorasick.Automaton, list[list[str]]]] = {}
 
 
 def windows_of(text: str | None, width: int) -> list[bytes]:
@@ -39,9 +40,10 @@ def windows_of(text: str | None, width: int) -> list[bytes]:
     return [b" " + b" ".join(found[i : i + width]) + b" " for i in range(n)]
 
 
-def _automaton(key: int, items: list[tuple[str, str]], width: int):
-    """The automaton of a block and the items of each window; a worker keeps one block."""
+def _automaton(key: str, held, width: int):
+    """The automaton of a broadcast block and the items of each window; a worker keeps one block."""
     if key not in _automata:
+        items = held.value
         owners: dict[str, list[str]] = {}
         for item, text in items:
             for window in dict.fromkeys(windows_of(text, width)):
@@ -115,7 +117,7 @@ def contamination(
 
     def scanned(frame: DataFrame, held, schema: str, hits_only: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine, owners = _automaton(held.id, held.value, width)
+            machine, owners = _automaton(*held, width)
             for batch in batches:
                 texts = texts_of(batch.column("text"))
                 out = []
@@ -165,7 +167,7 @@ _NAMES = ["n_words", "n_hit", "n_items", "items", "spans"]
 
 def _numbered(spark, blocks):
     for block in blocks:
-        yield spark.sparkContext.broadcast(block)
+        yield uuid.uuid4().hex, spark.sparkContext.broadcast(block)
 
 
 def _merged(matches, owners) -> tuple[int, list[str], list[dict]]:
@@ -214,7 +216,7 @@ def decontaminate(
 
     def clean(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine, owners = _automaton(held.id, held.value, width)
+            machine, owners = _automaton(*held, width)
             for batch in batches:
                 keep = [
                     not matches
