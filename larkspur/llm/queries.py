@@ -55,3 +55,13 @@ def op9_jaccard_join(t: Tables) -> DataFrame:
     from larkspur.llm.jaccard_join import jaccard_components
 
     return jaccard_components(t.documents)
+
+
+@query
+def op2_kneser_ney(t: Tables) -> DataFrame:
+    from larkspur.llm.kneser_ney import KneserNey
+
+    apart = held_out(F.col("doc_id"), 10)
+    model = KneserNey.fit(t.documents.where(~apart))
+    scored = model.score(t.documents)
+    return scored.withColumns({"held_out": apart, "train_tokens": F.lit(model.facts["tokens"]).cast("long")})
