@@ -65,3 +65,10 @@ def op2_kneser_ney(t: Tables) -> DataFrame:
     model = KneserNey.fit(t.documents.where(~apart))
     scored = model.score(t.documents)
     return scored.withColumns({"held_out": apart, "train_tokens": F.lit(model.facts["tokens"]).cast("long")})
+
+
+@query
+def op4_suffix_dedup(t: Tables) -> DataFrame:
+    from larkspur.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(t.documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
