@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.llm.settings import prepared
 from larkspur.plans.registry import Tables
-from larkspur.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -18,7 +18,7 @@ def query(build: Callable[[Tables], DataFrame]):
     """Register a function of ``Tables`` under its own name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Tables(configure(spark), folder))
+        return build(Tables(prepared(spark), folder))
 
     run.__doc__ = build.__doc__
     QUERIES[build.__name__] = run

@@ -48,6 +48,7 @@ from larkspur.llm.kernels import (
     texts_of,
 )
 from larkspur.llm.suffix_array import common_prefixes_reach, suffix_order
+from larkspur.workspace import materialize
 
 #: Bytes of the windows an anchor is chosen from.
 SEED = 16
@@ -156,7 +157,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     keep = role > 0
     keep[1:] |= anchor[1:] == anchor[:-1]
     keep[:-1] |= anchor[1:] == anchor[:-1]
-    return pa.table({"id": holder[keep], "anchor": anchor[keep].astype(np.int64)})
+    return pa.table({"key": holder[keep], "anchor": anchor[keep].astype(np.int64)})
 
 
 _SEGMENT = {"id": np.int64, "version": np.int64, "start": np.int64, "n": np.int32, "anchor": np.uint64}
@@ -291,19 +292,19 @@ def _spans(length: int):
                             segment["start"][owner[at]] + offset[at], run])
                 first = last
         ids, versions, start, n = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.table({"id": ids, "version": versions, "begin": start, "end": start + n + length - 1})
+        return pa.table({"key": ids, "version": versions, "begin": start, "end": start + n + length - 1})
 
     return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = texts_of(batch.column(1))
-        versions = batch.column(2).to_pylist()
+        texts = texts_of(batch.column("text"))
+        versions = batch.column("version").to_pylist()
         removed, runs, kept, digest, spans = [], [], [], [], []
-        for i, marks in enumerate(batch.column(3).to_pylist()):
+        for i, marks in enumerate(batch.column("spans").to_pylist()):
             text, merged = texts.text(i), []
-            for begin, end in sorted((m["begin"], m["end"]) for m in marks or () if m["version"] == versions[i]):
+            for begin, end in sorted((m["begin"], m["end"]) for m in marks if m["version"] == versions[i]):
                 if merged and begin <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], end)
                 else:
@@ -316,39 +317,58 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest.append(hashlib.sha256(rest).hexdigest())
             spans.append([{"begin": a, "end": b} for a, b in merged])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(texts.starts)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
+            [batch.column("key"), batch.column("version"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
              pa.array(digest, pa.string()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())],
-            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"],
+            names=["key", "version", "n_removed", "n_spans", "kept_sha256", "spans", "kept"],
         )
 
 
 _SPAN = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: n_bytes, n_removed, n_spans, kept_sha256, the removed spans (bytes) and the kept bytes."""
+def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The texts that lose bytes: key (the id), version (hash of the text), spans removed and bytes kept."""
     if length < SEED + 1:
         raise ValueError(f"strings of more than {SEED} bytes")
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
-    kind = source.schema["id"].dataType.simpleString()
-    no_id = F.lit(int(np.iinfo(np.int64).min))
-    keyed = source.withColumn("key", F.coalesce(F.col("id").cast("long"), no_id))
-
-    anchors = source.select("id", "text").mapInArrow(
-        _anchors(length, shards), "shard int, anchor binary, holder binary, role binary"
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(int(np.iinfo(np.int64).min)))
+    source = docs.select(key.alias("key"), text.alias("text"), F.xxhash64(text).alias("version"))
+
+    sent = source.mapInArrow(_anchors(length, shards), "shard int, anchor binary, holder binary, role binary")
+    held = sent.groupBy("shard").applyInArrow(_repeated, "key long, anchor long")
+    held = materialize(held.groupBy("key").agg(F.collect_set("anchor").alias("anchors")), "anchors")
+    # Filters on what is always true of few rows let Spark sieve the documents by them before it shuffles texts.
+    few = held.where(F.size("anchors") > 0)
+    segments = source.join(few, "key").select("key", "text", "version", "anchors").mapInArrow(
+        _segments(length, shards), ", ".join(f"{c} {'int' if c == 'shard' else 'binary'}" for c in _ROW)
     )
-    held = anchors.groupBy("shard").applyInArrow(_repeated, "id long, anchor long")
-    held = held.groupBy(F.col("id").alias("holder")).agg(F.collect_set("anchor").alias("anchors"))
-    candidates = keyed.join(held, F.col("key") == F.col("holder")).select("id", "text", "version", "anchors")
-    segments = candidates.mapInArrow(_segments(length, shards), ", ".join(
-        "shard int" if c == "shard" else f"{c} binary" for c in _ROW))
-    spans = segments.groupBy("shard").applyInArrow(_spans(length), "id long, version long, begin long, end long")
-    spans = spans.groupBy(F.col("id").alias("holder")).agg(F.collect_list(F.struct("version", "begin", "end")).alias("spans"))
-    whole = keyed.join(spans, F.col("key") == F.col("holder"), "left").select("id", "text", "version", "spans")
+    spans = segments.groupBy("shard").applyInArrow(_spans(length), "key long, version long, begin long, end long")
+    spans = spans.groupBy("key").agg(F.collect_list(F.struct("version", "begin", "end")).alias("spans"))
+    spans = materialize(spans, "spans").where(F.size("spans") > 0)
     schema = (
-        f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+        "key long, version long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<begin:long, end:long>>, kept binary"
     )
-    return whole.mapInArrow(_cut, schema).withColumnRenamed("id", id_col)
+    return source.join(spans, "key").mapInArrow(_cut, schema).where("n_removed > 0").dropDuplicates(["key", "version"])
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    whole = docs.select(
+        F.col(id_col).alias("id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(int(np.iinfo(np.int64).min))).alias("key"),
+        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("version"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("whole_sha256"),
+    )
+    cut = repeats(docs, length, id_col, text_col).drop("kept")
+    return whole.join(cut, ["key", "version"], "left").select(
+        F.col("id").alias(id_col),
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+        F.coalesce("spans", F.array()).alias("spans"),
+    )
