@@ -34,20 +34,22 @@ from larkspur.llm.kernels import (
     binary,
     joined,
     mix,
+    packed,
     pieces,
     shard_of,
     shingles,
     split_by,
     texts_of,
+    unpacked,
     word_hashes,
     words,
 )
 from larkspur.workspace import materialize
 
 #: N-grams with a place of their own in the order; the rest is ordered by hash. Bounds a broadcast of 16 bytes each.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 19
 #: Documents of one batch that must hold an n-gram for the batch to report it as frequent.
-REPORTED = 4
+REPORTED = 3
 
 
 def sets_of(texts, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -137,6 +139,8 @@ def _frequent(survey: DataFrame) -> Order:
     return Order(top["node"].to_numpy().view(np.uint64), top["docs"].to_numpy())
 
 
+#: A posted n-gram is named by 40 bits beside its shard; two of one name only cost a comparison more.
+_NAME = np.uint64((1 << 40) - 1)
 _POSTED = {"gram": np.uint64, "owner": np.int64, "size": np.int32, "place": np.int32}
 _PACKED = "shard int, gram binary, owner binary, size binary, place binary, leader binary, member binary"
 
@@ -144,12 +148,14 @@ _PACKED = "shard int, gram binary, owner binary, size binary, place binary, lead
 def _postings(texts: DataFrame, order, width: int, per_100: int, shards: int) -> DataFrame:
     """Prefix n-grams of the groups of each batch, and the members of its groups, packed by shard.
 
-    A group is the classes of a batch of one size with one prefix; its first class posts for all.
+    A group is the classes of a batch of one size with one prefix; its first class posts for all. A row holds its
+    groups once and refers to them by number.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, seen, groups, leaders, members = [], set(), {}, [], []
+            owners, sizes = [], []
             for _, whole in sets_of(texts_of(batch.column(0)), width):
                 n, node = len(whole), _identity(whole)
                 if not n or node in seen:
@@ -161,29 +167,60 @@ def _postings(texts: DataFrame, order, width: int, per_100: int, shards: int) ->
                     leaders.append(leader)
                     members.append(node)
                     continue
-                parts.append((prefix, np.full(len(prefix), node), np.full(len(prefix), n, np.int32),
-                              np.arange(len(prefix), dtype=np.int32)))
+                parts.append((prefix, np.full(len(prefix), len(owners)), np.arange(len(prefix), dtype=np.uint32)))
+                owners.append(node)
+                sizes.append(n)
             if not parts:
                 continue
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            by_gram = np.argsort(columns[0], kind="stable")
-            columns = [c[by_gram] for c in columns]
-            posted = dict(split_by(shard_of(columns[0], shards), shards, *columns))
+            owners, sizes = np.array(owners, np.int64), np.array(sizes, np.int32)
+            gram, owner, place = (np.concatenate(c) for c in zip(*parts, strict=True))
             leaders, members = np.array(leaders, np.int64), np.array(members, np.int64)
-            folded = dict(split_by(shard_of(mix(leaders), shards), shards, leaders, members))
-            for k in sorted(posted.keys() | folded.keys()):
-                row = posted.get(k, [columns[0][:0]] * 4) + folded.get(k, [leaders[:0]] * 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), *(binary([c]) for c in row)],
-                    names=["shard", *_POSTED, "leader", "member"],
-                )
+            yield from posted_rows(gram, owner, place, owners, sizes, leaders, members, shards)
 
-    return texts.mapInArrow(run, _PACKED)
+    return texts.mapInArrow(run, posted_schema())
+
+
+_SENT = ["shard", "gram", "number", "place", "owners", "sizes", "leader", "member"]
+
+
+def posted_schema() -> str:
+    return ", ".join(f"{c} {'int' if c == 'shard' else 'binary'}" for c in _SENT)
+
+
+def posted_rows(gram, owner, place, owners, sizes, leaders, members, shards: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard: its postings (n-gram, number of the owner, place), the owners they refer to with their
+    sizes, and the classes folded into another."""
+    folded = dict(split_by(shard_of(mix(leaders), shards), shards, leaders, members))
+    posted = dict(split_by(shard_of(gram, shards), shards, gram & _NAME, owner, place))
+    for k in sorted(posted.keys() | folded.keys()):
+        name, number, at = posted.get(k, [gram[:0], owner[:0], place[:0]])
+        by_name = np.argsort(name, kind="stable")
+        here, number = np.unique(number[by_name], return_inverse=True)
+        row = [
+            packed(name[by_name], True), packed(number.astype(np.uint32)), packed(at[by_name]),
+            owners[here].tobytes(), packed(sizes[here]), *(c.tobytes() for c in folded.get(k, [leaders[:0]] * 2)),
+        ]
+        columns = [pa.array([k], pa.int32()), *(pa.array([c], pa.binary()) for c in row)]
+        yield pa.RecordBatch.from_arrays(columns, names=_SENT)
 
 
 def _shared(table: pa.Table) -> pa.Table:
     """A shard's postings of n-grams that more than one group has, by n-gram and size."""
-    gram, owner, size, place = (joined(table[name], kind) for name, kind in _POSTED.items())
+    parts = []
+    for row in table.select(_SENT[1:6]).to_pylist():
+        number = unpacked(row["number"], np.uint32)
+        owners, sizes = np.frombuffer(row["owners"], np.int64), unpacked(row["sizes"], np.int32)
+        parts.append((unpacked(row["gram"], np.uint64, True), owners[number], sizes[number],
+                      unpacked(row["place"], np.uint32).astype(np.int32)))
+    gram, owner, size, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts
+    # Names that occur once are most; they are left out before the rest is put in order.
+    some = np.sort(gram)
+    again = np.unique(some[1:][some[1:] == some[:-1]])
+    at = np.searchsorted(again, gram)
+    at[at == len(again)] = 0
+    use = again[at] == gram if len(again) else np.zeros(len(gram), bool)
+    gram, owner, size, place = gram[use], owner[use], size[use], place[use]
     order = np.lexsort((owner, size, gram))
     gram, owner, size, place = gram[order], owner[order], size[order], place[order]
     # The same class, posted by several batches.
@@ -280,12 +317,15 @@ def _crossings(per_100: int):
     return run
 
 
-def _sets(source: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The whole set of each node, from the text of one document of its class."""
+def _sets(source: DataFrame, survey: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The whole set of each class of some pair, from the text of one document of it."""
     documents = survey.where("docs = 0").select("id", "node")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     chosen = documents.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    chosen = chosen.select(F.col("id").alias("chosen")).distinct()
-    texts = source.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
+    chosen = materialize(chosen.groupBy("id").agg(F.count("*").alias("classes")), "chosen")
+    # The filter on the few wanted ids lets Spark sieve the documents by them before it shuffles texts.
+    texts = source.join(chosen.where("classes > 0"), "id", "left_semi").select("id", "text")
+    texts = texts.union(source.where("id IS NULL"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,8 +338,9 @@ def _sets(source: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) ->
     return texts.mapInArrow(run, "node long, grams binary").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
-    """The pairs whose whole sets reach the threshold."""
+def agreed(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets (node, grams) reach the threshold."""
+    sets = materialize(sets, "sets")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
 
@@ -327,26 +368,25 @@ def jaccard_components(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     survey = materialize(_survey(source, width), "survey")
     order = spark.sparkContext.broadcast(_frequent(survey))
-    packed = _postings(source.select("text"), order, width, per_100, shards)
-    posted = materialize(packed.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
+    sent = _postings(source.select("text"), order, width, per_100, shards)
+    posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
 
     stars = materialize(posted.mapInArrow(_stars(per_100), "a long, b long").distinct(), "stars")
+    near = materialize(agreed(stars, _sets(source, survey, stars, width), per_100), "near")
+    labels = connected_components(near)
     # Where each group is posted, and the classes folded into it.
     places = materialize(posted.mapInArrow(_places, "shard int, owner long").distinct(), "places")
-    folds = materialize(posted.mapInArrow(_folds, "owner long, node long").distinct(), "folds")
-    members = places.select("owner").union(folds.select("owner")).distinct().select("owner", F.col("owner").alias("node"))
-    members = materialize(members.union(folds).distinct(), "members")
-    sets = materialize(_sets(source, survey, members.select("node").distinct(), width), "sets")
-    near = materialize(_verified(stars, sets, per_100), "near")
-    labels = connected_components(near)
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    labelled = materialize(labelled.select("owner", "node", "label"), "labels")
-    here = places.join(labelled, "owner").groupBy("shard")
+    folds = posted.mapInArrow(_folds, "owner long, node long").distinct()
+    alone = places.select("owner").union(folds.select("owner")).distinct().select("owner", F.col("owner").alias("node"))
+    members = alone.union(folds).join(labels, "node", "left")
+    members = materialize(members.select("owner", "node", F.coalesce("component", "node").alias("label")), "members")
+    here = places.join(members, "owner").groupBy("shard")
     across = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100), "a long, b long")
-    x, y = labelled.alias("x"), labelled.alias("y")
+    x, y = members.alias("x"), members.alias("y")
     inside = x.join(y, F.expr("x.owner = y.owner AND x.node < y.node AND x.label <> y.label"))
     rest = across.union(inside.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).distinct()
-    links = near.union(_verified(rest, sets, per_100))
+    rest = materialize(rest, "rest")
+    links = near.union(agreed(rest, _sets(source, survey, rest, width), per_100))
     found = connected_components(links)
 
     documents = survey.where("docs = 0")

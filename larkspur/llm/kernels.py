@@ -193,5 +193,18 @@ def joined(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:
     return np.concatenate(values) if values else np.zeros(0, dtype)
 
 
+def packed(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers by byte planes, so that the planes of small numbers compress to nothing; differences if they rise."""
+    if rising:
+        numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+
+
+def unpacked(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    numbers = np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
+    return np.cumsum(numbers, dtype=dtype) if rising else numbers
+
+
 def string_column(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary()).cast(pa.string())

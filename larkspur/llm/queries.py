@@ -72,3 +72,24 @@ def op4_suffix_dedup(t: Tables) -> DataFrame:
     from larkspur.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(t.documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op7_substring_dedup(t: Tables) -> DataFrame:
+    from larkspur.llm.paragraph_dedup import passage_report
+
+    return passage_report(t.documents)
+
+
+@query
+def op8_toxicity(t: Tables) -> DataFrame:
+    from larkspur.llm.toxicity import Toxicity
+
+    model = Toxicity.fit(t.documents, t.labels, ~held_out(F.col("id"), 5))
+    scored = model.score(t.documents.select("doc_id", "text"))
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        held_out(F.col("row.doc_id"), 5).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
