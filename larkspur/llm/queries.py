@@ -93,3 +93,34 @@ def op8_toxicity(t: Tables) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_source_mixing(t: Tables) -> DataFrame:
+    from larkspur.llm.mixing import mix_sources
+
+    return mix_sources(t.documents).select("doc_id", "source", "block", "slot", "position", "on_target")
+
+
+@query
+def op5_exact_topk(t: Tables) -> DataFrame:
+    from larkspur.llm.topk import top_k
+
+    return top_k(t.embeddings, F.col("id") % 100 == 0)
+
+
+TWINS["op5_exact_topk"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id,
+        list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS score
+    FROM whole q JOIN whole d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id AND len(q.v) = len(d.v)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+"""
