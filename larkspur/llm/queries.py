@@ -124,3 +124,10 @@ WITH whole AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op10_html_text(t: Tables) -> DataFrame:
+    from larkspur.llm.html_text import main_text
+
+    return main_text(t.pages)
