@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import hash_number, row_hash
-from larkspur.operators.ranking import rank_index
+from larkspur.operators.ranking import class_name, rank_index
 from larkspur.operators.resample import draws
 from larkspur.workspace import materialize
 
@@ -217,30 +217,26 @@ def smote(
     Synthetic minority over-sampling (Chawla et al., 2002) with exact neighbours inside the class.
     """
     index = rank_index(df.select(key, target, vector), [key], seed, by=target)
-    top = max(index.totals.values())
-    small = {c: n for c, n in index.totals.items() if n < top}
-    short = [c for c, n in small.items() if n <= k]
+    top = index.classes.agg(F.coalesce(F.max("_total"), F.lit(0))).first()[0]
+    small = index.classes.where(F.col("_total") < top)
+    short = small.where(F.col("_total") <= k).limit(5).collect()
     if short:
-        raise ValueError(f"classes {short} have no {k} neighbours")
-    spark = df.sparkSession
-    sizes = F.broadcast(spark.createDataFrame(list(small.items()) or [("", 0)], "_class string, _size long"))
-    picks = (
-        draws(spark, {c: top - n for c, n in small.items()})
-        .join(sizes, "_class")
-        .withColumns(
-            {
-                "_rank": hash_number(F.col("_class"), F.col("_draw"), seed, "row") % F.col("_size"),
-                "rank": (hash_number(F.col("_class"), F.col("_draw"), seed, "near") % k + 1).cast("int"),
-                "share": hash_number(F.col("_class"), F.col("_draw"), seed, "gap") / float(1 << 60),
-            }
-        )
-        .select("_class", "_rank", "rank", "share")
+        raise ValueError(f"classes {[r['_class'] for r in short]} have no {k} neighbours")
+    picks = draws(small.withColumn("_k", F.lit(top) - F.col("_total"))).select(
+        "_class",
+        (hash_number(F.col("_class"), F.col("_draw"), seed, "row") % F.col("_total")).alias("_rank"),
+        (hash_number(F.col("_class"), F.col("_draw"), seed, "near") % k + 1).cast("int").alias("rank"),
+        (hash_number(F.col("_class"), F.col("_draw"), seed, "gap") / float(1 << 60)).alias("share"),
     )
     chosen = index.at_ranks(picks)
-    minority = df.where(F.col(target).cast("string").isin(*small) if small else F.lit(False)).select(
-        F.col(key).alias("id"),
-        F.col(vector).cast("array<double>").alias("vector"),
-        F.col(target).cast("string").alias("group"),
+    minority = (
+        df.withColumn("_class", class_name(target))
+        .join(small.select("_class"), "_class", "left_semi")
+        .select(
+            F.col(key).alias("id"),
+            F.col(vector).cast("array<double>").alias("vector"),
+            F.col(target).cast("string").alias("group"),
+        )
     )
     near = nearest(minority, minority, k, same=True).select(
         F.col("id").alias(key), "rank", "neighbour"

@@ -1,16 +1,17 @@
 """Exact ranks in hash order, found without sorting the table.
 
 Rows are ordered by the MD5 of key and seed. Counting the rows per four-digit prefix gives at most 65,536 numbers per
-class, and their running sum says in which prefix any rank lies. Only that prefix is then looked at closely. The key must
-be unique, as the primary key of a table is.
+class, and their running sum says in which prefix any rank lies. Only that prefix is then looked at closely. Classes,
+their sizes and their cuts stay in tables, so there may be any number of them. The key must be unique, as the primary key
+of a table is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import row_hash
@@ -23,48 +24,52 @@ _NULL_CLASS = "∅"
 
 @dataclass(frozen=True)
 class RankIndex:
-    """Row counts per class and hash prefix. ``totals`` maps each class, as text, to its row count."""
+    """Row counts per class and hash prefix. ``classes`` holds each class, as text, and its row count ``_total``."""
 
     rows: DataFrame
     spans: DataFrame
-    totals: dict[str, int]
+    classes: DataFrame
     columns: tuple[str, ...]
+    grouped: bool
 
-    def cut(self, ranks: Callable[[str, int], Sequence[int]], name: str = "part") -> DataFrame:
+    def total(self) -> int:
+        """Rows in all."""
+        return self.classes.agg(F.coalesce(F.sum("_total"), F.lit(0))).first()[0]
+
+    def cut(self, ranks: Column, name: str = "part", classes: DataFrame | None = None) -> DataFrame:
         """Number the parts the rows fall into when each class is cut at the given ranks.
 
-        ``ranks`` gets a class and its size and returns ascending row counts; the first part is 0. The result is the
-        table with one more column, made by comparing each row's hash with its class's boundaries: no shuffle.
+        ``ranks`` is an array of ascending row counts over the columns of ``classes``; the first part is 0. The result is
+        the table with one more column, made by comparing each row's hash with its class's boundaries.
         """
-        wanted = {c: list(ranks(c, n)) for c, n in self.totals.items()}
-        found = self._hashes({(c, r) for c, rs in wanted.items() for r in rs if 0 < r < self.totals[c]})
+        table = self.classes if classes is None else classes
+        cuts = table.select("_class", "_total", F.posexplode(ranks).alias("_place", "_rank"))
+        cuts = materialize(cuts.withColumn("_rank", F.col("_rank").cast("long")), "cuts")
+        found = self._hashes(cuts.where((F.col("_rank") > 0) & (F.col("_rank") < F.col("_total"))))
         # Below every hash for rank 0, above every hash for the last one.
-        edges = {
-            c: ["" if r <= 0 else "g" if r >= self.totals[c] else found[c, r] for r in rs] for c, rs in wanted.items()
-        }
+        edge = F.when(F.col("_rank") <= 0, "").when(F.col("_rank") >= F.col("_total"), "g").otherwise(F.col("_at"))
+        edges = cuts.join(found, ["_class", "_rank"], "left").groupBy("_class")
+        edges = edges.agg(F.array_sort(F.collect_list(F.struct("_place", edge.alias("edge")))).alias("_cuts"))
+        edges = edges.select("_class", F.col("_cuts.edge").alias("_edges"))
         below = F.size(F.filter("_edges", lambda e: e < F.col("_hash")))
-        if len(edges) == 1:
-            only = next(iter(edges.values()))
-            parts = self.rows.withColumn("_edges", F.array(*[F.lit(e) for e in only]).cast("array<string>"))
+        if self.grouped:
+            parts = self.rows.join(materialize(edges, "edges"), "_class")
         else:
-            # One row per class; the class count is checked when the index is built.
-            table = self.rows.sparkSession.createDataFrame(
-                [(c, es) for c, es in edges.items()], "_class string, _edges array<string>"
+            # One class: its few boundaries become literals, and no row moves.
+            only = edges.first()
+            parts = self.rows.withColumn(
+                "_edges", F.array(*[F.lit(e) for e in (only["_edges"] if only else [])]).cast("array<string>")
             )
-            parts = self.rows.join(F.broadcast(table), "_class")
         return parts.select(*self.columns, below.alias(name))
 
-    def _hashes(self, wanted: set[tuple[str, int]]) -> dict[tuple[str, int], str]:
-        """The hash of the r-th row of a class, for each wanted (class, r)."""
-        if not wanted:
-            return {}
-        spark = self.rows.sparkSession
-        targets = F.broadcast(spark.createDataFrame(sorted(wanted), "_class string, _rank long"))
+    def _hashes(self, wanted: DataFrame) -> DataFrame:
+        """``_at``, the hash of the r-th row of a class, for each wanted (``_class``, ``_rank``)."""
         inside = (F.col("_rank") > F.col("_ahead")) & (F.col("_rank") <= F.col("_ahead") + F.col("_n"))
-        hit = self.spans.join(targets, "_class").where(inside).select("_class", "_prefix", "_ahead", "_rank")
+        hit = self.spans.join(wanted.select("_class", "_rank").distinct(), "_class").where(inside)
+        hit = materialize(hit.select("_class", "_prefix", "_ahead", "_rank"), "hit")
         # Copies of a key share a hash: they are counted, not listed.
         close = (
-            self.rows.join(F.broadcast(hit.select("_class", "_prefix").distinct()), ["_class", "_prefix"], "left_semi")
+            self.rows.join(hit.select("_class", "_prefix").distinct(), ["_class", "_prefix"], "left_semi")
             .groupBy("_class", "_prefix", "_hash")
             .agg(F.count("*").alias("_copies"))
         )
@@ -72,15 +77,15 @@ class RankIndex:
         through = F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, 0))
         at = (
             close.withColumn("_through", through)
-            .join(F.broadcast(hit), ["_class", "_prefix"])
+            .join(hit, ["_class", "_prefix"])
             .withColumn("_through", F.col("_through") + F.col("_ahead"))
             .where((F.col("_rank") <= F.col("_through")) & (F.col("_rank") > F.col("_through") - F.col("_copies")))
-            .select("_class", "_rank", "_hash", "_through")
-            .collect()
+            .select("_class", "_rank", F.col("_hash").alias("_at"), "_through")
         )
-        if any(r["_through"] != r["_rank"] for r in at):
+        at = materialize(at, "edges")
+        if at.where("_through <> _rank").limit(1).count():
             raise ValueError("the key repeats where the table is to be cut; give a unique key")
-        return {(r["_class"], r["_rank"]): r["_hash"] for r in at}
+        return at.drop("_through")
 
     def at_ranks(self, picks: DataFrame) -> DataFrame:
         """Join picks (``_class``, ``_rank`` from 0, anything else) with the rows that hold these ranks.
@@ -114,25 +119,23 @@ class RankIndex:
 
     def _with_step(self, df: DataFrame) -> DataFrame:
         """Add the number of ranks per block of the row's class."""
-        steps = {c: max(1, n // _PREFIXES) for c, n in self.totals.items()}
-        if len(steps) == 1:
-            return df.withColumn("_step", F.lit(next(iter(steps.values()))).cast("long"))
-        table = df.sparkSession.createDataFrame(list(steps.items()), "_class string, _step long")
-        return df.join(F.broadcast(table), "_class")
+        step = F.greatest(F.lit(1), F.expr(f"_total div {_PREFIXES}")).cast("long").alias("_step")
+        return df.join(self.classes.select("_class", step), "_class")
 
 
-def rank_index(
-    df: DataFrame, keys: Sequence[str], seed: int, by: str | None = None, max_classes: int = 10_000
-) -> RankIndex:
+def rank_index(df: DataFrame, keys: Sequence[str], seed: int, by: str | None = None) -> RankIndex:
     """Count the rows per class and prefix: one pass over the key and class columns."""
-    label = F.lit(_NO_CLASS) if by is None else F.coalesce(F.col(by).cast("string"), F.lit(_NULL_CLASS))
+    label = F.lit(_NO_CLASS) if by is None else class_name(by)
     rows = df.withColumns({"_class": label, "_hash": row_hash(keys, seed)}).withColumn(
         "_prefix", F.substring("_hash", 1, 4)
     )
     counts = rows.groupBy("_class", "_prefix").agg(F.count("*").alias("_n"))
     ahead = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     spans = materialize(counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))), "ranks")
-    found = spans.groupBy("_class").agg(F.sum("_n").alias("n")).limit(max_classes + 1).collect()
-    if len(found) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {by}")
-    return RankIndex(rows, spans, {r["_class"]: r["n"] for r in found}, tuple(df.columns))
+    classes = materialize(spans.groupBy("_class").agg(F.sum("_n").alias("_total")), "classes")
+    return RankIndex(rows, spans, classes, tuple(df.columns), by is not None)
+
+
+def class_name(column: str) -> Column:
+    """A class as text, null included."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(_NULL_CLASS))

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from larkspur.functions.hashing import hash_number
 from larkspur.operators.ranking import rank_index
 
-# A synthetic key is this prefix and a number from this range.
+# A synthetic key is this prefix and a number, counted up from this one.
 KEY_PREFIX = "INS"
-KEY_FIRST, KEY_SPAN = 40_000, 59_999
-_KEY_STRIDE = 7_919
+KEY_FIRST = 40_000
 
 
 def synthetic_rows(
@@ -24,7 +23,10 @@ def synthetic_rows(
     Each (row, column) picks a random rank, and only the parts of the table that are hit get numbered.
     """
     index = rank_index(df, keys, seed)
-    ((label, n),) = index.totals.items()
+    only = index.classes.first()
+    if only is None:
+        raise ValueError("no rows to draw from")
+    label, n = only["_class"], only["_total"]
     names = F.array(*[F.lit(c) for c in columns])
     picks = (
         df.sparkSession.range(num_rows)
@@ -32,12 +34,10 @@ def synthetic_rows(
         .withColumns({"_class": F.lit(label), "_rank": hash_number(F.col("_row"), F.col("_column"), seed) % F.lit(n)})
     )
     picked = index.at_ranks(picks)
-    # The stride shares no factor with the span, so no number comes twice; a longer table just counts on.
-    number = (F.col("_row") * _KEY_STRIDE + seed) % KEY_SPAN if num_rows <= KEY_SPAN else F.col("_row")
     return (
         picked.groupBy("_row")
         .agg(*[F.max(F.when(F.col("_column") == c, F.col(c))).alias(c) for c in columns])
-        .select(F.concat(F.lit(KEY_PREFIX), (number + KEY_FIRST).cast("string")).alias(key), *columns)
+        .select(F.concat(F.lit(KEY_PREFIX), (F.col("_row") + KEY_FIRST).cast("string")).alias(key), *columns)
     )
 
 

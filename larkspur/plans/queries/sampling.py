@@ -105,7 +105,7 @@ drawn AS (
   FROM range(200) a(i) CROSS JOIN
        (VALUES ('o_totalprice'), ('order_year'), ('o_orderpriority'), ('c_mktsegment')) b(c)),
 synthetic AS (
-  SELECT 'INS' || (40000 + (i * 7919 + 42) % 59999) AS row_key,
+  SELECT 'INS' || (40000 + i) AS row_key,
          max(CASE WHEN c = 'o_totalprice' THEN o_totalprice END) AS o_totalprice,
          max(CASE WHEN c = 'order_year' THEN order_year END) AS order_year,
          max(CASE WHEN c = 'o_orderpriority' THEN o_orderpriority END) AS o_orderpriority,

@@ -55,9 +55,29 @@ def test_stratified_split_keeps_shares(skewed):
     assert parts == [{"rare": 12, "some": 288, "most": 900}, {"rare": 3, "some": 72, "most": 225}]
 
 
-def test_quotas_by_largest_remainder():
-    assert splits.class_quotas({"a": 50, "b": 30, "c": 21}, 10) == {"a": 5, "b": 3, "c": 2}
-    assert sum(splits.class_quotas({"a": 1, "b": 1, "c": 1}, 2).values()) == 2
+def test_quotas_by_largest_remainder(spark):
+    def quotas(sizes, wanted):
+        classes = spark.createDataFrame(list(sizes.items()), "_class string, _total long")
+        return {r["_class"]: r["_quota"] for r in splits.class_quotas(classes, wanted).collect()}
+
+    assert quotas({"a": 50, "b": 30, "c": 21}, 10) == {"a": 5, "b": 3, "c": 2}
+    assert quotas({"a": 1, "b": 1, "c": 1}, 2) == {"a": 1, "b": 1, "c": 0}
+
+
+def test_any_number_of_classes(spark):
+    rows = spark.range(60_000).select("id", (F.col("id") % 20_000).alias("kind"))
+    train, test = splits.stratified_split(rows, "kind", ["id"], 0.34)
+    assert test.count() == 20_400 and train.count() == 39_600
+    assert test.select("kind").distinct().count() == 20_000
+    assert resample.under_sample(rows.where("id < 59990"), "kind", ["id"]).count() == 40_000
+
+
+def test_synthetic_keys_follow_one_rule_at_every_size(spark):
+    rows = spark.range(500).select("id", (F.col("id") * 2).alias("x"))
+    made = synthetic.synthetic_rows(rows, ["id"], "k", ["x"], 70_000)
+    few = synthetic.synthetic_rows(rows, ["id"], "k", ["x"], 10)
+    assert made.select("k").distinct().count() == 70_000
+    assert few.select("k").subtract(made.select("k")).count() == 0
 
 
 def test_too_small_class_raises(spark):
