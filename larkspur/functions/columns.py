@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType
 
-# Tokens read as null in CSV text, the usual four and the others pandas knows.
+# Tokens read as null in CSV text.
 NULL_TOKENS = (
-    *("NA", "N/A", "", "null"),
-    *("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>"),
-    *("NULL", "NaN", "None", "n/a", "nan"),
-)
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 # Declared dtype name -> Spark type.
 DTYPES = {
@@ -47,6 +46,12 @@ def is_missing(df: DataFrame, column: str) -> Column:
     return col.isNull()
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """The column; a missing value fails the query."""
+    missing = F.raise_error(F.lit(f"missing value in {column}")).cast(df.schema[column].dataType)
+    return F.when(is_missing(df, column), missing).otherwise(F.col(column))
+
+
 def null_if_token(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None)).otherwise(col)
 

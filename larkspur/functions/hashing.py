@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
     """32 hex digits that put the rows in a random but fixed order."""
-    return F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return F.md5(F.concat_ws(":", *[_part(F.col(k)) for k in keys], F.lit(str(seed))))
+
+
+def _part(key: Column) -> Column:
+    """A part of a key as text in which neither separator nor null can be mistaken for a value."""
+    text = F.replace(F.replace(key.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+    return F.coalesce(text, F.lit("\\N"))
 
 
 def hash_number(*parts: Column | str | int) -> Column:

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.columns import ratio
+from larkspur.functions.columns import present, ratio
 from larkspur.operators.ordering import running_totals
 
 # Thresholds tried by default.
@@ -25,13 +25,13 @@ def score_totals(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), positive: int = 1
 ) -> DataFrame:
     """Per distinct score: positives and negatives at it (``pos``, ``neg``), at or above it (``tp``, ``fp``), and in all
-    (``p``, ``n``). One group per value of ``by``."""
+    (``p``, ``n``). One group per value of ``by``. A missing score or label fails the query."""
     counted = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("threshold"))
+        df.select(*by, present(df, score).cast("double").alias("threshold"), present(df, label).alias("_label"))
+        .groupBy(*by, "threshold")
         .agg(
-            F.count_if(F.col(label) == positive).alias("pos"),
-            F.count_if(F.col(label) != positive).alias("neg"),
+            F.count_if(F.col("_label") == positive).alias("pos"),
+            F.count_if(F.col("_label") != positive).alias("neg"),
         )
     )
     running = running_totals(counted, [*by, F.desc("threshold")], {"tp": "pos", "fp": "neg"})
@@ -90,16 +90,15 @@ def threshold_sweep(
     """F1, accuracy, precision and recall of ``score >= t`` for every threshold, in one pass.
 
     Each row is counted once, under the highest threshold it reaches; sums over the handful of thresholds do the rest.
+    A missing score or label fails the query.
     """
     tried = list(THRESHOLDS if thresholds is None else thresholds)
     steps = sorted(set(tried))
     cut = Bucketizer(
-        splits=[-float("inf"), *steps, float("inf")], inputCol="_score", outputCol="_step", handleInvalid="skip"
+        splits=[-float("inf"), *steps, float("inf")], inputCol="_score", outputCol="_step", handleInvalid="error"
     )
     reached = cut.transform(
-        df.where(F.col(label).isNotNull()).select(
-            F.col(score).cast("double").alias("_score"), (F.col(label) == positive).alias("_hit")
-        )
+        df.select(present(df, score).cast("double").alias("_score"), (present(df, label) == positive).alias("_hit"))
     )
     counted = reached.groupBy(F.col("_step").cast("int").alias("_step")).agg(
         F.count_if("_hit").alias("pos"), F.count_if(~F.col("_hit")).alias("neg")

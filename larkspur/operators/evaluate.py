@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from larkspur.functions.columns import ratio
+from larkspur.functions.columns import present, ratio
 from larkspur.operators.curves import curve_summary
 
 METRICS = ("accuracy", "precision", "recall", "f1")
@@ -27,10 +27,10 @@ def _common_type(df: DataFrame, *columns: str) -> str:
 
 
 def pair_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per (true, predicted) class; both classes in one type."""
+    """Rows per (true, predicted) class; both classes in one type. A missing label or prediction fails the query."""
     kind = _common_type(df, label, prediction)
     return df.groupBy(
-        *by, F.col(label).cast(kind).alias("label"), F.col(prediction).cast(kind).alias("prediction")
+        *by, present(df, label).cast(kind).alias("label"), present(df, prediction).cast(kind).alias("prediction")
     ).agg(F.count("*").alias("n"))
 
 

@@ -50,9 +50,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The target after merging the updates by key: known keys are replaced, new ones added.
 
-    A column the updates lack keeps the target's value; a column only the updates have is added. One join.
+    A column the updates lack keeps the target's value; a column only the updates have is added. One join. Keys take the
+    target's type; a null in a key of the updates fails the query.
     """
-    latest = latest_per_key(updates, keys, order)
+    latest = latest_per_key(_complete(_typed(updates, target.schema, keys), keys), keys, order)
     columns = [*target.columns, *[c for c in latest.columns if c not in target.columns]]
     old = target.select(*keys, F.struct(*target.columns).alias("_old"))
     new = latest.select(*keys, F.struct(*latest.columns).alias("_new"))
@@ -69,6 +70,19 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
     return old.join(new, list(keys), "full_outer").select(*[value(c) for c in columns])
 
 
+def _typed(updates: DataFrame, schema: StructType, columns: Sequence[str]) -> DataFrame:
+    """The updates with these columns in the types of the schema, so that equal keys hash alike."""
+    kinds = {f.name: f.dataType for f in schema}
+    return updates.withColumns({c: F.col(c).cast(kinds[c]) for c in columns if c in kinds})
+
+
+def _complete(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The updates; a row with a null in its key fails the query."""
+    missing = F.raise_error(F.lit(f"null in the key {list(keys)} of the updates"))
+    kinds = {f.name: f.dataType for f in updates.schema}
+    return updates.withColumns({k: F.when(F.col(k).isNull(), missing.cast(kinds[k])).otherwise(F.col(k)) for k in keys})
+
+
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row changes between two versions: insert, delete, and both images of each update."""
     rest = [c for c in old.columns if c not in keys]
@@ -126,7 +140,9 @@ def merge_into(
     stated = _properties(spark, name)
     if stated[_KEYS] != ",".join(keys):
         raise ValueError(f"the key of {name} is {stated[_KEYS]}")
-    one_each = latest_per_key(updates, keys, order)
+    schema = spark.table(name).schema
+    known_types = [f.name for f in schema if f.name in updates.columns]
+    one_each = latest_per_key(_complete(_typed(updates, schema, known_types), keys), keys, order)
     latest = materialize(_bucketed(one_each, keys, int(stated[_BUCKETS])), "updates")
     # At most as many values as the table has buckets.
     touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]

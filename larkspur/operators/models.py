@@ -51,28 +51,34 @@ _KNOWN: dict[str, tuple[type, dict[str, str], dict[str, Any]]] = {
     "decision_tree": (DecisionTreeClassifier, {**_COMMON, "criterion": "impurity"}, {}),
     "logistic": (LogisticRegression, _LINEAR, {}),
     "svm": (LinearSVC, _LINEAR, {}),
-    "naive_bayes": (NaiveBayes, {"var_smoothing": "smoothing"}, {"modelType": "gaussian"}),
+    "naive_bayes": (NaiveBayes, {}, {"modelType": "gaussian"}),
     **{name: (GBTClassifier, _BOOST, {}) for name in ("gradient_boosting", "lightgbm", "xgboost", "catboost")},
 }
+# Fitted with a penalty on unscaled columns.
+_PENALIZED = (LogisticRegression, LinearSVC)
 _SEEDED = (RandomForestClassifier, DecisionTreeClassifier, GBTClassifier)
 # Fitted once per class when there are more.
 _TWO_CLASSES = (GBTClassifier, LinearSVC)
 CLASSIFIERS = (*_KNOWN, "knn")
 
 
-def create_classifier(name: str, task: str = "classification", **params):
-    """A Spark classifier by name. Parameters take their common names or Spark's own; ``knn`` has its own class."""
+def create_classifier(name: str, task: str = "classification", rows: int | None = None, **params):
+    """A Spark classifier by name. Parameters take their common names or Spark's own; ``knn`` has its own class.
+
+    ``C`` of the linear models weighs the sum of the losses against the penalty, 1 unless given; Spark weighs their mean, so
+    it needs the number of training rows, ``rows``.
+    """
     if task != "classification":
-        raise ValueError(f"Unknown task type: {task}")
+        raise ValueError(f"only classification is offered, not {task}")
     if name == "knn":
         return NeighbourClassifier(**params)
     if name not in _KNOWN:
-        raise ValueError(f"Unknown model: {name} for task {task}")
+        raise ValueError(f"no classifier goes by the name {name}; there are {', '.join(CLASSIFIERS)}")
     kind, names, defaults = _KNOWN[name]
     chosen = dict(defaults)
     for given, value in params.items():
-        if given == "C" and kind in (LogisticRegression, LinearSVC):
-            chosen["regParam"] = 1.0 / value
+        if given == "C" and kind in _PENALIZED:
+            continue
         elif given == "random_state" and kind not in _SEEDED:
             continue
         else:
@@ -81,6 +87,10 @@ def create_classifier(name: str, task: str = "classification", **params):
     unknown = [p for p in chosen if not estimator.hasParam(p)]
     if unknown:
         raise ValueError(f"{name} has no parameter {unknown}")
+    if kind in _PENALIZED and "regParam" not in chosen:
+        if rows is None:
+            raise ValueError("the penalty depends on the number of training rows")
+        chosen |= {"regParam": 1.0 / (params.get("C", 1.0) * max(rows, 1)), "standardization": False}
     return estimator._set(**chosen)
 
 
@@ -115,7 +125,7 @@ class ModelPlan:
 
     def __post_init__(self):
         if self.resampling not in (None, "smote", "random_over", "random_under"):
-            raise ValueError(f"Unknown resampling strategy: {self.resampling}")
+            raise ValueError(f"resampling is smote, random_over or random_under, not {self.resampling}")
 
     def fit(self, df: DataFrame, label: str, keys: Sequence[str]) -> FittedModel:
         """Fit on ``df``. Key and label are no features; rows are balanced here and never when scoring."""
@@ -124,11 +134,11 @@ class ModelPlan:
         steps = PipelineModel([prepared.stage(), assembler])
         rows = steps.transform(df).select(*keys, F.col(label).cast("double").alias("_label"), FEATURES)
         rows = self._balanced(rows, keys)
-        classifier = create_classifier(self.model, **self.params)
-        if isinstance(classifier, NeighbourClassifier):
-            return FittedModel(steps, neighbours=classifier.fit(rows))
+        if self.model == "knn":
+            return FittedModel(steps, neighbours=NeighbourClassifier(**self.params).fit(rows))
         training = rows.select("_label", FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            classifier = create_classifier(self.model, rows=training.count(), **self.params)
             if isinstance(classifier, _TWO_CLASSES) and training.select("_label").distinct().limit(3).count() > 2:
                 classifier = OneVsRest(classifier=classifier, featuresCol=FEATURES, labelCol="_label")
             return FittedModel(PipelineModel([*steps.stages, classifier.fit(training)]))

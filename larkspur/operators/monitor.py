@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import ratio
+from larkspur.operators.evaluate import class_metrics
+from larkspur.operators.feature_table import latest_per_key
 from larkspur.operators.joins import attach_label
+from larkspur.operators.ordering import grouped_median
 from larkspur.operators.prep import drop_incomplete
 from larkspur.operators.tables import insert_by_name, save_table, table_exists
 from larkspur.workspace import materialize
@@ -19,7 +22,7 @@ from larkspur.workspace import materialize
 WINDOW = "30 minutes"
 FLOOR = 75.0
 
-# Rank error of at most one in a thousand; keeps a window's sketch to a few kilobytes.
+# Rank error of at most one in a thousand; keeps a stream window's sketch to a few kilobytes.
 _MEDIAN_ACCURACY = 1_000
 
 _COMPARE = {
@@ -40,31 +43,27 @@ def label_predictions(flat: DataFrame, sources: Sequence[DataFrame], key: str, l
     return drop_incomplete(labelled, ["status", "prediction"])
 
 
-def new_rows(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key the table does not hold yet, one per key."""
-    return rows.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
+def new_rows(rows: DataFrame, existing: DataFrame, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
+    """Rows whose key the table does not hold yet, one per key: the last by time, other columns settling ties."""
+    return latest_per_key(rows, keys, [time]).join(existing.select(*keys), list(keys), "left_anti")
 
 
 def append_new(spark: SparkSession, rows: DataFrame, table: str, keys: Sequence[str], time: str = "timestamp") -> None:
     """Append the rows a monitoring table lacks. The table is split by day."""
     dated = rows.withColumn("event_date", F.to_date(time))
     if not table_exists(spark, table):
-        save_table(dated.dropDuplicates(list(keys)), table, "error", partition_by=["event_date"], audit=False)
+        save_table(latest_per_key(dated, keys, [time]), table, "error", partition_by=["event_date"], audit=False)
         return
     # Parsed and joined once; only the days the new rows span are read from the table.
     arrived = materialize(dated, "arrived")
     first, last = arrived.agg(F.min("event_date"), F.max("event_date")).first()
-    held = spark.table(table).where(F.col("event_date").between(first, last))
-    insert_by_name(new_rows(arrived, held, keys).hint("rebalance", "event_date"), table)
+    # Rows without a time have no day; those the table holds are compared too.
+    held = spark.table(table).where(F.col("event_date").between(first, last) | F.col("event_date").isNull())
+    insert_by_name(new_rows(arrived, held, keys, time).hint("rebalance", "event_date"), table)
 
 
-def profile_columns(
-    label: str, prediction: str, numeric: Sequence[str], classes: Sequence[float] = (0.0, 1.0)
-) -> list[Column]:
-    """The statistics of one window as aggregates that merge, so batch and stream use the same list.
-
-    ``classes`` are the label values, which lets weighted F1 be a plain sum over conditional counts.
-    """
+def profile_columns(label: str, prediction: str, numeric: Sequence[str]) -> list[Column]:
+    """The statistics of one window that are aggregates in one pass, the same for batch and stream."""
     y, p = F.col(label), F.col(prediction)
     error = p - y
     n = F.count("*")
@@ -76,9 +75,8 @@ def profile_columns(
             F.stddev(c).alias(f"{c}_stddev"),
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
-            F.approx_percentile(c, 0.5, _MEDIAN_ACCURACY).alias(f"{c}_median"),
         ]
-    variation = F.sum(y * y) - F.sum(y) * F.sum(y) / n
+    variation = n * F.var_pop(y)
     columns += [
         F.avg(error * error).alias("mse"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
@@ -86,13 +84,34 @@ def profile_columns(
         F.when(variation > 0, 1 - F.sum(error * error) / variation).alias("r2"),
         ratio(F.count_if(y == p), n).alias("accuracy_score"),
     ]
+    return columns
+
+
+def stream_columns(label: str, prediction: str, numeric: Sequence[str], classes: Sequence[float]) -> list[Column]:
+    """What a stream adds in the same pass: sketched medians, named so, and weighted F1 over the stated classes.
+
+    A label or prediction that is none of the classes fails the stream.
+    """
+    y, p = F.col(label), F.col(prediction)
     weighted = [
         F.count_if(y == c)
         * ratio(2.0 * F.count_if((y == c) & (p == c)), F.count_if(y == c) + F.count_if(p == c))
         for c in classes
     ]
-    columns.append(ratio(reduce(operator.add, weighted), n).alias("f1_score_weighted"))
-    return columns
+    score = ratio(reduce(operator.add, weighted), F.count("*"))
+    other = F.count_if(~y.isin(*classes) | ~p.isin(*classes)) > 0
+    unknown = F.raise_error(F.lit(f"a class other than {list(classes)}")).cast("double")
+    return [
+        *[F.approx_percentile(c, 0.5, _MEDIAN_ACCURACY).alias(f"{c}_median_approx") for c in numeric],
+        F.when(other, unknown).otherwise(score).alias("f1_score_weighted"),
+    ]
+
+
+def weighted_f1(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> DataFrame:
+    """Weighted F1 per group, over the classes that occur in it."""
+    classes = class_metrics(df, label, prediction, by)
+    score = ratio(F.sum(F.col("support") * F.col("f1")), F.sum("support"))
+    return classes.groupBy(*by).agg(score.alias("f1_score_weighted"))
 
 
 def profile(
@@ -102,14 +121,26 @@ def profile(
     label: str = "status",
     prediction: str = "prediction",
     numeric: Sequence[str] = (),
-    classes: Sequence[float] = (0.0, 1.0),
+    classes: Sequence[float] | None = None,
     every: str = WINDOW,
 ) -> DataFrame:
-    """One row per time window and model: statistics of the numeric columns and the quality of the predictions."""
+    """One row per time window and model: statistics of the numeric columns and the quality of the predictions.
+
+    Medians are exact (the lower one of two) and classes are those that occur. With ``classes``, as a stream needs, it is one
+    aggregation over the stated classes, and medians are sketches named ``_median_approx``.
+    """
+    windows = [F.window(time, every).alias("_window"), F.col(model).alias("model_name")]
+    columns = profile_columns(label, prediction, numeric)
+    if classes is not None:
+        result = df.groupBy(*windows).agg(*columns, *stream_columns(label, prediction, numeric, classes))
+    else:
+        rows = df.select(*windows, label, prediction, *numeric)
+        by = ["_window", "model_name"]
+        result = rows.groupBy(*by).agg(*columns).join(weighted_f1(rows, label, prediction, by), by)
+        for c in numeric:
+            result = result.join(grouped_median(rows, by, c, f"{c}_median"), by, "left")
     return (
-        df.groupBy(F.window(time, every).alias("_window"), F.col(model).alias("model_name"))
-        .agg(*profile_columns(label, prediction, numeric, classes))
-        .select("_window.start", "_window.end", "*")
+        result.select("_window.start", "_window.end", "*")
         .drop("_window")
         .withColumnsRenamed({"start": "window_start", "end": "window_end"})
     )

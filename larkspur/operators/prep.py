@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from larkspur.functions.columns import is_missing, map_label, spark_type
 
@@ -57,14 +58,36 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = True) -> DataFrame:
     """Cast in one projection. Strict: a bad or out-of-range value fails the query. Otherwise it becomes null."""
-    casts = {c: (F.col(c).cast(t) if strict else F.col(c).try_cast(t)) for c, t in types.items()}
+    casts = {c: (F.col(c).cast(t) if strict else _lenient(df, c, t)) for c, t in types.items()}
     return df.withColumns(casts)
 
 
+# Whole numbers a type holds.
+_RANGES = {"tinyint": 2**7, "smallint": 2**15, "int": 2**31, "bigint": 2**63}
+_WHOLE, _NUMBER = r"^\s*[+-]?[0-9]+\s*$", r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_NAMED = r"(?i)^\s*([+-]?(inf|infinity)|nan)\s*$"
+
+
+def _lenient(df: DataFrame, column: str, kind: str) -> Column:
+    """A cast that gives null where it can't be done. What can be told beforehand is tested first: a failing cast costs an
+    exception for each row."""
+    col, source = F.col(column), df.schema[column].dataType
+    limit = _RANGES.get(kind)
+    if isinstance(source, StringType) and limit:
+        # Fewer digits than the largest number has always fit; the few others are left to the cast.
+        return F.when(col.rlike(_WHOLE), col.try_cast(kind))
+    if isinstance(source, StringType) and kind in ("double", "float"):
+        return F.when(col.rlike(_NUMBER) | col.rlike(_NAMED), col.try_cast(kind))
+    if isinstance(source, NumericType) and limit:
+        number = col.cast("double") if kind != "bigint" else col
+        return F.when((number > float(-limit - 1)) & (number < float(limit)), col.try_cast(kind))
+    return col.try_cast(kind)
+
+
 def cast_rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Per column, how many non-null values a lenient cast turns into null."""
     row = df.agg(
-        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in types.items()]
+        *[F.count_if(F.col(c).isNotNull() & _lenient(df, c, t).isNull()).alias(c) for c, t in types.items()]
     )
     return _unpivot(row, list(types), "rejected")
 

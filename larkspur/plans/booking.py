@@ -14,7 +14,7 @@ KEY = "Booking_ID"
 TARGET = "booking_status"
 LABELS = {"Canceled": 1, "Not_Canceled": 0}
 
-COUNTS = (
+NUMERIC = (
     "no_of_adults",
     "no_of_children",
     "no_of_weekend_nights",
@@ -27,10 +27,10 @@ COUNTS = (
     "repeated_guest",
     "no_of_previous_cancellations",
     "no_of_previous_bookings_not_canceled",
+    "avg_price_per_room",
+    "no_of_special_requests",
 )
 PRICE = "avg_price_per_room"
-LAST_COUNT = "no_of_special_requests"
-NUMERIC = (*COUNTS, PRICE, LAST_COUNT)
 CATEGORICAL = ("type_of_meal_plan", "room_type_reserved", "market_segment_type")
 
 # Columns that drift doubles, and the column it moves to later years.

@@ -71,7 +71,7 @@ def _(t):
 
 @query(
     "stream_quality_profile",
-    f"""WITH {PROFILE} SELECT window_start, window_end, model_name, rows, value_max, value_median,
+    f"""WITH {PROFILE} SELECT window_start, window_end, model_name, rows, value_max, value_median AS value_median_approx,
               round(accuracy_score, 6) AS accuracy_score, round(f1_score_weighted, 6) AS f1_score_weighted FROM profile
         WHERE window_end <= (SELECT max(timestamp) FROM flat) - INTERVAL 1 HOUR""",
 )
@@ -88,7 +88,7 @@ def _(t):
         "model_name",
         "rows",
         "value_max",
-        "value_median",
+        "value_median_approx",
         F.round("accuracy_score", 6).alias("accuracy_score"),
         F.round("f1_score_weighted", 6).alias("f1_score_weighted"),
     )

@@ -41,14 +41,17 @@ def profile_stream(
     numeric: Sequence[str] = (),
     lateness: str = LATENESS,
     every: str = WINDOW,
+    classes: Sequence[float] = (0.0, 1.0),
     **columns,
 ) -> DataFrame:
     """The batch profile as a stream: a window comes out once the watermark has passed its end.
 
+    ``classes`` are the labels there can be; medians are sketches.
+
     Rows that already carry a watermark keep it.
     """
     marked = rows if _has_watermark(rows, time) else rows.withWatermark(time, lateness)
-    return profile(marked, time=time, numeric=numeric, every=every, **columns)
+    return profile(marked, time=time, numeric=numeric, every=every, classes=classes, **columns)
 
 
 def _has_watermark(df: DataFrame, column: str) -> bool:

@@ -1,6 +1,7 @@
 """Metrics and curves against Spark's own evaluators."""
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -84,3 +85,17 @@ def test_metric_that_cannot_be_computed_is_skipped(t):
     with pytest.warns(UserWarning, match="precision"):
         got = validation.fold_scores(rows, "status", "guess", metrics=["accuracy", "precision", "roc_auc", "f1_macro"])
     assert {r["metric"] for r in got.collect()} == {"accuracy", "f1_macro"}
+
+
+def test_missing_values_are_errors(spark):
+    rows = spark.createDataFrame([(1, 0.9, 1), (None, 0.2, 0), (0, 0.1, 0)], "y int, s double, p int")
+    late = spark.createDataFrame([(1, None, 1), (0, 0.1, 0)], "y int, s double, p int")
+    for run in (
+        lambda: evaluate.classification_metrics(rows, "y", "p"),
+        lambda: curves.roc_points(rows, "y", "s"),
+        lambda: curves.threshold_sweep(rows, "y", "s"),
+        lambda: curves.precision_recall_points(late, "y", "s"),
+        lambda: curves.threshold_sweep(late, "y", "s"),
+    ):
+        with pytest.raises(PySparkException, match="missing value"):
+            run().collect()

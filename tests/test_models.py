@@ -92,7 +92,7 @@ def test_approximate_medians(rows):
     assert a == pytest.approx(b, abs=0.05)
 
 
-def test_classifier_names():
+def test_classifier_names(spark):
     assert set(CLASSIFIERS) == {
         *("random_forest", "logistic", "gradient_boosting", "decision_tree", "svm"),
         *("knn", "naive_bayes", "lightgbm", "xgboost", "catboost"),
@@ -101,10 +101,12 @@ def test_classifier_names():
     got = (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize(), boosted.getSeed())
     assert got == (300, 6, 0.01, 42)
     for bad in ({"model": "oracle"}, {"model": "logistic", "task": "regression"}):
-        with pytest.raises(ValueError, match="Unknown"):
+        with pytest.raises(ValueError, match="classifi"):
             create_classifier(bad["model"], bad.get("task", "classification"))
     with pytest.raises(ValueError, match="no parameter"):
         create_classifier("logistic", leaves=3)
+    with pytest.raises(ValueError, match="var_smoothing"):
+        create_classifier("naive_bayes", var_smoothing=1e-9)
     with pytest.raises(ValueError, match="resampling"):
         ModelPlan("logistic", PREPARATION, resampling="adasyn")
 
@@ -166,3 +168,25 @@ def test_training_flow_promotes_once(spark, rows):
     assert (first["improved"], first["version"]) == (True, 1)
     assert (second["improved"], second["version"]) == (False, 1)
     assert second["champion_f1"] == second["challenger_f1"]
+
+
+def test_logistic_penalty_is_against_the_sum_of_losses(spark):
+    """One column, one weight: the minimum of C * sum of losses + w^2 / 2 is found by bisection of its slope."""
+    import math
+
+    rows = spark.range(400).select("id", (F.col("id") % 20 / 10.0 - 1.0).alias("x"))
+    rows = rows.withColumn("label", ((F.col("x") + (F.col("id") % 7 - 3) / 4.0) > 0).cast("int"))
+    data = [(r["x"], r["label"]) for r in rows.collect()]
+
+    def slope(w, c):
+        return w + c * sum(x * (1 / (1 + math.exp(-w * x)) - y) for x, y in data)
+
+    for c in (1.0, 0.05):
+        low, high = 0.0, 50.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (low, middle) if slope(middle, c) > 0 else (middle, high)
+        params = {"C": c, "fit_intercept": False, "max_iter": 200, "tol": 1e-10}
+        plan = ModelPlan("logistic", Preprocessor(numeric=["x"], numeric_strategy="none", missing_strategy="none"), params)
+        fitted = plan.fit(rows, "label", ["id"]).classifier
+        assert fitted.coefficients[0] == pytest.approx(low, rel=1e-4)

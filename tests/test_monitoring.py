@@ -1,8 +1,10 @@
 """Inference log to alert, in batch and as a stream."""
 
 import json
+from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from larkspur.operators import monitor, payload
@@ -112,3 +114,39 @@ def test_stream_profile_equals_batch_on_closed_windows(spark, t):
     got = sorted(map(tuple, spark.read.parquet(out).select(names).collect()))
     assert got == sorted(map(tuple, batch.select(names).collect()))
     assert 0 < len(got)
+
+
+def test_rows_without_a_time_are_stored_once(spark):
+    name = f"{scratch_database(spark)}.log"
+    rows = spark.createDataFrame(
+        [(1, None), (2, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))], "id int, timestamp timestamp"
+    )
+    for _ in range(3):
+        monitor.append_new(spark, rows, name, ["id"])
+    assert sorted((r["id"], r["timestamp"]) for r in spark.table(name).where("id = 2").collect()) == [
+        (2, datetime(2024, 1, 2))
+    ]
+    assert spark.table(name).count() == 2
+
+
+def test_profile_of_three_classes_and_large_values(spark):
+    at = datetime(2024, 1, 1, 0, 5)
+    rows = spark.createDataFrame(
+        [(at, "m", float(c), float(c), 1e9 + c) for c in (0, 1, 2, 2)],
+        "timestamp timestamp, model_name string, status double, prediction double, value double",
+    )
+    got = monitor.profile(rows, numeric=["value"]).first()
+    assert got["f1_score_weighted"] == 1.0 and got["accuracy_score"] == 1.0 and got["value_median"] == 1e9 + 1
+    shifted = rows.withColumns({c: F.col(c) + 1e9 for c in ("status", "prediction")})
+    assert monitor.profile(shifted).first()["r2"] == 1.0
+    with pytest.raises(PySparkException, match="a class other than"):
+        monitor.profile(rows, classes=(0.0, 1.0)).collect()
+
+
+def test_the_median_is_exact(spark):
+    at = datetime(2024, 1, 1, 0, 5)
+    rows = spark.range(50_000).select(
+        F.lit(at).alias("timestamp"), F.lit("m").alias("model_name"), F.lit(1.0).alias("status"),
+        F.lit(1.0).alias("prediction"), F.col("id").cast("double").alias("value"),
+    )
+    assert monitor.profile(rows, numeric=["value"]).first()["value_median"] == 24_999.0

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from larkspur.functions.hashing import row_hash
 from larkspur.operators import feature_table, tables
 from larkspur.operators.joins import Lookup, as_of_join, attach_label, fuse, training_set
 from larkspur.workspace import scratch_database
@@ -137,3 +138,22 @@ def test_as_of_join_against_pandas(spark, hot_rows):
     expected = {r.id: None if pd.isna(r.x) else int(r.x) for r in want.itertuples()}
     expected.update({-1: None, -2: None})
     assert {r["id"]: r["x"] for r in got.collect()} == expected
+
+
+def test_merge_with_a_narrower_key_and_null_keys(spark):
+    name = f"{scratch_database(spark)}.keyed"
+    feature_table.create_feature_table(spark.range(10).select("id", F.lit(1).alias("x")), name, ["id"], buckets=4)
+    narrow = spark.range(10).select(F.col("id").cast("int").alias("id"), F.lit(2).alias("x"))
+    feature_table.merge_into(spark, name, narrow, ["id"])
+    rows = feature_table.read_feature_table(spark, name)
+    assert (rows.count(), rows.agg(F.sum("x")).first()[0]) == (10, 20)
+    empty = spark.createDataFrame([(None, 5)], "id int, x int")
+    with pytest.raises(PySparkException, match="null in the key"):
+        feature_table.merge_into(spark, name, empty, ["id"])
+    with pytest.raises(PySparkException, match="null in the key"):
+        feature_table.upsert(rows, empty, ["id"]).collect()
+
+
+def test_composite_keys_hash_apart(spark):
+    rows = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), ("a", None), (None, "a"), ("a", "")], "x string, y string")
+    assert rows.select(row_hash(["x", "y"], 1).alias("h")).distinct().count() == 5
