@@ -1,18 +1,24 @@
 """Exact Jaccard join of word n-gram sets by a grouped prefix join, and its connected components.
 
 A document's set holds the distinct hashes of its word n-grams. Documents of one set form a class, and classes are what
-is joined. All sets are ordered by one rule: rare n-grams by hash, then the most frequent ones (a table of bounded size,
-counted over all documents) by rising frequency. Two sets at or above the threshold share an n-gram within their
-prefixes; classes of one size with one prefix are collapsed into a group, and only a group's prefix is posted. Postings
-of one n-gram meet in one shard, where group pairs are filtered by size and by the position of the n-gram. Surviving
-pairs are expanded to their classes and verified on the whole sets.
+is joined. All n-grams have one order: by the number of classes that hold them, rarest first, then by hash. Two sets at or
+above the threshold share an n-gram within their prefixes.
 
-The links come in two rounds. The first verifies, for each posted n-gram and for each group, every member against one
-pivot. The second verifies the remaining pairs, but only across components already found: a pair inside a component
-can't change it. So a group of thousands of near copies costs about one comparison for each member, while no
-pair of different texts is left out. The order decides the cost only, never the result.
+1. All n-grams are counted: dealt by hash, packed by batch, those of a single class dropped. The most frequent ones (a table
+   of bounded size, found over all documents) need no counting and skip this, so no shard gathers a hot n-gram.
+2. What is left returns to its class. A class whose prefix holds only n-grams of its own has no partner; most end here.
+   The others keep the list of their shared n-grams, which is all that an intersection can hold.
+3. Prefixes are posted. Classes of one size with one prefix are collapsed into a group, and only the group's first class
+   posts. Postings of one n-gram meet in one shard, where pairs of groups are filtered by size and by the place of the
+   n-gram. Pairs that survive are expanded to the classes of both groups and verified on their whole lists.
 
-Sets are compared by 64-bit hashes: two n-grams of one pair of documents collide with a chance of about n^2 / 2^64.
+The links come in two rounds. The first verifies the members of each bucket against a few pivots. The second
+verifies the remaining pairs, but only across components already found: a pair inside a component can't change it.
+So a group of thousands of near copies costs a few comparisons for each member, while no pair of different texts that could
+join two components is left out. Order and pivots decide the cost only, never the result.
+
+Sets are told apart by 64-bit hashes, as are n-grams: two n-grams of one pair of documents collide with a chance of about
+n^2 / 2^64.
 
 Defined results: null, empty and wordless texts have an empty set, count 0 and their own id as component; equal texts
 are linked; a component is named by its smallest id (null only if all its ids are null); repeated rows give repeated
@@ -25,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.components import connected_components
@@ -46,12 +52,16 @@ from larkspur.llm.kernels import (
 )
 from larkspur.workspace import materialize
 
-#: N-grams with a place of their own in the order; the rest is ordered by hash. Bounds a broadcast of 16 bytes each.
-FREQUENT = 1 << 19
+#: N-grams that come last in the order without being counted. Bounds a broadcast of 16 bytes each.
+FREQUENT = 1 << 17
 #: Documents of one batch that must hold an n-gram for the batch to report it as frequent.
 REPORTED = 3
 
 
+#: Classes of a bucket that the others are first compared with.
+PIVOTS = 8
+
+
 def sets_of(texts, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """Number of each text and the sorted distinct hashes of its word n-grams (lower-case in A-Z)."""
     for first, piece in pieces(texts):
@@ -77,27 +87,6 @@ def prefix_length(n: int, per_100: int) -> int:
     return n - -(-per_100 * n // 100) + 1
 
 
-class Order:
-    """The common order of n-grams: rare ones by hash, then frequent ones by rising count."""
-
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable")
-        by_hash = np.argsort(hashes)
-        self.hashes, self.rank = hashes[by_hash], rank[by_hash]
-
-    def sort(self, members: np.ndarray) -> np.ndarray:
-        """A sorted set in the common order."""
-        if not len(self.hashes) or not len(members):
-            return members
-        at = np.searchsorted(self.hashes, members)
-        at[at == len(self.hashes)] = 0
-        common = self.hashes[at] == members
-        if not common.any():
-            return members
-        late = members[common][np.argsort(self.rank[at[common]], kind="stable")]
-        return np.concatenate([members[~common], late])
-
-
 def _identity(members: np.ndarray) -> int:
     """One number for a whole set."""
     return int(np.sum(mix(members), dtype=np.uint64).view(np.int64))
@@ -122,21 +111,25 @@ def _survey(source: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column(0), pa.nulls(k, batch.column(0).type)]),
+                    pa.concat_arrays([batch.column(2), pa.nulls(k, pa.int64())]),
                     pa.array(np.concatenate([sizes, np.zeros(k)]).astype(np.int64)),
                     pa.array(np.concatenate([np.array(nodes, np.int64), some.view(np.int64)])),
                     pa.array(np.concatenate([np.zeros(m, np.int64), n])),
                 ],
-                names=["id", "n", "node", "docs"],
+                names=["id", "version", "n", "node", "docs"],
             )
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n long, node long, docs long")
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(run, f"id {kind}, version long, n long, node long, docs long")
 
 
-def _frequent(survey: DataFrame) -> Order:
-    """The n-grams of most documents, at most FREQUENT of them."""
+def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of most documents, at most FREQUENT of them: sorted hashes and their rank, rarest first."""
     counted = survey.where("docs > 0").groupBy("node").agg(F.sum("docs").alias("docs"))
     top = counted.orderBy(F.desc("docs"), "node").limit(FREQUENT).toArrow()
-    return Order(top["node"].to_numpy().view(np.uint64), top["docs"].to_numpy())
+    hashes = top["node"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(hashes) - 1 - order).astype(np.int64)
 
 
 #: A posted n-gram is named by 40 bits beside its shard; two of one name only cost a comparison more.
@@ -145,39 +138,127 @@ _POSTED = {"gram": np.uint64, "owner": np.int64, "size": np.int32, "place": np.i
 _PACKED = "shard int, gram binary, owner binary, size binary, place binary, leader binary, member binary"
 
 
-def _postings(texts: DataFrame, order, width: int, per_100: int, shards: int) -> DataFrame:
-    """Prefix n-grams of the groups of each batch, and the members of its groups, packed by shard.
-
-    A group is the classes of a batch of one size with one prefix; its first class posts for all. A row holds its
-    groups once and refers to them by number.
-    """
-
+def _grams(frequent, width: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All n-grams of the classes of each batch; frequent ones go to the shard of their class, with size and rank."""
+        hashes, ranks = frequent.value
         for batch in batches:
-            parts, seen, groups, leaders, members = [], set(), {}, [], []
-            owners, sizes = [], []
-            for _, whole in sets_of(texts_of(batch.column(0)), width):
-                n, node = len(whole), _identity(whole)
-                if not n or node in seen:
+            seen, grams, owner, owners, sizes, late, rank = set(), [], [], [], [], [], []
+            for _, members in sets_of(texts_of(batch.column(0)), width):
+                node = _identity(members)
+                if not len(members) or node in seen:
                     continue
                 seen.add(node)
-                prefix = order.value.sort(whole)[: prefix_length(n, per_100)]
-                leader = groups.setdefault((n, _identity(prefix)), node)
-                if leader != node:
+                at = np.searchsorted(hashes, members)
+                at[at == len(hashes)] = 0
+                common = hashes[at] == members if len(hashes) else np.zeros(len(members), bool)
+                grams.append(members[~common])
+                owner.append(np.full(len(members) - common.sum(), len(owners), np.uint32))
+                late.append(np.full(common.sum(), node, np.int64))
+                rank.append(ranks[at[common]] | len(members) << 20)
+                owners.append(node)
+                sizes.append(len(members))
+            if owners:
+                grams, owner, late, rank = (np.concatenate(c) for c in (grams, owner, late, rank))
+                yield from posted_rows(grams, owner, np.zeros(len(grams), np.uint32), np.array(owners, np.int64),
+                                       np.array(sizes, np.int32), late, rank, shards)
+
+    return run
+
+
+_RETURNED = {"gram": np.uint64, "node": np.int64, "size": np.int32, "docs": np.int64}
+
+
+def _returned(shards: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A shard's n-grams of more than one class, dealt by class, with the number of classes; and the frequent ones."""
+        gram, owner, size, _ = _received(table)
+        order = np.lexsort((owner, gram))
+        gram, owner, size = gram[order], owner[order], size[order]
+        keep = np.ones(len(gram), bool)
+        keep[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+        gram, owner, size = gram[keep], owner[keep], size[keep]
+        first, last = _buckets(gram)
+        docs = np.repeat(last - first, last - first)
+        shared = docs > 1
+        shard = table["shard"][0].as_py()
+        gram = gram | np.uint64(shard << 40)
+        node, packed_rank = joined(table["leader"], np.int64), joined(table["member"], np.int64)
+        rank = packed_rank & ((1 << 20) - 1)
+        columns = [
+            np.concatenate([gram[shared], rank.astype(np.uint64) | np.uint64(1 << 63)]),
+            np.concatenate([owner[shared], node]),
+            np.concatenate([size[shared], (packed_rank >> 20).astype(np.int32)]),
+            np.concatenate([docs[shared], rank + (1 << 40)]),
+        ]
+        order = np.argsort(columns[1], kind="stable")  # a class's rows stand together and compress
+        columns = [c[order] for c in columns]
+        dealt = list(split_by(shard_of(mix(columns[1]), shards), shards, *columns))
+        return pa.table(
+            [pa.array([k for k, _ in dealt], pa.int32()),
+             *(pa.array([packed(c[j]) for _, c in dealt], pa.binary()) for j in range(4))],
+            names=["shard", *_RETURNED],
+        )
+
+    return run
+
+
+def _lists(per_100: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Classes that may have a partner: their shared n-grams in order, and how many of them lie in the prefix."""
+        gram, node, size, docs = (
+            np.concatenate([unpacked(v, kind) for v in table[name].to_pylist()]) for name, kind in _RETURNED.items()
+        )
+        order = np.lexsort((gram, docs, node))
+        gram, node, size = gram[order], node[order], size[order].astype(np.int64)
+        keep = np.ones(len(gram), bool)
+        keep[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
+        gram, node, size = gram[keep], node[keep], size[keep]
+        first, last = _buckets(node)
+        n = size[first] if len(first) else first
+        own = n - (last - first)
+        prefix = np.minimum(n - -(-per_100 * n // 100) + 1 - own, last - first)
+        use = np.flatnonzero(prefix > 0)
+        return pa.table(
+            {
+                "node": node[first[use]],
+                "n": n[use],
+                "own": own[use],
+                "prefix": prefix[use],
+                "grams": binary([gram[first[k] : last[k]] for k in use]),
+            }
+        )
+
+    return run
+
+
+def _postings(per_100: int, shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Prefixes of the groups of each batch, and the members of its groups.
+
+        A group is the classes of a batch of one size with one prefix; its first class posts for all.
+        """
+        for batch in batches:
+            grams, owner, place, owners, sizes, groups, leaders, members = [], [], [], [], [], {}, [], []
+            for row in batch.to_pylist():
+                prefix = row["grams"][: 8 * row["prefix"]]
+                leader = groups.setdefault((row["n"], prefix), row["node"])
+                if leader != row["node"]:
                     leaders.append(leader)
-                    members.append(node)
+                    members.append(row["node"])
                     continue
-                parts.append((prefix, np.full(len(prefix), len(owners)), np.arange(len(prefix), dtype=np.uint32)))
-                owners.append(node)
-                sizes.append(n)
-            if not parts:
-                continue
-            owners, sizes = np.array(owners, np.int64), np.array(sizes, np.int32)
-            gram, owner, place = (np.concatenate(c) for c in zip(*parts, strict=True))
-            leaders, members = np.array(leaders, np.int64), np.array(members, np.int64)
-            yield from posted_rows(gram, owner, place, owners, sizes, leaders, members, shards)
+                grams.append(mix(np.frombuffer(prefix, np.uint64)))
+                owner.append(np.full(row["prefix"], len(owners), np.uint32))
+                place.append(np.arange(row["own"], row["own"] + row["prefix"], dtype=np.uint32))
+                owners.append(row["node"])
+                sizes.append(row["n"])
+            if owners:
+                yield from posted_rows(
+                    *(np.concatenate(c) for c in (grams, owner, place)), np.array(owners, np.int64),
+                    np.array(sizes, np.int32), np.array(leaders, np.int64), np.array(members, np.int64), shards,
+                )
 
-    return texts.mapInArrow(run, posted_schema())
+    return run
 
 
 _SENT = ["shard", "gram", "number", "place", "owners", "sizes", "leader", "member"]
@@ -204,8 +285,8 @@ def posted_rows(gram, owner, place, owners, sizes, leaders, members, shards: int
         yield pa.RecordBatch.from_arrays(columns, names=_SENT)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """A shard's postings of n-grams that more than one group has, by n-gram and size."""
+def _received(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """N-gram, owner, size and place of a shard's postings, without the names that occur once (which are most)."""
     parts = []
     for row in table.select(_SENT[1:6]).to_pylist():
         number = unpacked(row["number"], np.uint32)
@@ -214,13 +295,17 @@ def _shared(table: pa.Table) -> pa.Table:
                       unpacked(row["place"], np.uint32).astype(np.int32)))
     gram, owner, size, place = (np.concatenate(c) for c in zip(*parts, strict=True))
     del parts
-    # Names that occur once are most; they are left out before the rest is put in order.
     some = np.sort(gram)
     again = np.unique(some[1:][some[1:] == some[:-1]])
     at = np.searchsorted(again, gram)
     at[at == len(again)] = 0
     use = again[at] == gram if len(again) else np.zeros(len(gram), bool)
-    gram, owner, size, place = gram[use], owner[use], size[use], place[use]
+    return gram[use], owner[use], size[use], place[use]
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """A shard's postings of n-grams that more than one group has, by n-gram and size."""
+    gram, owner, size, place = _received(table)
     order = np.lexsort((owner, size, gram))
     gram, owner, size, place = gram[order], owner[order], size[order], place[order]
     # The same class, posted by several batches.
@@ -263,12 +348,15 @@ def _stars(per_100: int):
             for row in batch.to_pylist():
                 gram, owner, size, place = (np.frombuffer(row[name], kind) for name, kind in _POSTED.items())
                 a, b = [np.frombuffer(row["leader"], np.int64)], [np.frombuffer(row["member"], np.int64)]
-                # A pivot serves sizes up to a tenth above its own; sizes rise within a bucket.
-                start = np.ones(len(gram), bool)
+                # A pivot serves sizes up to a tenth above the smallest of its band; which one depends on the n-gram, so
+                # that a class meets several pivots.
                 band = np.floor(np.log(np.maximum(size, 1)) / np.log(1.1)).astype(np.int64)
+                start = np.ones(len(gram), bool)
                 start[1:] = (gram[1:] != gram[:-1]) | (band[1:] != band[:-1])
-                pivot = np.maximum.accumulate(np.where(start, np.arange(len(gram)), 0))
-                use = ~start & _possible(size[pivot], place[pivot], size, place, per_100) & (owner[pivot] != owner)
+                first = np.flatnonzero(start)
+                n = np.diff(np.concatenate([first, [len(gram)]]))
+                pivot = np.repeat(first + (gram[first] % np.uint64(PIVOTS)).astype(np.int64) % np.maximum(n, 1), n)
+                use = _possible(size[pivot], place[pivot], size, place, per_100) & (owner[pivot] != owner)
                 a.append(owner[pivot][use])
                 b.append(owner[use])
                 pairs = _pairs(a, b)
@@ -277,7 +365,10 @@ def _stars(per_100: int):
     return run
 
 
-def _crossings(per_100: int):
+def _crossings(per_100: int, tries: int | None = None):
+    """All pairs of classes in different components that may be linked; or, with ``tries``, those of each class outside a
+    bucket's commonest component with a pivot inside it (the ``tries``-th choice of pivots)."""
+
     def run(posted: pa.Table, labels: pa.Table) -> pa.Table:
         """Pairs of classes in different components that their groups' sizes and places leave possible."""
         if not posted.num_rows:
@@ -296,17 +387,21 @@ def _crossings(per_100: int):
             kinds, kind = np.unique(label[which], return_inverse=True)
             if len(kinds) == 1:
                 continue
-            # All but the commonest component against everything.
+            # All but the commonest component against everything, or against one of its classes.
             common = np.argmax(np.bincount(kind))
             odd = np.flatnonzero(kind != common)
-            for k in range(0, len(odd), max(1, (1 << 20) // len(at))):
-                x = odd[k : k + max(1, (1 << 20) // len(at))][:, None]
-                y = np.arange(len(at))[None, :]
+            every = np.arange(len(at))
+            if tries is not None:
+                inside = np.flatnonzero(kind == common)
+                every = inside[[(PIVOTS * tries + int(gram[first] % np.uint64(PIVOTS))) % len(inside)]]
+            step = max(1, (1 << 20) // len(every))
+            for k in range(0, len(odd), step):
+                x, y = odd[k : k + step][:, None], every[None, :]
                 ok = (kind[x] != kind[y]) & ((kind[y] == common) | (x < y))
                 ok &= _possible(size[at[x]], place[at[x]], size[at[y]], place[at[y]], per_100)
                 i, j = np.nonzero(ok)
                 a.append(node[which[x[i, 0]]])
-                b.append(node[which[j]])
+                b.append(node[which[y[0, j]]])
                 held += len(i)
                 if held > 1 << 21:
                     done = _pairs(a, b)
@@ -317,79 +412,84 @@ def _crossings(per_100: int):
     return run
 
 
-def _sets(source: DataFrame, survey: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The whole set of each class of some pair, from the text of one document of it."""
-    documents = survey.where("docs = 0").select("id", "node")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = documents.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    chosen = materialize(chosen.groupBy("id").agg(F.count("*").alias("classes")), "chosen")
-    # The filter on the few wanted ids lets Spark sieve the documents by them before it shuffles texts.
-    texts = source.join(chosen.where("classes > 0"), "id", "left_semi").select("id", "text")
-    texts = texts.union(source.where("id IS NULL"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [m for _, m in sets_of(texts_of(batch.column(1)), width)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_identity(m) for m in found], pa.int64()), binary(found)], names=["node", "grams"]
-            )
+def settled(near: DataFrame, posted: DataFrame, places: DataFrame, members: DataFrame, sets: DataFrame, per_100: int):
+    """Components of all links, given those found among the first pairs.
 
-    # Rows that share an id with a chosen one, and copies, are told apart by their sets.
-    return texts.mapInArrow(run, "node long, grams binary").dropDuplicates(["node"])
+    ``places`` says in which shards a group is posted, ``members`` which classes it stands for. A few rounds compare
+    classes outside their buckets' commonest component with pivots inside it; what is then still apart is compared in full.
+    """
+    for tries in (1, 2, None):
+        labels = connected_components(near)
+        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        labelled = materialize(labelled.select("owner", "node", "label"), "labels")
+        here = places.join(labelled, "owner").groupBy("shard")
+        rest = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100, tries), "a long, b long")
+        if tries is None:
+            x, y = labelled.alias("x"), labelled.alias("y")
+            inside = x.join(y, F.expr("x.owner = y.owner AND x.node < y.node AND x.label <> y.label"))
+            rest = rest.union(inside.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+        rest = materialize(rest.distinct(), "rest")
+        near = materialize(near.union(agreed(rest, sets(rest), per_100)), "near")
+    return connected_components(near)
 
 
 def agreed(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets (node, grams) reach the threshold."""
-    sets = materialize(sets, "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
+    """The pairs (a, b) that reach the threshold: sets of size n whose common n-grams are all in ``grams``."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([x, y]))
+            rows = (batch.column(c).to_pylist() for c in ("n_a", "grams_a", "n_b", "grams_b"))
+            for n, x, m, y in zip(*rows, strict=True):
+                both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= per_100 * (len(x) + len(y) - shared))
+                keep.append(100 * shared >= per_100 * (n + m - shared))
             at = pa.array(keep, pa.bool_())
             columns = [batch.column("a").filter(at), batch.column("b").filter(at)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "grams_a", "n_b", "grams_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(
-    docs: DataFrame, width: int = 5, per_100: int = 75, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Per row: ``id_col``, n_shingles and component_id, where sets with 100 * intersection >= per_100 * union link."""
-    spark = docs.sparkSession
+def _linked(source: DataFrame, width: int, per_100: int) -> tuple[DataFrame, DataFrame]:
+    """Per row of (id, text, version): id, version, size n and identity of its set; and per class its component."""
+    spark = source.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     survey = materialize(_survey(source, width), "survey")
-    order = spark.sparkContext.broadcast(_frequent(survey))
-    sent = _postings(source.select("text"), order, width, per_100, shards)
+    frequent = spark.sparkContext.broadcast(_frequent(survey))
+    sent = source.select("text").mapInArrow(_grams(frequent, width, shards), posted_schema())
+    back = sent.groupBy("shard").applyInArrow(
+        _returned(shards), "shard int, " + ", ".join(f"{c} binary" for c in _RETURNED)
+    )
+    lists = back.groupBy("shard").applyInArrow(_lists(per_100), "node long, n long, own long, prefix long, grams binary")
+    lists = materialize(lists, "lists")
+    sent = lists.mapInArrow(_postings(per_100, shards), posted_schema())
     posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
-
     stars = materialize(posted.mapInArrow(_stars(per_100), "a long, b long").distinct(), "stars")
-    near = materialize(agreed(stars, _sets(source, survey, stars, width), per_100), "near")
-    labels = connected_components(near)
-    # Where each group is posted, and the classes folded into it.
+    near = materialize(agreed(stars, lists, per_100), "near")
+    # Where each group is posted, and the classes it stands for.
     places = materialize(posted.mapInArrow(_places, "shard int, owner long").distinct(), "places")
     folds = posted.mapInArrow(_folds, "owner long, node long").distinct()
     alone = places.select("owner").union(folds.select("owner")).distinct().select("owner", F.col("owner").alias("node"))
-    members = alone.union(folds).join(labels, "node", "left")
-    members = materialize(members.select("owner", "node", F.coalesce("component", "node").alias("label")), "members")
-    here = places.join(members, "owner").groupBy("shard")
-    across = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100), "a long, b long")
-    x, y = members.alias("x"), members.alias("y")
-    inside = x.join(y, F.expr("x.owner = y.owner AND x.node < y.node AND x.label <> y.label"))
-    rest = across.union(inside.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).distinct()
-    rest = materialize(rest, "rest")
-    links = near.union(agreed(rest, _sets(source, survey, rest, width), per_100))
-    found = connected_components(links)
-
-    documents = survey.where("docs = 0")
+    members = materialize(alone.union(folds), "members")
+    found = settled(near, posted, places, members, lambda pairs: lists, per_100)
+    return survey.where("docs = 0").select("id", "version", "n", "node"), found
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    version = F.xxhash64(F.coalesce(text, F.lit("")))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), version.alias("version"))
+
+
+def jaccard_components(
+    docs: DataFrame, width: int = 5, per_100: int = 75, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per row: ``id_col``, n_shingles and component_id, where sets with 100 * intersection >= per_100 * union link."""
+    documents, found = _linked(_source(docs, id_col, text_col), width, per_100)
     classes = documents.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
     whole = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = whole.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -402,6 +502,30 @@ def jaccard_components(
     )
 
 
+def keep_one_of_each(
+    docs: DataFrame, width: int = 5, per_100: int = 75, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component, with all its columns: the smallest id (a null one only if all are), then the smallest
+    hash of the text, then any of equal rows. Rows without words all stay. Ids must be whole numbers."""
+    documents, found = _linked(_source(docs, id_col, text_col), width, per_100)
+    last = F.lit(int(np.iinfo(np.int64).max))
+    place = F.struct(F.coalesce("id", last).alias("key"), "version")
+    grouped = documents.where("n > 0").join(found, "node", "left")
+    grouped = grouped.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min(place).alias("first"))
+    chosen = grouped.select("first.key", "first.version").distinct().withColumn("chosen", F.lit(True))
+
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), last).alias("key"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
+        F.coalesce(F.trim(text, F.lit(" \t\n\x0b\x0c\r")), F.lit("")).eqNullSafe("").alias("blank"),
+    )
+    once = F.row_number().over(Window.partitionBy("key", "version").orderBy("key"))
+    marked = rows.join(chosen, ["key", "version"], "left").withColumn("once", once)
+    return marked.where(F.col("blank") | (F.col("chosen") & (F.col("once") == 1))).select("row.*")
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The groups posted in each shard."""
     for batch in batches:

@@ -1,7 +1,7 @@
 """Array helpers on the UTF-8 bytes of one Arrow batch: words, word hashes, shingles, rolling hashes, packed rows.
 
 All work on a ``Texts``: the bytes of several texts end to end, and where each begins. Texts are never cut; a batch is
-taken in pieces of a few megabytes so that a task needs memory for one piece (or one very long text), not for a batch.
+taken in pieces of a megabyte so that a task needs memory for one piece (or one very long text), not for a batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 #: Words as runs of bytes that are none of space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = np.zeros(256, bool)
@@ -189,8 +189,12 @@ def binary(parts: list[np.ndarray]) -> pa.Array:
 
 def joined(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:
     """The numbers of all binary values of a column, end to end."""
-    values = [np.frombuffer(v, dtype) for v in column.to_pylist() if v]
-    return np.concatenate(values) if values else np.zeros(0, dtype)
+    parts = []
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        at = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+        if len(at) > 1 and at[-1] > at[0]:
+            parts.append(np.frombuffer(chunk.buffers()[2], np.uint8)[at[0] : at[-1]])
+    return np.concatenate(parts).view(dtype) if parts else np.zeros(0, dtype)
 
 
 def packed(numbers: np.ndarray, rising: bool = False) -> bytes:
@@ -204,7 +208,3 @@ def unpacked(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
     planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1)
     numbers = np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
     return np.cumsum(numbers, dtype=dtype) if rising else numbers
-
-
-def string_column(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary()).cast(pa.string())

@@ -28,16 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.components import connected_components
 from larkspur.llm.jaccard_join import (
     _PACKED,
-    _crossings,
     _places,
     _shared,
     _stars,
     agreed,
     posted_rows,
     posted_schema,
+    settled,
 )
 from larkspur.llm.kernels import (
     binary,
@@ -251,15 +250,15 @@ def _sets(source: DataFrame, places: DataFrame, pairs: DataFrame, width: int, mi
                 ]
                 if use:
                     sets, begin = shingles(*_selected(layout, np.array(use)), width)
+                    found = [np.unique(sets[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(content[use].view(np.int64)),
-                         binary([np.unique(sets[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)])],
-                        names=["node", "grams"],
+                        [pa.array(content[use].view(np.int64)), pa.array([len(s) for s in found], pa.int64()), binary(found)],
+                        names=["node", "n", "grams"],
                     )
 
     few = wanted.where(F.size("nodes") > 0)
     texts = source.join(few, "key").select("key", "version", "text", "nodes")
-    return texts.mapInArrow(run, "node long, grams binary").dropDuplicates(["node"])
+    return materialize(texts.mapInArrow(run, "node long, n long, grams binary").dropDuplicates(["node"]), "sets")
 
 
 def _near_paragraphs(
@@ -274,14 +273,12 @@ def _near_paragraphs(
     posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
     stars = materialize(posted.mapInArrow(_stars(threshold), "a long, b long").distinct(), "stars")
     near = materialize(agreed(stars, _sets(source, places, stars, width, min_paragraph), threshold), "near")
-    labels = connected_components(near)
-    here = posted.mapInArrow(_places, "shard int, owner long").distinct()
-    here = here.join(labels, F.col("owner") == F.col("node"), "left")
-    here = here.select("shard", "owner", F.col("owner").alias("node"), F.coalesce("component", "owner").alias("label"))
-    rest = posted.groupBy("shard").cogroup(here.groupBy("shard")).applyInArrow(_crossings(threshold), "a long, b long")
-    rest = materialize(rest.distinct(), "rest")
-    links = near.union(agreed(rest, _sets(source, places, rest, width, min_paragraph), threshold))
-    held = materialize(places.join(connected_components(links), "node").drop("node"), "held")
+    here = materialize(posted.mapInArrow(_places, "shard int, owner long").distinct(), "places")
+    members = materialize(here.select("owner", F.col("owner").alias("node")).distinct(), "members")
+    found = settled(
+        near, posted, here, members, lambda pairs: _sets(source, places, pairs, width, min_paragraph), threshold
+    )
+    held = materialize(places.join(found, "node").drop("node"), "held")
     first = held.groupBy("component").agg(F.min(F.struct("key", "version", "number")).alias("first"))
     later = held.join(first, "component").where(F.struct("key", "version", "number") != F.col("first"))
     return later.select("key", "version", "number")
@@ -367,7 +364,8 @@ def passages(
     min_words: int = 30,
 ) -> DataFrame:
     """The texts that lose something: key (the id), version (hash of the text), n_removed words, n_passages, kept."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Several shards for each task of a shuffle: a group is what a task holds at once.
+    shards = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = _source(docs, id_col, text_col)
     sent = source.mapInArrow(
         _sentences(shards, min_sentence), ", ".join(f"{c} {'int' if c == 'shard' else 'binary'}" for c in _SENTENCE)

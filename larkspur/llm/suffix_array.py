@@ -151,6 +151,12 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return induce(text, rising, left[_reduced_order(names[left], rounds)], size)
 
 
+def token_order(tokens: np.ndarray, depth: int) -> np.ndarray:
+    """Places of all suffixes of a string of whole numbers, in order of their first ``depth`` tokens at least."""
+    ranks = np.searchsorted(np.sort(tokens), tokens)
+    return _reduced_order(ranks, int(np.ceil(np.log2(max(depth, 2)))))
+
+
 def common_prefixes_reach(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     """Whether the ``length`` bytes from each place of ``a`` equal those from the place of ``b`` beside it.
 
