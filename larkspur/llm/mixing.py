@@ -13,7 +13,8 @@ the sources' sizes, without sorting the table.
 
 A row's rank in its source is its rank in one of many ranges of the random order plus the rows of the ranges before, so a
 source with a third of all rows is ranked by many tasks. Rows are shuffled once. What is broadcast is the period: Q
-rows with three numbers for each source. Q is ``resolution`` slots, or four for each source if that is more; the fold
+rows with three numbers for each source. Q is ``resolution`` slots (four for each source if that is more), and a slot for
+each source whose weight is too small for one; the fold
 takes Q steps over all sources, so this is made for up to some thousand sources.
 
 Defined results: a null source is a source of its own; null ids count as empty text in the order; rows of one id follow each
@@ -43,20 +44,22 @@ def tempered(n: Column) -> Column:
 
 
 def shares(sizes: DataFrame, weight: Column, resolution: int) -> DataFrame:
-    """Per source (s, n): weight as a share ``a`` of ``q`` slots, at least one, the rest by largest remainder."""
+    """Per source (s, n): its share ``a`` of a period of ``q`` slots, by largest remainder, at least one slot."""
     whole = Window.partitionBy()
     weighed = sizes.withColumn("m", weight).withColumns(
-        {"sources": F.count("*").over(whole), "total": F.sum("m").over(whole).cast("decimal(38,0)")}
+        {
+            "slots": F.greatest(F.lit(resolution), 4 * F.count("*").over(whole)).cast("long"),
+            "total": F.sum("m").over(whole).cast("decimal(38,0)"),
+        }
     )
-    free = F.col("m").cast("decimal(20,0)") * (F.col("q") - F.col("sources")).cast("decimal(10,0)")
-    cut = weighed.withColumn("q", F.greatest(F.lit(resolution), 4 * F.col("sources")).cast("long")).withColumns(
-        {"base": F.floor(free / F.col("total")).cast("long"), "over": free % F.col("total")}
-    )
-    left = F.col("q") - F.col("sources") - F.sum("base").over(whole)
+    exact = F.col("m").cast("decimal(20,0)") * F.col("slots").cast("decimal(10,0)")
+    cut = weighed.withColumns({"base": F.floor(exact / F.col("total")).cast("long"), "over": exact % F.col("total")})
+    left = F.col("slots") - F.sum("base").over(whole)
     place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("over"), "s"))
-    return cut.withColumns({"left": left, "place": place}).select(
-        "s", "n", "q", (1 + F.col("base") + F.when(F.col("place") <= F.col("left"), 1).otherwise(0)).alias("a")
-    )
+    dealt = cut.withColumns({"left": left, "place": place})
+    more = F.when(F.col("place") <= F.col("left"), 1).otherwise(0)
+    dealt = dealt.withColumn("a", F.greatest(F.lit(1), F.col("base") + more).cast("long"))
+    return dealt.select("s", "n", F.sum("a").over(whole).alias("q"), "a")
 
 
 def period(shared: DataFrame) -> DataFrame:

@@ -131,3 +131,106 @@ def op10_html_text(t: Tables) -> DataFrame:
     from larkspur.llm.html_text import main_text
 
     return main_text(t.pages)
+
+
+LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+TWINS["op1_decontamination"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all({LOWERED.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all({LOWERED.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS w
+    FROM items, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS t(i) WHERE len(words) > 0
+), held AS (
+    SELECT r, i, n, array_to_string(words[i : i + n - 1], ' ') AS w
+    FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(words) - n + 2)) AS t(i)
+), hits AS (
+    SELECT r, i, n, item FROM held JOIN windows USING (n, w)
+), hit_words AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), hit_items AS (
+    SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+TWINS["op9_jaccard_join"] = rf"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all({LOWERED.format('text')}, '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), sets AS (
+    SELECT DISTINCT r, array_to_string(words[i : i + 4], ' ') AS gram
+    FROM docs, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT r, count(*) AS n FROM sets GROUP BY r
+), shared AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n FROM sets a JOIN sets b ON a.gram = b.gram AND a.r < b.r GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+    WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), both_ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+    SELECT r AS a, r AS b FROM docs UNION SELECT reached.a, both_ways.b FROM reached JOIN both_ways ON reached.b = both_ways.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM docs d JOIN reached ON d.r = reached.a JOIN docs o ON o.r = reached.b LEFT JOIN sizes ON sizes.r = d.r
+GROUP BY d.r, d.doc_id
+"""
+
+TWINS["op3_source_mixing"] = """
+WITH RECURSIVE rows AS (
+    SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS s,
+        md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o, text
+    FROM documents
+), sizes AS (
+    SELECT s, count(*) AS n, CAST(round(sqrt(count(*)) * 1000000) AS HUGEINT) AS m FROM rows GROUP BY s
+), whole AS (
+    SELECT *, sum(m) OVER () AS total, greatest(1000, 4 * count(*) OVER ()) AS slots FROM sizes
+), cut AS (
+    SELECT *, (m * slots) // total AS base, (m * slots) % total AS over_ FROM whole
+), dealt AS (
+    SELECT s, n, CAST(greatest(1, base + CASE WHEN row_number() OVER (ORDER BY over_ DESC, s) <= slots - sum(base) OVER ()
+        THEN 1 ELSE 0 END) AS BIGINT) AS a FROM cut
+), shares AS (
+    SELECT s, n, a, CAST(sum(a) OVER () AS BIGINT) AS q FROM dealt
+), one AS (
+    SELECT list(s ORDER BY s) AS names, list(a ORDER BY s) AS a, list(n ORDER BY s) AS n, any_value(q) AS q FROM shares
+), slots AS (
+    SELECT CAST(0 AS BIGINT) AS t, list_transform(a, lambda x: CAST(0 AS BIGINT)) AS before, CAST(NULL AS BIGINT) AS pick
+    FROM one
+    UNION ALL
+    SELECT t + 1, list_transform(range(1, len(before) + 1), lambda i: before[i] + CASE WHEN i = p THEN 1 ELSE 0 END), p
+    FROM (
+        SELECT t, before, a, q, list_min(list_filter(list_transform(range(1, len(a) + 1), lambda i:
+            CASE WHEN (before[i] * q) // a[i] <= t THEN ((before[i] + 1) * q + a[i] - 1) // a[i] * 100000 + i END),
+            lambda x: x IS NOT NULL)) % 100000 AS p
+        FROM slots, one WHERE t < q
+    )
+), period AS (
+    SELECT t - 1 AS slot, names[pick] AS s, a[pick] AS a, q, before[pick] - 1 AS j,
+        list_transform(range(1, len(a) + 1), lambda i: before[i] - CASE WHEN i = pick THEN 1 ELSE 0 END) AS earlier,
+        a AS all_a, n AS all_n
+    FROM slots, one WHERE pick IS NOT NULL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY s ORDER BY o, doc_id NULLS FIRST, text NULLS FIRST) - 1 AS r FROM rows
+), placed AS (
+    SELECT ranked.*, r // 16 AS block, (r // 16) // a AS turn, period.* EXCLUDE (s)
+    FROM ranked JOIN period ON period.s = ranked.s AND period.j = (r // 16) % period.a
+)
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(turn * q + slot AS BIGINT) AS slot,
+    CAST(r % 16 + list_sum(list_transform(range(1, len(all_a) + 1),
+        lambda i: least(all_n[i], 16 * (turn * all_a[i] + earlier[i])))) AS BIGINT) AS position,
+    len(list_filter(range(1, len(all_a) + 1),
+        lambda i: turn * all_a[i] + earlier[i] > (all_n[i] + 15) // 16)) = 0 AS on_target
+FROM placed
+"""
