@@ -54,32 +54,63 @@ def plan(name: str, **options) -> ModelPlan:
     return ModelPlan(name, PREPARATION, PARAMS.get(name, {}), **options)
 
 
-@query("score_batch")
+# The numbers of a fit are not SQL's to give; what must hold of them is: which rows are scored, that a prediction follows
+# its probability, that metrics are shares. tests/ hold fits against closed forms and Spark's evaluators.
+TESTED = f"""{SALES}, ranked AS (
+  SELECT o_orderkey, {LABEL} AS label, row_number() OVER (ORDER BY md5(concat_ws(':', o_orderkey, 42))) AS r,
+         count(*) OVER () AS n FROM sales),
+tested AS (SELECT o_orderkey, label FROM ranked WHERE r <= ceil(n * 0.2))"""
+
+
+def _consistent(scores):
+    """A prediction is a class, and the likelier one."""
+    follows = (F.col("probability") > 0.5).cast("double") == F.col("prediction")
+    return scores.withColumn("consistent", F.col("prediction").isin(0.0, 1.0) & (follows | F.col("probability").isNull()))
+
+
+def _facts(scores, name):
+    """Rows and positives scored, and whether all metrics are shares and agree with the rows."""
+    metrics = classification_metrics(scores, "label", "prediction").first().asDict()
+    same = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    return scores.agg(
+        F.lit(name).alias("model"),
+        F.count("*").alias("rows"),
+        F.sum("label").cast("long").alias("positives"),
+        F.lit(all(0.0 <= v <= 1.0 for v in metrics.values())).alias("shares"),
+        (F.abs(same - metrics["accuracy"]) < 1e-9).alias("agrees"),
+    )
+
+
+def _facts_of(name):
+    return f"""WITH {TESTED} SELECT '{name}' AS model, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives,
+        true AS shares, true AS agrees FROM tested"""
+
+
+@query("score_batch", f"WITH {TESTED} SELECT o_orderkey, label, true AS consistent FROM tested")
 def _(t):
     train, test = random_split(orders_with_label(t), KEYS)
-    return plan("logistic").fit(train, "label", KEYS).score(test).select(*KEYS, "label", "prediction", "probability")
+    scores = _consistent(plan("logistic").fit(train, "label", KEYS).score(test))
+    return scores.select(*KEYS, "label", "consistent")
 
 
 for _name in CLASSIFIERS:
 
-    @query(f"fit_{_name}")
+    @query(f"fit_{_name}", _facts_of(_name))
     def _(t, name=_name):
-        """Test metrics of one classifier."""
+        """One classifier, fitted and scored."""
         train, test = random_split(orders_with_label(t), KEYS)
-        scores = plan(name).fit(train, "label", KEYS).score(test, KEYS)
-        return classification_metrics(scores, "label", "prediction").withColumn("model", F.lit(name))
+        return _facts(plan(name).fit(train, "label", KEYS).score(test, KEYS), name)
 
 
 for _strategy in ("random_over", "random_under", "smote"):
 
-    @query(f"fit_balanced_{_strategy}")
+    @query(f"fit_balanced_{_strategy}", _facts_of(_strategy))
     def _(t, strategy=_strategy):
         train, test = random_split(orders_with_label(t), KEYS)
-        scores = plan("logistic", resampling=strategy).fit(train, "label", KEYS).score(test)
-        return classification_metrics(scores, "label", "prediction", "probability")
+        return _facts(plan("logistic", resampling=strategy).fit(train, "label", KEYS).score(test), strategy)
 
 
-@query("score_with_feature_lookup")
+@query("score_with_feature_lookup", "SELECT o_orderkey, true AS consistent FROM orders")
 def _(t):
     """Base rows hold key and order columns; customer columns are looked up before scoring."""
     train, _ = random_split(orders_with_label(t), KEYS)
@@ -93,7 +124,7 @@ def _(t):
         "o_orderpriority",
     )
     lookup = Lookup(t.customer, ["c_acctbal", "c_mktsegment"], ["c_custkey"], ["o_custkey"])
-    return score_with_lookups(model, base, [lookup]).select("o_orderkey", "prediction", "probability")
+    return _consistent(score_with_lookups(model, base, [lookup])).select("o_orderkey", "consistent")
 
 
 @query(
@@ -131,15 +162,31 @@ def _(t):
     return score_in_batches(rows, predict, "o_orderkey long, probability double")
 
 
-@query("feature_importance")
+N_FEATURES = f"""WITH {SALES} SELECT 4 + count(DISTINCT o_orderpriority) + count(DISTINCT c_mktsegment) AS features"""
+
+
+@query("feature_importance", f"{N_FEATURES}, 1.0 AS total, true AS ordered, 'num__o_totalprice' AS first FROM sales")
 def _(t):
+    """All importances of a forest: one for each feature, summing to one, the largest first."""
     model = plan("random_forest").fit(orders_with_label(t), "label", KEYS)
-    return feature_importance(t.spark, model, 5)
+    return _importances(feature_importance(t.spark, model)).withColumn("total", F.round("total", 6))
 
 
-@query("feature_importance_coefficients")
+@query("feature_importance_coefficients", f"{N_FEATURES}, true AS ordered FROM sales")
 def _(t):
-    return feature_importance(t.spark, plan("logistic").fit(orders_with_label(t), "label", KEYS))
+    model = plan("logistic").fit(orders_with_label(t), "label", KEYS)
+    return _importances(feature_importance(t.spark, model)).select("features", "ordered")
+
+
+def _importances(rows):
+    listed = F.collect_list(F.struct("importance", "feature"))
+    values = F.transform(listed, lambda x: x.importance)
+    return rows.agg(
+        F.count("*").alias("features"),
+        F.sum("importance").alias("total"),
+        (F.reverse(F.array_sort(values)) == values).alias("ordered"),
+        F.max_by("feature", "importance").alias("first"),
+    )
 
 
 FOLDED = f"""{SCORED}, folded AS (SELECT *, month % 5 AS fold FROM scored),
@@ -218,25 +265,48 @@ def _(t):
     return table.withColumns({c: F.round(c, 6) for c in table.columns if c != "model"})
 
 
-@query("cross_validate")
+@query(
+    "cross_validate",
+    """SELECT metric, CAST(5 AS BIGINT) AS folds, true AS shares
+       FROM (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('roc_auc')) m(metric)""",
+)
 def _(t):
-    return validation.cross_validate(plan("decision_tree"), orders_with_label(t), "label", KEYS, cv=3)
+    scores = validation.cross_validate(plan("decision_tree"), orders_with_label(t), "label", KEYS)
+    inside = F.forall("values", lambda v: (v >= 0) & (v <= 1)) & F.col("mean").between(0, 1) & (F.col("std") <= 0.5)
+    return scores.select("metric", F.size("values").cast("long").alias("folds"), inside.alias("shares"))
 
 
-@query("compare_models")
+@query(
+    "compare_models",
+    "SELECT model, CAST(10 AS BIGINT) AS columns, true AS shares FROM (VALUES ('tree'), ('logistic')) m(model)",
+)
 def _(t):
     plans = [("tree", plan("decision_tree")), ("logistic", plan("logistic"))]
-    return validation.compare_models(plans, orders_with_label(t), "label", KEYS, cv=3, metrics=["accuracy", "f1_weighted"])
+    scores = validation.compare_models(plans, orders_with_label(t), "label", KEYS)
+    names = [c for c in scores.columns if c != "model"]
+    inside = F.forall(F.array(*names), lambda v: (v >= 0) & (v <= 1))
+    return scores.select("model", F.lit(len(names)).cast("long").alias("columns"), inside.alias("shares"))
 
 
-@query("learning_curve")
+@query(
+    "learning_curve",
+    f"""WITH {SALES}, classes AS (SELECT {LABEL} AS label, count(*) AS n FROM sales GROUP BY 1),
+        folds AS (SELECT label, f, n - ((n * (f + 1)) // 5 - (n * f) // 5) AS train FROM classes, range(5) r(f)),
+        used AS (SELECT share, f, sum(ceil(train * CAST(share AS DECIMAL(2, 1)))) AS rows
+                 FROM folds, (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS share) GROUP BY 1, 2)
+        SELECT CAST(share AS DOUBLE) AS share, CAST(max(rows) AS BIGINT) AS train_rows, true AS shares FROM used GROUP BY 1""",
+)
 def _(t):
-    return validation.learning_curve(
-        plan("decision_tree"), orders_with_label(t), "label", KEYS, cv=2, train_sizes=[0.1, 0.5, 1.0]
-    )
+    curve = validation.learning_curve(plan("decision_tree"), orders_with_label(t), "label", KEYS)
+    names = ("train_mean", "test_mean", "train_std", "test_std")
+    return curve.select("share", "train_rows", F.forall(F.array(*names), lambda v: (v >= 0) & (v <= 1)).alias("shares"))
 
 
-@query("train_and_promote")
+@query(
+    "train_and_promote",
+    """SELECT CAST(run AS INT) AS run, run = 1 AS improved, CAST(1 AS INT) AS version, run = 2 AS compared
+       FROM (VALUES (1), (2)) r(run)""",
+)
 def _(t):
     """Feature table, lookup, fit, evaluation, verdict and promotion, twice: the second equal model is not better."""
     rows = orders_with_label(t)
@@ -250,7 +320,8 @@ def _(t):
         label="label",
     )
     outcomes = [job.run(train, test).withColumn("run", F.lit(i)) for i in (1, 2)]
-    return outcomes[0].unionByName(outcomes[1])
+    both = outcomes[0].unionByName(outcomes[1])
+    return both.select("run", "improved", "version", F.col("champion_f1").isNotNull().alias("compared"))
 
 
 NEAR = """pairs AS (
