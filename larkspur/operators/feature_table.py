@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from larkspur.operators.tables import insert_by_name, save_table
+from larkspur.operators.tables import insert_by_name, newest_rows, save_table
 from larkspur.workspace import materialize
 
 BUCKET = "key_bucket"
@@ -83,6 +83,14 @@ def _complete(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return updates.withColumns({k: F.when(F.col(k).isNull(), missing.cast(kinds[k])).otherwise(F.col(k)) for k in keys})
 
 
+def load_newest(
+    spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], time: str, columns: Sequence[str] = ()
+) -> None:
+    """Merge the source's latest load, the rows at its newest ``time``, into a stored feature table."""
+    latest = newest_rows(source, time)
+    merge_into(spark, name, latest.select(*columns) if columns else latest, keys)
+
+
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row changes between two versions: insert, delete, and both images of each update."""
     rest = [c for c in old.columns if c not in keys]

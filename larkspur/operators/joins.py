@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,13 +72,6 @@ def training_set(
     return rows.select(*columns, *([label] if label else []))
 
 
-def time_edges(times: DataFrame, column: str, pieces: int) -> list[float]:
-    """Boundaries that cut a time column into about equal shares; ``pieces`` numbers at most."""
-    shares = [i / pieces for i in range(1, pieces)]
-    found = times.agg(F.approx_percentile(F.col(column).cast("double"), shares, 10 * pieces)).first()[0]
-    return [-float("inf"), *sorted(set(found or [])), float("inf")]
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> tuple[DataFrame, int, int]:
     """Keys with more than ``rows`` rows, how many they are, and the rows of the largest.
 
@@ -128,7 +120,7 @@ def as_of_join(
     both = side.unionByName(asked).withColumn("_piece", F.lit(0.0))
     hot, n_hot, largest = hot_keys(both, keys, hot_rows)
     if n_hot:
-        both = _in_pieces(both, keys, hot, n_hot, pieces=min(4096, 1 + 4 * largest // hot_rows))
+        both = _in_pieces(both, keys, hot, pieces=1 + 4 * largest // hot_rows)
     upto = (
         Window.partitionBy(*keys, "_piece")
         .orderBy("_time", "_kind", "_feature")
@@ -142,16 +134,20 @@ def as_of_join(
     return found.unionByName(unmatched, allowMissingColumns=True)
 
 
-def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, n_hot: int, pieces: int) -> DataFrame:
-    """Give the rows of hot keys a piece of time each, and add the feature carried into every piece."""
-    side = F.broadcast(hot) if n_hot <= 100_000 else hot
-    marked = both.join(side.withColumn("_hot", F.lit(True)), list(keys), "left")
-    edges = time_edges(marked.where("_hot"), "_time", pieces)
-    cut = Bucketizer(splits=edges, inputCol="_seconds", outputCol="_cut", handleInvalid="keep")
+def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, pieces: int) -> DataFrame:
+    """Give the rows of hot keys a piece of time each, and add the feature carried into every piece.
+
+    Every hot key is cut at quantiles of its own times, so keys in separate ranges are all cut.
+    """
+    seconds, shares = F.col("_time").cast("double"), [i / pieces for i in range(1, pieces)]
+    timed = both.join(hot, list(keys), "left_semi").groupBy(*keys)
+    edges = materialize(timed.agg(F.approx_percentile(seconds, shares, 10 * pieces).alias("_edges")), "edges")
+    marked = both.join(edges, list(keys), "left")
+    piece = F.size(F.filter("_edges", lambda e: e <= seconds)).cast("double")
     placed = (
-        cut.transform(marked.withColumn("_seconds", F.col("_time").cast("double")))
-        .withColumn("_piece", F.when(F.col("_hot"), F.col("_cut")).otherwise(F.lit(0.0)))
-        .drop("_seconds", "_cut")
+        marked.withColumn("_hot", F.col("_edges").isNotNull())
+        .withColumn("_piece", F.when(F.col("_hot"), piece).otherwise(F.lit(0.0)))
+        .drop("_edges")
     )
     # At most `pieces` rows per hot key, reduced before the shuffle.
     newest = placed.where("_hot").groupBy(*keys, "_piece").agg(F.max("_feature").alias("_newest"))

@@ -37,15 +37,14 @@ def _(t):
     return inferred.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
 
 
-@query(
-    "csv_null_tokens",
-    """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE o_custkey END AS o_custkey,
+NULLED = """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE o_custkey END AS o_custkey,
               CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
               CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN NULL ELSE o_totalprice END AS o_totalprice,
-              o_orderpriority FROM orders""",
-)
-def _(t):
-    """All four spellings of null occur in the file."""
+              o_orderpriority FROM orders"""
+
+
+def _with_tokens(t):
+    """A CSV folder in which all four spellings of null occur."""
     priority, text = F.col("o_orderpriority"), {c: F.col(c).cast("string") for c in ORDER_COLUMNS}
     text["o_custkey"] = (
         F.when(priority == "1-URGENT", "NA").when(priority == "2-HIGH", "N/A").otherwise(text["o_custkey"])
@@ -56,7 +55,18 @@ def _(t):
     text["o_orderstatus"] = F.when(F.col("o_orderstatus") == "F", "N/A").otherwise(F.col("o_orderstatus"))
     path = new_path(t.spark, "csv")
     t.orders.select([c.alias(n) for n, c in text.items()]).write.option("header", "true").csv(path)
-    return files.read_csv_with_null_tokens(t.spark, path, ORDER_TYPE)
+    return path
+
+
+@query("csv_null_tokens", NULLED)
+def _(t):
+    return files.read_csv_with_null_tokens(t.spark, _with_tokens(t), ORDER_TYPE)
+
+
+@query("csv_null_tokens_inferred", NULLED)
+def _(t):
+    """The same without declared types: they are found once the tokens are gone."""
+    return files.read_csv_with_null_tokens(t.spark, _with_tokens(t))
 
 
 @query("table_scan", "SELECT * FROM customer")

@@ -190,6 +190,22 @@ def _(t):
     return feature_table.read_feature_table(t.spark, name)
 
 
+@query(
+    "incremental_load",
+    """SELECT o_orderkey, CASE WHEN o_orderdate >= (SELECT max(o_orderdate) FROM orders) THEN o_totalprice ELSE 0 END
+              AS o_totalprice FROM orders WHERE o_orderdate < (SELECT max(o_orderdate) FROM orders) OR o_totalprice > 0""",
+)
+def _(t):
+    """A table of all earlier orders without prices; the rows of the newest load are merged into it, twice."""
+    name = f"{scratch_database(t.spark)}.orders"
+    last = t.orders.agg(F.max("o_orderdate")).scalar()
+    earlier = t.orders.where(F.col("o_orderdate") < last).select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    feature_table.create_feature_table(earlier, name, ["o_orderkey"], buckets=4)
+    for _ in range(2):
+        feature_table.load_newest(t.spark, t.orders, name, ["o_orderkey"], "o_orderdate", ["o_orderkey", "o_totalprice"])
+    return feature_table.read_feature_table(t.spark, name)
+
+
 @query(
     "change_feed",
     f"""WITH {VERSIONS}, both_sides AS (

@@ -157,3 +157,21 @@ def test_merge_with_a_narrower_key_and_null_keys(spark):
 def test_composite_keys_hash_apart(spark):
     rows = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), ("a", None), (None, "a"), ("a", "")], "x string, y string")
     assert rows.select(row_hash(["x", "y"], 1).alias("h")).distinct().count() == 5
+
+
+def test_many_hot_keys_are_cut_by_their_own_times(spark):
+    """Twenty keys in time ranges of their own: each is cut, none shares the cuts of another."""
+    from larkspur.operators.joins import _in_pieces
+
+    rows = spark.range(4_000).select(
+        (F.col("id") % 20).alias("k"),
+        F.timestamp_seconds((F.col("id") % 20) * 1_000_000 + F.col("id")).alias("_time"),
+        F.lit(0).alias("_kind"),
+        F.struct(F.col("id").alias("_at")).alias("_feature"),
+        F.lit(None).cast("struct<x:int>").alias("_base"),
+        F.lit(0.0).alias("_piece"),
+    )
+    hot = rows.select("k").distinct()
+    got = _in_pieces(rows.withColumn("_feature", F.struct(F.col("_time").alias("_at"))), ["k"], hot, 17)
+    largest = got.groupBy("k", "_piece").count().agg(F.max("count")).first()[0]
+    assert largest <= 50
