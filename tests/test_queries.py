@@ -7,8 +7,6 @@ from conftest import FOLDER
 from __spark_entry__ import entry, oracle_sql, queries
 
 TWINS = oracle_sql()
-# Many fits in a row; test_models covers what they are made of.
-LONG = {"learning_curve", "compare_models", "cross_validate"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def test_same_as_sql(spark, duck, name):
     assert compare(queries()[name](spark, FOLDER), duck, TWINS[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(TWINS) - LONG))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(TWINS)))
 def test_has_rows(spark, name):
     assert queries()[name](spark, FOLDER).count() > 0
 
