@@ -23,14 +23,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.kernels import BLANKS, binary, joined, mix, pieces, shard_of, split_by, texts_of, word_hashes, words
+from larkspur.llm.kernels import (
+    BLANKS,
+    joined,
+    mix,
+    packed,
+    pieces,
+    shard_of,
+    split_by,
+    texts_of,
+    unpacked,
+    word_hashes,
+    words,
+)
 from larkspur.llm.store import load, save
 from larkspur.workspace import materialize, new_path
 
 START = np.uint64(0x5BD1E9955BD1E995)
 END = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Distinct pairs a task holds before it passes them on.
-HELD = 2_000_000
+HELD = 1_500_000
+#: Pair counts from here on are kept apart.
+OFTEN = 255
 _PAIR = {"left": np.uint64, "right": np.uint64, "n": np.uint32}
 #: Kinds of pairs begun that were seen once, twice, more often; tokens after it; kinds of words before it; its tokens.
 _WORD = {"word": np.uint64, "n1": np.uint32, "n2": np.uint32, "n3": np.uint32, "after": np.int64, "before": np.uint32,
@@ -75,8 +89,9 @@ def _pairs(shards: int):
             order = np.argsort(left, kind="stable")  # equal words stand together and compress
             left, right, n = left[order], right[order], n[order]
             dealt = list(split_by(shard_of(pair_hash(left, right), shards), shards, left, right, n))
+            columns = [[packed(c[0], True), c[1].tobytes(), packed(c[2])] for _, c in dealt]
             return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in dealt], pa.int32()), *(binary([c[j] for _, c in dealt]) for j in range(3))],
+                [pa.array([k for k, _ in dealt], pa.int32()), *(pa.array(c, pa.binary()) for c in zip(*columns, strict=True))],
                 names=["shard", *_PAIR],
             )
 
@@ -100,14 +115,19 @@ def _pairs(shards: int):
     return run
 
 
-def _count_pairs(model: str, shards: int):
+def _count_pairs(model: str, word_shards: int):
     def run(table: pa.Table) -> pa.Table:
-        left, right, n = (joined(table[name], kind) for name, kind in _PAIR.items())
+        left = np.concatenate([unpacked(v, np.uint64, True) for v in table["left"].to_pylist()])
+        right = joined(table["right"], np.uint64)
+        n = np.concatenate([unpacked(v, np.uint32) for v in table["n"].to_pylist()])
         key, at, n = _summed(pair_hash(left, right), n)
         left, right = left[at], right[at]
         shard = table["shard"][0].as_py()
         save(model, f"pair-{shard}", key)
-        save(model, f"times-{shard}", n.astype(np.uint32))
+        # Counts in a byte; the few that need more stand in a table of their own.
+        save(model, f"times-{shard}", np.minimum(n, OFTEN).astype(np.uint8))
+        save(model, f"often-{shard}", key[n >= OFTEN])
+        save(model, f"often_n-{shard}", n[n >= OFTEN])
         word, role = np.unique(np.concatenate([left, right]), return_inverse=True)
         begun, met = role[: len(left)], role[len(left) :]
         size = len(word)
@@ -115,13 +135,13 @@ def _count_pairs(model: str, shards: int):
         after = np.bincount(begun, n, size).astype(np.int64)
         before, count = np.bincount(met, minlength=size), np.bincount(met, n, size).astype(np.int64)
         columns = [c.astype(t) for c, t in zip([word, *kinds, after, before, count], _WORD.values(), strict=True)]
-        dealt = list(split_by(shard_of(mix(word), shards), shards, *columns))
+        dealt = list(split_by(shard_of(mix(word), word_shards), word_shards, *columns))
         of_counts = [int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)]
         rows = len(dealt)
         return pa.table(
             [
                 pa.array([k for k, _ in dealt], pa.int32()),
-                *(binary([c[j] for _, c in dealt]) for j in range(len(_WORD))),
+                *(pa.array([packed(c[j], j == 0) for _, c in dealt], pa.binary()) for j in range(len(_WORD))),
                 *(pa.array([k] + [0] * (rows - 1), pa.int64()) for k in of_counts),
             ],
             names=["shard", *_WORD, "r1", "r2", "r3", "r4"],
@@ -132,7 +152,10 @@ def _count_pairs(model: str, shards: int):
 
 def _count_words(model: str):
     def run(table: pa.Table) -> pa.Table:
-        columns = [joined(table[name], kind) for name, kind in _WORD.items()]
+        columns = [
+            np.concatenate([unpacked(v, kind, name == "word") for v in table[name].to_pylist()])
+            for name, kind in _WORD.items()
+        ]
         # Shards are ranges of the mixed hash; within one, words are kept in the order of that hash.
         key = mix(columns[0])
         order = np.argsort(key, kind="stable")
@@ -168,20 +191,22 @@ def discounts(r1: int, r2: int, r3: int, r4: int) -> np.ndarray:
 class Scorer:
     """The mapped arrays of a model."""
 
-    def __init__(self, model: str, shards: int, facts: dict):
-        self.shards, self.facts = shards, facts
+    def __init__(self, model: str, shards: int, word_shards: int, facts: dict):
+        self.facts = facts
         self.pair = [load(model, f"pair-{k}", np.uint64) for k in range(shards)]
-        self.times = [load(model, f"times-{k}", np.uint32) for k in range(shards)]
-        self.word = [load(model, f"word-{k}", np.uint64) for k in range(shards)]
+        self.times = [load(model, f"times-{k}", np.uint8) for k in range(shards)]
+        self.often = [load(model, f"often-{k}", np.uint64) for k in range(shards)]
+        self.often_n = [load(model, f"often_n-{k}", np.int64) for k in range(shards)]
+        self.word = [load(model, f"word-{k}", np.uint64) for k in range(word_shards)]
         self.of_word = {
-            name: [load(model, f"{name}-{k}", kind) for k in range(shards)]
+            name: [load(model, f"{name}-{k}", kind) for k in range(word_shards)]
             for name, kind in list(_WORD.items())[1:]
         }
 
     def _find(self, arrays: list[np.ndarray], hashes: np.ndarray, wanted: list[list[np.ndarray]]) -> list[np.ndarray]:
         """For sorted hashes, the wanted numbers beside each in its shard; 0 where it is absent."""
         out = [np.zeros(len(hashes), np.float64) for _ in wanted]
-        edges = np.searchsorted(shard_of(hashes, self.shards), np.arange(self.shards + 1))
+        edges = np.searchsorted(shard_of(hashes, len(arrays)), np.arange(len(arrays) + 1))
         for k in np.flatnonzero(np.diff(edges)):
             held, needles = arrays[k], hashes[edges[k] : edges[k + 1]]
             if not len(held):
@@ -211,8 +236,11 @@ class Scorer:
         left, right = place[inside], place[inside + 1]
         pairs = pair_hash(tokens[inside], tokens[inside + 1])
         order = np.argsort(pairs)
-        times = np.zeros(len(pairs))
-        times[order] = self._find(self.pair, pairs[order], [self.times])[0]
+        pairs, times = pairs[order], np.zeros(len(pairs))
+        found = self._find(self.pair, pairs, [self.times])[0]
+        often = found == OFTEN
+        found[often] = self._find(self.often, pairs[often], [self.often_n])[0]
+        times[order] = found
         direct = times - high[np.minimum(times, 3).astype(int)]
         direct = np.divide(direct, after[left], out=np.zeros(len(pairs)), where=after[left] > 0)
         model = np.log10(direct + share[left] * alone[right])
@@ -224,26 +252,28 @@ class Scorer:
 
 
 @lru_cache(maxsize=1)
-def _scorer(model: str, shards: int, facts: tuple) -> Scorer:
-    return Scorer(model, shards, dict(facts))
+def _scorer(model: str, shards: int, word_shards: int, facts: tuple) -> Scorer:
+    return Scorer(model, shards, word_shards, dict(facts))
 
 
 class KneserNey:
     """A fitted model: where its arrays are, and its sums."""
 
-    def __init__(self, spark: SparkSession, path: str, shards: int, facts: dict):
-        self.spark, self.path, self.shards, self.facts = spark, path, shards, facts
+    def __init__(self, spark: SparkSession, path: str, shards: int, word_shards: int, facts: dict):
+        self.spark, self.path, self.shards, self.word_shards, self.facts = spark, path, shards, word_shards, facts
 
     @classmethod
     def fit(cls, docs: DataFrame, text_col: str = "text") -> KneserNey:
         """Count every row of ``docs``."""
         spark = docs.sparkSession
-        shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Several shards for each task of a shuffle: a group is what a task holds at once.
+        word_shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = 4 * word_shards
         model = new_path(spark, "model")
         texts = docs.select(F.col(text_col).cast("string").alias("text"))
         pairs = texts.mapInArrow(_pairs(shards), "shard int, left binary, right binary, n binary")
         schema = "shard int, " + ", ".join(f"{n} binary" for n in _WORD) + ", r1 long, r2 long, r3 long, r4 long"
-        by_word = materialize(pairs.groupBy("shard").applyInArrow(_count_pairs(model, shards), schema), "words")
+        by_word = materialize(pairs.groupBy("shard").applyInArrow(_count_pairs(model, word_shards), schema), "words")
         high = by_word.agg(*(F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in ("r1", "r2", "r3", "r4"))).first()
         facts = by_word.select("shard", *_WORD).groupBy("shard").applyInArrow(
             _count_words(model), ", ".join(f"{n} long" for n in _FACTS)
@@ -251,15 +281,15 @@ class KneserNey:
         low = facts.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _FACTS)).first().asDict()
         rates = {"high": tuple(discounts(*high).tolist())}
         rates["low"] = tuple(discounts(low["r1"], low["r2"], low["r3"], low["r4"]).tolist())
-        return cls(spark, model, shards, low | rates)
+        return cls(spark, model, shards, word_shards, low | rates)
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Per row: n_tokens, n_known, base_score, score (log10) and perplexity."""
-        model, shards, facts = self.path, self.shards, tuple(sorted(self.facts.items()))
+        made = (self.path, self.shards, self.word_shards, tuple(sorted(self.facts.items())))
         source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scorer = _scorer(model, shards, facts)
+            scorer = _scorer(*made)
             for batch in batches:
                 parts = [scorer.score(piece) for _, piece in pieces(texts_of(batch.column(1)))]
                 columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 4
