@@ -13,7 +13,7 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
     "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
     # Texts reach Python in batches of bounded size.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "32MB",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8MB",
 }
 
 

@@ -17,6 +17,7 @@ larger one; rows are scored one by one, so repeated rows repeat; all columns of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ SECOND_PERSON = (
 #: Letters that digits and signs stand for.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 #: Beginnings of words that may be lexicon entries, in bytes.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5)
 NEAR = 5
 FEATURES = (
     "words word_density word_best word_hits word_strong begin_density begin_best begin_hits begin_strong near_second_person "
@@ -121,9 +122,17 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lexicon(counts: DataFrame, prior: float, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Entries by kind (words, then beginnings): sorted hashes and weights, the log of how much likelier they make a
-    toxic text, drawn towards none by four rows of the prior."""
-    weight = F.log((F.col("toxic") + 4 * prior) / (F.col("rows") + 4) / prior)
-    chosen = counts.withColumn("weight", weight).where("toxic >= 2").where(F.col("weight") >= 0.7)
+    toxic text, drawn towards none by four rows of the prior.
+
+    Of many terms some are in toxic texts by chance: one counts if its log likelihood ratio against the prior is more than
+    the log of the number of terms.
+    """
+    t, n = F.col("toxic").cast("double"), F.col("rows").cast("double")
+    clean = F.when(n > t, (n - t) * F.log((n - t) / (n * (1 - prior)))).otherwise(0.0)
+    terms = max(counts.count(), 2)
+    weight = F.log((t + 4 * prior) / (n + 4) / prior)
+    sure = (t > n * prior) & (t * F.log(t / (n * prior)) + clean >= math.log(terms))
+    chosen = counts.withColumn("weight", weight).where("toxic >= 2").where(sure)
     top = chosen.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term").limit(size).toArrow()
     out = []
     for k in range(len(BEGINNINGS) + 1):
@@ -287,7 +296,7 @@ class Toxicity:
         grow, rest = train.where("NOT calibrate"), train.where("calibrate")
         if grow.select("label").distinct().count() < 2:
             return cls(held, level=prior)
-        trees = GBTClassifier(maxIter=30, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=3, seed=1).fit(grow)
+        trees = GBTClassifier(maxIter=30, maxDepth=4, stepSize=0.2, maxBins=64, minInstancesPerNode=20, seed=1).fit(grow)
         steps = trees.transform(rest).select("label", vector_to_array("probability")[1].alias("features"))
         classes = {r.label: r["count"] for r in steps.groupBy("label").count().collect()}
         if len(classes) < 2 or sum(classes.values()) < 100:
