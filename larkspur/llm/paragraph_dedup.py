@@ -56,6 +56,7 @@ from larkspur.llm.kernels import (
 )
 from larkspur.workspace import materialize
 
+_SHORT = np.uint32
 _SIGNS = np.zeros(256, bool)
 _SIGNS[list(b".!?")] = True
 
@@ -205,20 +206,23 @@ def _bands(shards: int, bands: int, rows: int, width: int, min_paragraph: int):
             for _, layout in _layouts(batch):
                 content = layout.content(layout.paragraphs)
                 use = np.flatnonzero(np.diff(layout.paragraphs) >= min_paragraph)
-                use = use[np.unique(content[use], return_index=True)[1]]
+                _, first_of, times = np.unique(content[use], return_index=True, return_counts=True)
+                use = use[first_of]
                 if not len(use):
                     continue
                 sets, begin = shingles(*_selected(layout, use), width)
-                parts.append((content[use], np.diff(begin), _signatures(sets, begin, bands, rows)))
+                parts.append((content[use], np.diff(begin), times, _signatures(sets, begin, bands, rows)))
             if not parts:
                 continue
-            node, size, signs = (np.concatenate(c) for c in zip(*parts, strict=True))
-            node, at = np.unique(node, return_index=True)
+            node, size, times, signs = (np.concatenate(c) for c in zip(*parts, strict=True))
+            node, at, again = np.unique(node, return_index=True, return_inverse=True)
+            # A paragraph weighs as often as it occurs: copies come from what occurs most.
+            times = np.bincount(again, times).astype(np.int64)
             size, signs = size[at], signs[at]
             owner = np.repeat(np.arange(len(node)), bands)
             gram = signs.reshape(-1)
             yield from posted_rows(gram, owner, np.zeros(len(gram), np.uint32), node.view(np.int64),
-                                   size.astype(np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), shards)
+                                   size.astype(np.int32), times, np.zeros(0, np.int64), np.zeros(0, np.int64), shards)
 
     return run
 
@@ -250,7 +254,11 @@ def _sets(source: DataFrame, places: DataFrame, pairs: DataFrame, width: int, mi
                 ]
                 if use:
                     sets, begin = shingles(*_selected(layout, np.array(use)), width)
-                    found = [np.unique(sets[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+                    # Half of a hash tells the shingles of two paragraphs apart, and halves what the joins carry.
+                    found = [
+                        np.unique((sets[a:b] >> np.uint64(32)).astype(_SHORT))
+                        for a, b in zip(begin[:-1], begin[1:], strict=True)
+                    ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(content[use].view(np.int64)), pa.array([len(s) for s in found], pa.int64()), binary(found)],
                         names=["node", "n", "grams"],
@@ -272,11 +280,12 @@ def _near_paragraphs(
     sent = source.mapInArrow(_bands(shards, bands, rows, width, min_paragraph), posted_schema())
     posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
     stars = materialize(posted.mapInArrow(_stars(threshold), "a long, b long").distinct(), "stars")
-    near = materialize(agreed(stars, _sets(source, places, stars, width, min_paragraph), threshold), "near")
+    near = agreed(stars, _sets(source, places, stars, width, min_paragraph), threshold, _SHORT)
+    near = materialize(near, "near")
     here = materialize(posted.mapInArrow(_places, "shard int, owner long").distinct(), "places")
     members = materialize(here.select("owner", F.col("owner").alias("node")).distinct(), "members")
     found = settled(
-        near, posted, here, members, lambda pairs: _sets(source, places, pairs, width, min_paragraph), threshold
+        near, posted, here, members, lambda pairs: _sets(source, places, pairs, width, min_paragraph), threshold, _SHORT
     )
     held = materialize(places.join(found, "node").drop("node"), "held")
     first = held.groupBy("component").agg(F.min(F.struct("key", "version", "number")).alias("first"))
