@@ -3,14 +3,14 @@
 Every byte covered by a string of ``length`` bytes that also starts earlier (smaller id, or earlier in the same text) is
 removed. Equal strings must meet in one shard without the corpus being in one place:
 
-1. A string's anchor is the smallest hash of the 16-byte windows inside it, so equal strings have equal anchors.
+1. A string's anchor is the smallest hash of the 32-byte windows inside it, so equal strings have equal anchors.
    Neighbouring strings share anchors; a run of strings with one anchor is kept as one segment of text.
 2. Anchors are dealt by hash, and those that occur once are dropped with their segments: their strings are unique. An
    anchor that repeats within a batch is sent once for the batch.
 3. The segments of repeated anchors are dealt by anchor. Equal segments are collapsed to the earliest, first within a
    batch, then in the shard, so a passage that a third of all texts hold arrives once for each batch. Its other
    copies are covered by it.
-4. A shard joins its different segments to one string, classifies suffixes, sorts the leftmost-smaller substrings, and
+4. A shard joins its different segments (but those alone with an anchor) to one string, classifies suffixes, sorts the leftmost-smaller substrings, and
    induces the suffix array (``suffix_array``). Neighbours in it whose common prefix reaches ``length`` bytes, taken from
    the bytes themselves, form a group of equal strings; all but the earliest are marked.
 5. Marked runs return to their texts by id, and the texts are cut.
@@ -51,9 +51,9 @@ from larkspur.llm.suffix_array import common_prefixes_reach, suffix_order
 from larkspur.workspace import materialize
 
 #: Bytes of the windows an anchor is chosen from.
-SEED = 16
+SEED = 32
 #: Segment bytes of one suffix array; a shard with more is cut between anchors.
-ARRAY = 6 << 20
+ARRAY = 1 << 20
 
 
 def _chunks(texts: Texts, length: int) -> Iterator[tuple[int, int, Texts]]:
@@ -160,7 +160,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"key": holder[keep], "anchor": anchor[keep].astype(np.int64)})
 
 
-_SEGMENT = {"id": np.int64, "version": np.int64, "start": np.int64, "n": np.int32, "anchor": np.uint64}
+_SEGMENT = {"id": np.int64, "version": np.int64, "start": np.int64, "n": np.int32, "anchor": np.uint64, "inner": np.uint8}
 
 
 def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -169,13 +169,25 @@ def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.repeat(begin - offset[:-1], size) + np.arange(offset[-1])]
 
 
+def _hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each byte range, a megabyte of ranges at a time."""
+    out, filled, first = np.empty(len(begin), np.uint64), np.cumsum(size), 0
+    while first < len(begin):
+        last = max(int(np.searchsorted(filled, filled[first] - size[first] + PIECE, "right")), first + 1)
+        n = size[first:last]
+        at = np.cumsum(n) - n
+        out[first:last] = range_hashes(prefix_hashes(_gather(data, begin[first:last], n)), at, at + n)
+        first = last
+    return out
+
+
 def _collapse(data, begin, length, segment: dict) -> tuple[np.ndarray, np.ndarray]:
     """Of equal segments the earliest: its row numbers, and those of the copies it covers.
 
     A row at the earliest place of its kind in another version of the same id is kept too: it starts no earlier.
     """
     size = segment["n"].astype(np.int64) + length - 1
-    content = range_hashes(prefix_hashes(data), begin, begin + size)
+    content = _hashes(data, begin, size)
     order = np.lexsort((segment["version"], segment["start"], segment["id"], size, segment["anchor"], content))
     a, b = order[:-1], order[1:]
     same = (content[a] == content[b]) & (size[a] == size[b]) & (segment["anchor"][a] == segment["anchor"][b])
@@ -197,17 +209,17 @@ def _segments(length: int, shards: int):
             at = np.asarray(batch.column(3).offsets) - batch.column(3).offsets[0].as_py()
             names = np.sort(mix(np.repeat(np.arange(len(batch), dtype=np.uint64), np.diff(at)) << np.uint64(32) | wanted))
             for first, skipped, piece in _chunks(texts, length):
-                anchors, text, begin, n, _ = segments_of(piece, length)
+                anchors, text, begin, n, inner = segments_of(piece, length)
                 name = mix((first + text).astype(np.uint64) << np.uint64(32) | _brief(anchors).astype(np.uint64))
                 place = np.searchsorted(names, name)
                 place[place == len(names)] = 0
                 hit = names[place] == name if len(names) else np.zeros(0, bool)
                 if not hit.any():
                     continue
-                anchors, text, begin, n = anchors[hit], text[hit], begin[hit], n[hit]
+                anchors, text, begin, n, inner = anchors[hit], text[hit], begin[hit], n[hit], inner[hit].astype(np.uint8)
                 start = begin - piece.starts[text] + skipped
                 segment = dict(zip(_SEGMENT, (ids[first + text], versions[first + text], start, n.astype(np.int32),
-                                              anchors), strict=True))
+                                              anchors, inner), strict=True))
                 kept, covered = _collapse(piece.data, begin, length, segment)
                 shard = shard_of(anchors, shards)
                 whole = dict(split_by(shard[kept], shards, kept))
@@ -266,6 +278,12 @@ def _spans(length: int):
             kept, covered = _collapse(content, begin, length, segment)
             out.append([segment[c][covered] for c in ("id", "version", "start", "n")])
             kept = kept[np.argsort(segment["anchor"][kept], kind="stable")]
+            # A segment alone with its anchor, which it holds once, has no equal strings to be found.
+            anchor = segment["anchor"][kept]
+            several = segment["inner"][kept] > 0
+            several[1:] |= anchor[1:] == anchor[:-1]
+            several[:-1] |= anchor[1:] == anchor[:-1]
+            kept = kept[several]
             # Arrays of bounded size; the segments of one anchor stay together.
             anchor = segment["anchor"][kept]
             filled = np.cumsum(size[kept])
@@ -330,7 +348,8 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
     """The texts that lose bytes: key (the id), version (hash of the text), spans removed and bytes kept."""
     if length < SEED + 1:
         raise ValueError(f"strings of more than {SEED} bytes")
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Several shards for each task of a shuffle: a group is what a task holds at once.
+    shards = 12 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(int(np.iinfo(np.int64).min)))
     source = docs.select(key.alias("key"), text.alias("text"), F.xxhash64(text).alias("version"))
