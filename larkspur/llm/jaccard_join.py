@@ -134,8 +134,8 @@ def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 #: A posted n-gram is named by 40 bits beside its shard; two of one name only cost a comparison more.
 _NAME = np.uint64((1 << 40) - 1)
-_POSTED = {"gram": np.uint64, "owner": np.int64, "size": np.int32, "place": np.int32}
-_PACKED = "shard int, gram binary, owner binary, size binary, place binary, leader binary, member binary"
+_POSTED = {"gram": np.uint64, "owner": np.int64, "size": np.int32, "place": np.int32, "weight": np.int64}
+_PACKED = "shard int, " + ", ".join(f"{c} binary" for c in _POSTED) + ", leader binary, member binary"
 
 
 def _grams(frequent, width: int, shards: int):
@@ -161,7 +161,7 @@ def _grams(frequent, width: int, shards: int):
             if owners:
                 grams, owner, late, rank = (np.concatenate(c) for c in (grams, owner, late, rank))
                 yield from posted_rows(grams, owner, np.zeros(len(grams), np.uint32), np.array(owners, np.int64),
-                                       np.array(sizes, np.int32), late, rank, shards)
+                                       np.array(sizes, np.int32), np.ones(len(owners), np.int64), late, rank, shards)
 
     return run
 
@@ -172,7 +172,7 @@ _RETURNED = {"gram": np.uint64, "node": np.int64, "size": np.int32, "docs": np.i
 def _returned(shards: int):
     def run(table: pa.Table) -> pa.Table:
         """A shard's n-grams of more than one class, dealt by class, with the number of classes; and the frequent ones."""
-        gram, owner, size, _ = _received(table)
+        gram, owner, size, _, _ = _received(table, False)
         order = np.lexsort((owner, gram))
         gram, owner, size = gram[order], owner[order], size[order]
         keep = np.ones(len(gram), bool)
@@ -210,10 +210,10 @@ def _lists(per_100: int):
             np.concatenate([unpacked(v, kind) for v in table[name].to_pylist()]) for name, kind in _RETURNED.items()
         )
         order = np.lexsort((gram, docs, node))
-        gram, node, size = gram[order], node[order], size[order].astype(np.int64)
+        gram, node, size, docs = gram[order], node[order], size[order].astype(np.int64), docs[order]
         keep = np.ones(len(gram), bool)
         keep[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
-        gram, node, size = gram[keep], node[keep], size[keep]
+        gram, node, size, docs = gram[keep], node[keep], size[keep], docs[keep]
         first, last = _buckets(node)
         n = size[first] if len(first) else first
         own = n - (last - first)
@@ -225,6 +225,8 @@ def _lists(per_100: int):
                 "n": n[use],
                 "own": own[use],
                 "prefix": prefix[use],
+                # How much of it others hold too: of near copies, most for the one they come from.
+                "weight": np.add.reduceat(np.minimum(docs, 1 << 30), first)[use] if len(first) else first,
                 "grams": binary([gram[first[k] : last[k]] for k in use]),
             }
         )
@@ -239,7 +241,7 @@ def _postings(per_100: int, shards: int):
         A group is the classes of a batch of one size with one prefix; its first class posts for all.
         """
         for batch in batches:
-            grams, owner, place, owners, sizes, groups, leaders, members = [], [], [], [], [], {}, [], []
+            grams, owner, place, owners, sizes, weights, groups, leaders, members = [], [], [], [], [], [], {}, [], []
             for row in batch.to_pylist():
                 prefix = row["grams"][: 8 * row["prefix"]]
                 leader = groups.setdefault((row["n"], prefix), row["node"])
@@ -252,25 +254,26 @@ def _postings(per_100: int, shards: int):
                 place.append(np.arange(row["own"], row["own"] + row["prefix"], dtype=np.uint32))
                 owners.append(row["node"])
                 sizes.append(row["n"])
+                weights.append(row["weight"])
             if owners:
                 yield from posted_rows(
                     *(np.concatenate(c) for c in (grams, owner, place)), np.array(owners, np.int64),
-                    np.array(sizes, np.int32), np.array(leaders, np.int64), np.array(members, np.int64), shards,
+                    np.array(sizes, np.int32), np.array(weights, np.int64), np.array(leaders, np.int64), np.array(members, np.int64), shards,
                 )
 
     return run
 
 
-_SENT = ["shard", "gram", "number", "place", "owners", "sizes", "leader", "member"]
+_SENT = ["shard", "gram", "number", "place", "owners", "sizes", "weights", "leader", "member"]
 
 
 def posted_schema() -> str:
     return ", ".join(f"{c} {'int' if c == 'shard' else 'binary'}" for c in _SENT)
 
 
-def posted_rows(gram, owner, place, owners, sizes, leaders, members, shards: int) -> Iterator[pa.RecordBatch]:
+def posted_rows(gram, owner, place, owners, sizes, weights, leaders, members, shards: int) -> Iterator[pa.RecordBatch]:
     """A row for each shard: its postings (n-gram, number of the owner, place), the owners they refer to with their
-    sizes, and the classes folded into another."""
+    sizes and weights, and the classes folded into another."""
     folded = dict(split_by(shard_of(mix(leaders), shards), shards, leaders, members))
     posted = dict(split_by(shard_of(gram, shards), shards, gram & _NAME, owner, place))
     for k in sorted(posted.keys() | folded.keys()):
@@ -279,44 +282,46 @@ def posted_rows(gram, owner, place, owners, sizes, leaders, members, shards: int
         here, number = np.unique(number[by_name], return_inverse=True)
         row = [
             packed(name[by_name], True), packed(number.astype(np.uint32)), packed(at[by_name]),
-            owners[here].tobytes(), packed(sizes[here]), *(c.tobytes() for c in folded.get(k, [leaders[:0]] * 2)),
+            owners[here].tobytes(), packed(sizes[here]), packed(weights[here]), *(c.tobytes() for c in folded.get(k, [leaders[:0]] * 2)),
         ]
         columns = [pa.array([k], pa.int32()), *(pa.array([c], pa.binary()) for c in row)]
         yield pa.RecordBatch.from_arrays(columns, names=_SENT)
 
 
-def _received(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """N-gram, owner, size and place of a shard's postings, without the names that occur once (which are most)."""
+def _received(table: pa.Table, weighed: bool) -> tuple[np.ndarray, ...]:
+    """N-gram, owner, size, place and weight of a shard's postings, without the names that occur once (most do)."""
     parts = []
-    for row in table.select(_SENT[1:6]).to_pylist():
+    for row in table.select(_SENT[1:7]).to_pylist():
         number = unpacked(row["number"], np.uint32)
         owners, sizes = np.frombuffer(row["owners"], np.int64), unpacked(row["sizes"], np.int32)
         parts.append((unpacked(row["gram"], np.uint64, True), owners[number], sizes[number],
-                      unpacked(row["place"], np.uint32).astype(np.int32)))
-    gram, owner, size, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+                      unpacked(row["place"], np.uint32).astype(np.int32),
+                      unpacked(row["weights"], np.int64)[number] if weighed else number))
+    gram, owner, size, place, weight = (np.concatenate(c) for c in zip(*parts, strict=True))
     del parts
     some = np.sort(gram)
     again = np.unique(some[1:][some[1:] == some[:-1]])
     at = np.searchsorted(again, gram)
     at[at == len(again)] = 0
     use = again[at] == gram if len(again) else np.zeros(len(gram), bool)
-    return gram[use], owner[use], size[use], place[use]
+    return gram[use], owner[use], size[use], place[use], weight[use]
 
 
 def _shared(table: pa.Table) -> pa.Table:
     """A shard's postings of n-grams that more than one group has, by n-gram and size."""
-    gram, owner, size, place = _received(table)
+    gram, owner, size, place, weight = _received(table, True)
     order = np.lexsort((owner, size, gram))
-    gram, owner, size, place = gram[order], owner[order], size[order], place[order]
+    gram, owner, size, place, weight = gram[order], owner[order], size[order], place[order], weight[order]
     # The same class, posted by several batches.
     keep = np.ones(len(gram), bool)
     keep[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+    weight = np.add.reduceat(weight, np.flatnonzero(keep)) if len(gram) else weight
     gram, owner, size, place = gram[keep], owner[keep], size[keep], place[keep]
     shared = np.zeros(len(gram), bool)
     shared[1:] = gram[1:] == gram[:-1]
     shared[:-1] |= shared[1:]
     folded = np.unique(np.stack([joined(table["leader"], np.int64), joined(table["member"], np.int64)]), axis=1)
-    columns = [gram[shared], owner[shared], size[shared], place[shared], folded[0], folded[1]]
+    columns = [*(c[shared] for c in (gram, owner, size, place, weight)), folded[0], folded[1]]
     return pa.table(
         [table["shard"].slice(0, 1).combine_chunks(), *(binary([c]) for c in columns)],
         names=["shard", *_POSTED, "leader", "member"],
@@ -324,7 +329,9 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _buckets(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+    if not len(gram):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     return first, np.concatenate([first[1:], [len(gram)]]).astype(np.int64)
 
 
@@ -346,11 +353,13 @@ def _stars(per_100: int):
         """Every member of a group with its leader, every group of a bucket with the bucket's next smaller pivot."""
         for batch in batches:
             for row in batch.to_pylist():
-                gram, owner, size, place = (np.frombuffer(row[name], kind) for name, kind in _POSTED.items())
+                gram, owner, size, place, weight = (np.frombuffer(row[name], kind) for name, kind in _POSTED.items())
                 a, b = [np.frombuffer(row["leader"], np.int64)], [np.frombuffer(row["member"], np.int64)]
-                # A pivot serves sizes up to a tenth above the smallest of its band; which one depends on the n-gram, so
-                # that a class meets several pivots.
+                # A pivot serves a band of sizes: one of the weightiest there; which one depends on the n-gram, so that a
+                # class meets several pivots.
                 band = np.floor(np.log(np.maximum(size, 1)) / np.log(1.1)).astype(np.int64)
+                order = np.lexsort((owner, -weight, band, gram))
+                gram, owner, size, place, band = gram[order], owner[order], size[order], place[order], band[order]
                 start = np.ones(len(gram), bool)
                 start[1:] = (gram[1:] != gram[:-1]) | (band[1:] != band[:-1])
                 first = np.flatnonzero(start)
@@ -365,15 +374,15 @@ def _stars(per_100: int):
     return run
 
 
-def _crossings(per_100: int, tries: int | None = None):
-    """All pairs of classes in different components that may be linked; or, with ``tries``, those of each class outside a
-    bucket's commonest component with a pivot inside it (the ``tries``-th choice of pivots)."""
+def _crossings(per_100: int, pivots_only: bool):
+    """All pairs of classes in different components that may be linked; or only those of each class outside a bucket's
+    commonest component with a pivot inside it, other ones than those compared first."""
 
     def run(posted: pa.Table, labels: pa.Table) -> pa.Table:
         """Pairs of classes in different components that their groups' sizes and places leave possible."""
         if not posted.num_rows:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        gram, owner, size, place = (joined(posted[name], kind) for name, kind in _POSTED.items())
+        gram, owner, size, place, weight = (joined(posted[name], kind) for name, kind in _POSTED.items())
         leader, node, label = (labels[name].to_numpy() for name in ("owner", "node", "label"))
         order = np.argsort(leader, kind="stable")
         leader, node, label = leader[order], node[order], label[order]
@@ -391,9 +400,10 @@ def _crossings(per_100: int, tries: int | None = None):
             common = np.argmax(np.bincount(kind))
             odd = np.flatnonzero(kind != common)
             every = np.arange(len(at))
-            if tries is not None:
+            if pivots_only:
                 inside = np.flatnonzero(kind == common)
-                every = inside[[(PIVOTS * tries + int(gram[first] % np.uint64(PIVOTS))) % len(inside)]]
+                inside = inside[np.argsort(-weight[at[inside]], kind="stable")]
+                every = inside[[(PIVOTS + int(gram[first] % np.uint64(2 * PIVOTS))) % len(inside)]]
             step = max(1, (1 << 20) // len(every))
             for k in range(0, len(odd), step):
                 x, y = odd[k : k + step][:, None], every[None, :]
@@ -412,28 +422,39 @@ def _crossings(per_100: int, tries: int | None = None):
     return run
 
 
-def settled(near: DataFrame, posted: DataFrame, places: DataFrame, members: DataFrame, sets: DataFrame, per_100: int):
+def settled(
+    near: DataFrame, posted: DataFrame, places: DataFrame, members: DataFrame, sets, per_100: int, kind=np.uint64
+) -> DataFrame:
     """Components of all links, given those found among the first pairs.
 
-    ``places`` says in which shards a group is posted, ``members`` which classes it stands for. A few rounds compare
-    classes outside their buckets' commonest component with pivots inside it; what is then still apart is compared in full.
+    ``places`` says in which shards a group is posted, ``members`` which classes it stands for. First, classes outside
+    their buckets' commonest component are compared with pivots inside it; what is then still apart is compared in full.
     """
-    for tries in (1, 2, None):
-        labels = connected_components(near)
+    labels = materialize(connected_components(near), "components")
+    for again in (True, False):
         labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
         labelled = materialize(labelled.select("owner", "node", "label"), "labels")
         here = places.join(labelled, "owner").groupBy("shard")
-        rest = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100, tries), "a long, b long")
-        if tries is None:
+        rest = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100, again), "a long, b long")
+        if not again:
             x, y = labelled.alias("x"), labelled.alias("y")
             inside = x.join(y, F.expr("x.owner = y.owner AND x.node < y.node AND x.label <> y.label"))
             rest = rest.union(inside.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
         rest = materialize(rest.distinct(), "rest")
-        near = materialize(near.union(agreed(rest, sets(rest), per_100)), "near")
-    return connected_components(near)
-
-
-def agreed(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
+        # New links join components, which are few beside the classes in them.
+        found = agreed(rest, sets(rest), per_100, kind)
+        named = labelled.select("node", "label").distinct()
+        found = found.join(named.withColumnsRenamed({"node": "a", "label": "x"}), "a")
+        found = found.join(named.withColumnsRenamed({"node": "b", "label": "y"}), "b")
+        joined_up = connected_components(found.select("x", "y"), "x", "y")
+        joined_up = joined_up.withColumnsRenamed({"node": "label", "component": "top"})
+        whole = named.union(labels.select("node", F.col("component").alias("label"))).distinct()
+        labels = whole.join(joined_up, "label", "left").select("node", F.coalesce("top", "label").alias("component"))
+        labels = materialize(labels, "components")
+    return labels
+
+
+def agreed(pairs: DataFrame, sets: DataFrame, per_100: int, kind=np.uint64) -> DataFrame:
     """The pairs (a, b) that reach the threshold: sets of size n whose common n-grams are all in ``grams``."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
@@ -443,7 +464,7 @@ def agreed(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
             keep = []
             rows = (batch.column(c).to_pylist() for c in ("n_a", "grams_a", "n_b", "grams_b"))
             for n, x, m, y in zip(*rows, strict=True):
-                both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
+                both = np.sort(np.concatenate([np.frombuffer(x, kind), np.frombuffer(y, kind)]))
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * shared >= per_100 * (n + m - shared))
             at = pa.array(keep, pa.bool_())
@@ -457,16 +478,18 @@ def agreed(pairs: DataFrame, sets: DataFrame, per_100: int) -> DataFrame:
 def _linked(source: DataFrame, width: int, per_100: int) -> tuple[DataFrame, DataFrame]:
     """Per row of (id, text, version): id, version, size n and identity of its set; and per class its component."""
     spark = source.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Two shards for each task of a shuffle: a group is what a task holds at once.
+    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     survey = materialize(_survey(source, width), "survey")
     frequent = spark.sparkContext.broadcast(_frequent(survey))
     sent = source.select("text").mapInArrow(_grams(frequent, width, shards), posted_schema())
     back = sent.groupBy("shard").applyInArrow(
         _returned(shards), "shard int, " + ", ".join(f"{c} binary" for c in _RETURNED)
     )
-    lists = back.groupBy("shard").applyInArrow(_lists(per_100), "node long, n long, own long, prefix long, grams binary")
+    lists = back.groupBy("shard").applyInArrow(_lists(per_100), "node long, n long, own long, prefix long, weight long, grams binary")
     lists = materialize(lists, "lists")
-    sent = lists.mapInArrow(_postings(per_100, shards), posted_schema())
+    # Prefixes are few beside all n-grams; in fewer shards, fewer pairs are met twice.
+    sent = lists.mapInArrow(_postings(per_100, max(1, shards // 16)), posted_schema())
     posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
     stars = materialize(posted.mapInArrow(_stars(per_100), "a long, b long").distinct(), "stars")
     near = materialize(agreed(stars, lists, per_100), "near")

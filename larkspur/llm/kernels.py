@@ -201,7 +201,7 @@ def packed(numbers: np.ndarray, rising: bool = False) -> bytes:
     """Numbers by byte planes, so that the planes of small numbers compress to nothing; differences if they rise."""
     if rising:
         numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.dtype.itemsize).T).tobytes()
 
 
 def unpacked(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
