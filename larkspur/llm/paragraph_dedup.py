@@ -10,7 +10,8 @@ A passage may also lie inside paragraphs that differ around it. Its sentences ar
 sentences (of at least ``min_sentence`` words) keep the earliest and mark the others.
 
 Marked sentences that follow each other, shorter ones between them included, form a passage. A passage of at least
-``min_words`` words is removed; a shorter one, such as a single common line, stays.
+``min_words`` words is removed; a shorter one, such as a single common line, stays. Runs of ``min_run`` words or more that
+an earlier place has are removed as well, wherever they begin and end (``repeated_windows``).
 
 Only hashes travel: a sentence or paragraph that repeats within a batch is sent once, so a passage in a third of all
 texts costs one row for each batch. Whole texts are read again for those that hold something to compare or to cut.
@@ -54,6 +55,7 @@ from larkspur.llm.kernels import (
     word_hashes,
     words,
 )
+from larkspur.llm.repeated_windows import merged, repeated_runs
 from larkspur.workspace import materialize
 
 _SHORT = np.uint32
@@ -309,8 +311,10 @@ def _cut(min_sentence: int, min_words: int):
                 line_edge = np.searchsorted(line_text, np.arange(len(layout.piece) + 1))
                 for i in range(len(layout.piece)):
                     mine = [m for m in marks[first + i] if m["version"] == versions[first + i]]
+                    runs = [(m["number"], m["end"]) for m in mine if m["end"] is not None]
+                    mine = [m for m in mine if m["end"] is None]
                     n = edge[i + 1] - edge[i]
-                    if not mine or not n:
+                    if not (mine or runs) or not n:
                         continue
                     marked = np.zeros(n, bool)
                     marked[[m["number"] for m in mine if m["sentence"]]] = True
@@ -318,9 +322,13 @@ def _cut(min_sentence: int, min_words: int):
                     lines[[m["number"] for m in mine if not m["sentence"]]] = True
                     marked |= lines[line[edge[i] : edge[i + 1]] - line_edge[i]]
                     spans = _passages(marked, size[edge[i] : edge[i + 1]], min_sentence, min_words)
-                    if spans:
+                    word = layout.sentences[edge[i] : edge[i + 1] + 1] - layout.words.first[i]
+                    spans = np.array([(word[a], word[b]) for a, b in spans] + runs, np.int64).reshape(-1, 2)
+                    if len(spans):
+                        same = np.zeros(len(spans), np.int64)
+                        _, _, begin, end = merged(same, same, spans[:, 0], spans[:, 1])
                         at.append(first + i)
-                        out.append(_without(layout, i, edge[i], spans))
+                        out.append(_without(layout, i, begin, end))
             where = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").take(where), batch.column("version").take(where),
@@ -347,18 +355,17 @@ def _passages(marked: np.ndarray, size: np.ndarray, min_sentence: int, min_words
     return out
 
 
-def _without(layout: Layout, i: int, first: int, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
-    """Words removed, passages, and the text without them; blanks after a passage go with it."""
+def _without(layout: Layout, i: int, begin: np.ndarray, end: np.ndarray) -> tuple[int, int, str]:
+    """Words removed, passages, and the text without the words of these ranges; blanks after a passage go with it."""
     text, origin = layout.piece.text(i), layout.piece.starts[i]
     kept, at, removed = [], 0, 0
-    for a, b in spans:
-        a, b = layout.sentences[first + a], layout.sentences[first + b]
+    for a, b in zip(layout.words.first[i] + begin, layout.words.first[i] + end, strict=True):
         kept.append(text[at : layout.words.begin[a] - origin])
         last = layout.words.first[i + 1]
         at = layout.words.begin[b] - origin if b < last else len(text)
         removed += int(b - a)
     kept.append(text[at:])
-    return removed, len(spans), b"".join(kept).decode()
+    return removed, len(begin), b"".join(kept).decode()
 
 
 def passages(
@@ -371,6 +378,7 @@ def passages(
     min_paragraph: int = 20,
     min_sentence: int = 5,
     min_words: int = 30,
+    min_run: int = 50,
 ) -> DataFrame:
     """The texts that lose something: key (the id), version (hash of the text), n_removed words, n_passages, kept."""
     # Several shards for each task of a shuffle: a group is what a task holds at once.
@@ -381,8 +389,12 @@ def passages(
     )
     later = sent.groupBy("shard").applyInArrow(_later_sentences, "key long, version long, number long")
     near = _near_paragraphs(source, threshold, recall, width, min_paragraph, shards)
-    marks = later.withColumn("sentence", F.lit(True)).union(near.withColumn("sentence", F.lit(False)))
-    marks = marks.groupBy("key").agg(F.collect_set(F.struct("version", "number", "sentence")).alias("marks"))
+    runs = repeated_runs(source, min_run, shards)
+    none = F.lit(None).cast("long")
+    marks = later.select("*", none.alias("end"), F.lit(True).alias("sentence"))
+    marks = marks.union(near.select("*", none.alias("end"), F.lit(False).alias("sentence")))
+    marks = marks.union(runs.select("key", "version", "begin", "end", F.lit(False).alias("sentence")))
+    marks = marks.groupBy("key").agg(F.collect_set(F.struct("version", "number", "end", "sentence")).alias("marks"))
     marks = materialize(marks, "marks").where(F.size("marks") > 0)
     whole = source.join(marks, "key").select("key", "version", "text", "marks")
     schema = "key long, version long, n_removed long, n_passages long, kept string"

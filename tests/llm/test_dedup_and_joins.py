@@ -175,3 +175,36 @@ def test_passages_of_awkward_rows(awkward, nothing):
     assert got.count() == 11 and texts_left[6] == "" and len(texts_left[5]) > 1_000_000 and texts_left[2] is None
     assert passage_report(awkward).count() == 11
     assert passage_report(nothing).count() == 0 and remove_passages(nothing).count() == 0
+
+
+def test_repeated_runs_against_brute_force(ready):
+    """Runs of 50 words placed in mid-sentence, shared or periodic: all words of a window that stands earlier go."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice(LETTERS) for _ in range(6))
+    shared = [[word() for _ in range(70)] for _ in range(3)]
+    rows = []
+    for k in range(40):
+        words = [word() for _ in range(rng.randint(5, 60))]
+        if k % 4:
+            at, run = rng.randrange(len(words)), rng.choice(shared)
+            a = rng.randint(0, 25)
+            words[at:at] = run[a : a + rng.randint(45, 70)]
+        if k % 10 == 0:
+            words += [word() for _ in range(3)] * 50
+        rows.append((k, " ".join(w.upper() if k % 3 == 0 else w for w in words)))
+    rows += [(4, rows[9][1]), (9, rows[9][1]), (None, rows[30][1])]
+    rng.shuffle(rows)
+    seen, want = {}, {}
+    for key, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        words = text.lower().split(" ")
+        gone = set()
+        for at in range(len(words) - 49):
+            first = seen.setdefault(tuple(words[at : at + 50]), (text, key, at))
+            if first[:2] != (text, key) or at >= first[2] + 50:
+                gone.update(range(at, at + 50))
+        want.setdefault(key, []).append((len(gone), " ".join(w for i, w in enumerate(text.split(" ")) if i not in gone)))
+    table = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in passages(table, min_paragraph=1000, min_words=1000).collect():
+        got.setdefault(None if r["key"] < 0 else r["key"], set()).add((r["n_removed"], r["kept"].strip()))
+    assert got == {k: v for k, v in ((k, {x for x in v if x[0]}) for k, v in want.items()) if v}
