@@ -200,6 +200,17 @@ def _signatures(sets: np.ndarray, begin: np.ndarray, bands: int, rows: int) -> n
     return out
 
 
+def _different(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Size of each set as ``_sets`` counts it: a shingle that repeats counts once."""
+    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    half = sets >> np.uint64(32)
+    order = np.lexsort((half, owner))
+    half, owner = half[order], owner[order]
+    new = np.ones(len(half), bool)
+    new[1:] = (half[1:] != half[:-1]) | (owner[1:] != owner[:-1])
+    return np.bincount(owner[new], minlength=len(begin) - 1)
+
+
 def _bands(shards: int, bands: int, rows: int, width: int, min_paragraph: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Band hashes of the different paragraphs of a batch, posted by shard."""
@@ -213,7 +224,7 @@ def _bands(shards: int, bands: int, rows: int, width: int, min_paragraph: int):
                 if not len(use):
                     continue
                 sets, begin = shingles(*_selected(layout, use), width)
-                parts.append((content[use], np.diff(begin), times, _signatures(sets, begin, bands, rows)))
+                parts.append((content[use], _different(sets, begin), times, _signatures(sets, begin, bands, rows)))
             if not parts:
                 continue
             node, size, times, signs = (np.concatenate(c) for c in zip(*parts, strict=True))

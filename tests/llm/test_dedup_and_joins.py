@@ -208,3 +208,14 @@ def test_repeated_runs_against_brute_force(ready):
     for r in passages(table, min_paragraph=1000, min_words=1000).collect():
         got.setdefault(None if r["key"] < 0 else r["key"], set()).add((r["n_removed"], r["kept"].strip()))
     assert got == {k: v for k, v in ((k, {x for x in v if x[0]}) for k, v in want.items()) if v}
+
+
+def test_near_paragraphs_that_repeat_themselves(ready):
+    """A line and one that holds it three times have nearly the same shingles, though not as many."""
+    rows = []
+    for k in range(6):
+        words = [f"r{k}w{i}" for i in range(40)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words * 3))]
+    table = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {k for (k, _), (_, least) in zip(rows, components(rows), strict=True) if least != k}
+    assert want == {1, 3, 5, 7, 9, 11} and {r["key"] for r in passages(table).collect()} == want
