@@ -16,7 +16,7 @@ from larkspur.llm.html_text import ARTICLE, BOILERPLATE, blocks_of, main_text
 from larkspur.llm.kneser_ney import KneserNey, discounts
 from larkspur.llm.queries import held_out
 from larkspur.llm.token_counts import PrefixCounts, token_counts
-from larkspur.llm.toxicity import FEATURES, Toxicity, reject_toxic
+from larkspur.llm.toxicity import BEGINNINGS, FEATURES, Toxicity, _lexicon, reject_toxic
 
 public = pytest.importorskip("public_tokenizers")
 VOCABULARY = public.path("word_bpe_49k.json")
@@ -220,3 +220,11 @@ def test_page_text_is_that_of_the_article(ready):
         parts = re.split("</?(?:p|h1)>", inner.replace("<br>", " "))
         plain = [" ".join(html.unescape(re.sub("<[^>]+>", "", p)).split()) for p in parts]
         assert got[page["page_id"]] == "\n\n".join(p for p in plain if p)
+
+
+def test_lexicon_keeps_rare_toxic_words(ready):
+    """A word or beginning of two toxic texts and no other is an entry, however many terms there are."""
+    rows = [(k, k % 4, 10, 1) for k in range(5000)] + [(10_000 + kind, kind, 2, 2) for kind in range(len(BEGINNINGS) + 1)]
+    found = _lexicon(ready.createDataFrame(rows, "term long, kind int, rows long, toxic long"), 0.1, 8192)
+    assert BEGINNINGS == (4, 5, 6)
+    assert [list(terms) for terms, _ in found] == [[10_000 + kind] for kind in range(4)]
