@@ -228,3 +228,18 @@ def test_lexicon_keeps_rare_toxic_words(ready):
     found = _lexicon(ready.createDataFrame(rows, "term long, kind int, rows long, toxic long"), 0.1, 8192)
     assert BEGINNINGS == (4, 5, 6)
     assert [list(terms) for terms, _ in found] == [[10_000 + kind] for kind in range(4)]
+
+
+def test_inner_article_wins_over_an_outer_class_name():
+    page = "<div class='with-sidebar'><p>x</p><article><header>by<h1>T</h1></header><p>text</p></article></div><p>open</p>"
+    assert [t for level, t in blocks_of(page) if level == ARTICLE] == ["T", "text"]
+    page = "<article>own</article><div class='related'><article>teaser</article></div>"
+    assert blocks_of(page) == [(ARTICLE, "own"), (BOILERPLATE, "teaser")]
+    assert blocks_of("<div class='ad'><nav><article>a</article></nav></div>") == [(BOILERPLATE, "a")]
+
+
+def test_a_text_on_two_pages_of_a_host_stays(ready):
+    text = "the same article of more than six words without any markup"
+    rows = [(i, f"https://h.example/{i}", f"<p>{text}</p>") for i in range(2)]
+    pages = ready.createDataFrame(rows, "page_id long, url string, html string")
+    assert [r["text"] for r in main_text(pages).collect()] == [text, text]
