@@ -133,6 +133,15 @@ def op10_html_text(t: Tables) -> DataFrame:
     return main_text(t.pages)
 
 
+@query
+def op11_best_fit_packing(t: Tables) -> DataFrame:
+    import public_tokenizers
+
+    from larkspur.llm.packing import pack_documents
+
+    return pack_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
+
+
 LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 TWINS["op1_decontamination"] = rf"""
