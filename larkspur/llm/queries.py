@@ -142,6 +142,20 @@ def op11_best_fit_packing(t: Tables) -> DataFrame:
     return pack_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
 
 
+@query
+def op12_conversation_repair(t: Tables) -> DataFrame:
+    from larkspur.llm.conversation_repair import damaged, repair
+
+    return repair(damaged(t.conversations), F.col("present"))
+
+
+@query
+def op13_filter_audit(t: Tables) -> DataFrame:
+    from larkspur.llm.filter_audit import audit_filters
+
+    return audit_filters(t.documents, t.labels)
+
+
 LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 TWINS["op1_decontamination"] = rf"""
@@ -243,3 +257,143 @@ SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(turn * q + slot AS B
         lambda i: turn * all_a[i] + earlier[i] > (all_n[i] + 15) // 16)) = 0 AS on_target
 FROM placed
 """
+
+TWINS["op13_filter_audit"] = r"""
+WITH judged AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+        regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words,
+        CAST(len(words) < 100 AS INTEGER)
+        + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INTEGER)
+        + 4 * CAST(100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x) AS INTEGER)
+        + 8 * CAST(regexp_matches(x, '[#$%&*|]') AS INTEGER)
+        + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS INTEGER) AS mask
+    FROM documents
+), known AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+    FROM labels GROUP BY doc_id
+), rows AS (
+    SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM judged LEFT JOIN known USING (doc_id) GROUP BY part, mask
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order,
+        [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+        AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0) AS before
+    FROM orders, unnest(range(1, 6)) AS s(step)
+), done AS (
+    SELECT part, filter_order, step, bit, n, good, toxic, mask & bit > 0 AS fails, mask & CAST(before AS INTEGER) > 0 AS gone,
+        mask = bit AS alone
+    FROM rows, steps
+), found AS (
+    SELECT part, filter_order, step, any_value(bit) AS bit,
+        coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS kept,
+        coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+        coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost
+    FROM done GROUP BY ALL
+), shares AS (
+    SELECT part, bit, sum(removed) AS shapley FROM found GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM found JOIN shares USING (part, bit)
+"""
+
+
+def _edit(state: str, cost: str, letter: str, line: str | None = None, when: str = "true") -> str:
+    """SQL of a state after an edit: cost, audit and lines so far, or null."""
+    out = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND {when} THEN struct_pack(cost := {state}.cost + {cost}, "
+        f"audit := {state}.audit || '{letter}', lines := {out}) END"
+    )
+
+
+def _insert(state: str, role: str) -> str:
+    return _edit(state, "2", "I", f"'{role}:'")
+
+
+def _insert_both(state: str) -> str:
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN struct_pack(cost := {state}.cost + 4, audit := {state}.audit || 'II', "
+        f"lines := list_concat({state}.lines, ['user:', 'assistant:'])) END"
+    )
+
+
+def _row(state: str, initial: str, role: str | None) -> str:
+    kept = _edit(state, "late", "K", "role || ':' || text", f"NOT gone AND initial = '{initial}'")
+    return kept + (", " + _edit(state, "2 + late", "R", f"'{role}:' || text", "NOT gone") if role else "")
+
+
+# Cheapest and least edits up to each row for each state: nothing yet (s0), system (s1), user (s2), assistant (s3).
+_INSERTED = f"""list_min([s2, {_insert('s0', 'user')}, {_insert('s1', 'user')}, {_insert('s3', 'user')}]) AS u,
+        list_min([s3, {_insert('s2', 'assistant')}, {_insert_both('s0')}, {_insert_both('s1')}]) AS a"""
+
+TWINS["op12_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda x: CAST(ord(x) AS BIGINT)) AS bytes
+    FROM conversations
+), faults AS (
+    SELECT keyed.* EXCLUDE (bytes), xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+    FROM keyed, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM faults
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+        NOT regexp_matches(text, '[^ 	-]') AS blank, left(role, 1) AS initial
+    FROM damaged
+), rows AS (
+    SELECT *, NOT blank AND seen AS duplicate, blank OR seen AS gone,
+        NOT blank AND NOT seen AND NOT regexp_matches(text, '[.!?][ 	-]*$') AS truncated,
+        CAST(NOT blank AND NOT seen AND NOT regexp_matches(text, '[.!?][ 	-]*$') AS BIGINT) AS late,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+    FROM ordered
+), figures AS (
+    SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (illegal) AS illegal
+    FROM rows GROUP BY conv_id
+), walk AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i,
+        struct_pack(cost := CAST(0 AS BIGINT), audit := '', lines := CAST([] AS VARCHAR[])) AS s0,
+        CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])) AS s1,
+        CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])) AS s2,
+        CAST(NULL AS STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])) AS s3
+    FROM figures
+    UNION ALL
+    SELECT conv_id, i,
+        {_edit('s0', '3', 'D')},
+        list_min([{_edit('s1', '3', 'D')}, {_row('s0', 's', None)}]),
+        list_min([{_edit('u', '3', 'D')}, {_row('s0', 'u', 'user')}, {_row('s1', 'u', 'user')}, {_row('a', 'u', 'user')}]),
+        list_min([{_edit('a', '3', 'D')}, {_row('u', 'a', 'assistant')}])
+    FROM (
+        SELECT rows.*, s0, s1, {_INSERTED}
+        FROM walk JOIN rows ON rows.conv_id IS NOT DISTINCT FROM walk.conv_id AND rows.i = walk.i + 1
+    )
+), ended AS (
+    SELECT conv_id, figures.* EXCLUDE (conv_id, n), list_min([s0, a]) AS best
+    FROM (SELECT conv_id, i, s0, {_INSERTED} FROM walk) w JOIN figures USING (conv_id) WHERE i = n
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended USING (conv_id)
+"""
