@@ -97,6 +97,12 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     before = old.select(*keys, F.struct(*rest).alias("_before"))
     after = new.select(*keys, F.struct(*rest).alias("_after"))
 
+    return as_changes(before.join(after, list(keys), "full_outer"), keys)
+
+
+def as_changes(images: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
+    """Rows before and after (``_before``, ``_after``, null where there is none) as one row per image; equal ones are dropped."""
+
     def change(kind: str, image: str) -> Column:
         return F.struct(F.lit(kind).alias("change"), F.col(image).alias("image"))
 
@@ -106,11 +112,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .when(F.col("_after").isNull(), F.array(change("delete", "_before")))
         .when(~F.col("_before").eqNullSafe(F.col("_after")), updated)
     )
-    return (
-        before.join(after, list(keys), "full_outer")
-        .select(*keys, F.explode(changes).alias("c"))
-        .select("c.change", *keys, "c.image.*")
-    )
+    return images.select(*first, *keys, F.explode(changes).alias("c")).select(*first, "c.change", *keys, "c.image.*")
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:

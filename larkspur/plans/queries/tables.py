@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from larkspur.operators import feature_table, tables
+from larkspur.operators.versioned import VersionedTable
 from larkspur.plans.inputs import VERSIONS, new_orders, old_orders
 from larkspur.plans.registry import query
-from larkspur.workspace import scratch_database
+from larkspur.workspace import new_path, scratch_database
 
 LINE = "l_orderkey, l_linenumber, l_suppkey, l_quantity, l_returnflag"
 AT = "2024-05-01 12:00:00"
@@ -218,3 +219,69 @@ def _(t):
 )
 def _(t):
     return feature_table.change_feed(old_orders(t), new_orders(t), ["o_orderkey"])
+
+
+# Four versions of some columns of orders: prices that go up and back again, new orders, a new status, deleted orders.
+_OWN = "o_orderkey, o_orderstatus, o_totalprice"
+_STORED = f"SELECT {_OWN} FROM orders WHERE o_orderkey % 4 <> 0"
+_LAST = """SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+    FROM orders WHERE o_orderkey % 7 <> 0"""
+_SECOND = f"""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 6 = 0 THEN o_totalprice + 1 ELSE o_totalprice END
+    AS o_totalprice FROM orders"""
+
+
+def _versions(t) -> VersionedTable:
+    table = VersionedTable(t.spark, new_path(t.spark, "versions"))
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    table.create(orders.where(key % 4 != 0), ["o_orderkey"], buckets=8)
+    raised = F.when(key % 6 == 0, price + 1).otherwise(price)
+    table.merge(orders.where((key % 4 == 0) | (key % 6 == 0)).withColumn("o_totalprice", raised))
+    table.merge(orders.where(key % 6 == 0))
+    table.merge(orders.where(key % 10 == 0).select("o_orderkey", F.lit("X").alias("o_orderstatus")))
+    table.delete(orders.where(key % 7 == 0))
+    return table
+
+
+@query(
+    "read_version",
+    f"""SELECT 1 AS version, * FROM ({_STORED}) UNION ALL SELECT 2, * FROM ({_SECOND})
+        UNION ALL SELECT 5, * FROM ({_LAST})""",
+)
+def _(t):
+    """Old and new versions of one stored table, side by side."""
+    table = _versions(t)
+    first, second, last = (table.read(v).select(F.lit(v).alias("version"), "*") for v in (1, 2, 5))
+    return first.unionByName(second).unionByName(last)
+
+
+@query(
+    "merge_change_feed",
+    f"""WITH old AS ({_STORED}), new AS ({_LAST}), both_sides AS (
+          SELECT o, n FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey)
+        SELECT 'insert' AS change, n.* FROM both_sides WHERE o.o_orderkey IS NULL
+        UNION ALL SELECT 'delete', o.* FROM both_sides WHERE n.o_orderkey IS NULL
+        UNION ALL SELECT 'update_preimage', o.* FROM both_sides WHERE o IS DISTINCT FROM n AND o.o_orderkey = n.o_orderkey
+        UNION ALL SELECT 'update_postimage', n.* FROM both_sides
+          WHERE o IS DISTINCT FROM n AND o.o_orderkey = n.o_orderkey""",
+)
+def _(t):
+    """The feed from version 1 to 5, from the change files of three merges and a delete; what cancels out is not in it."""
+    return _versions(t).changes_between(1, 5)
+
+
+@query(
+    "change_log",
+    """WITH steps AS (
+         SELECT 2 AS v, o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS before,
+           CASE WHEN o_orderkey % 6 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS after
+         FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 6 = 0
+         UNION ALL SELECT 3, o_orderkey, o_totalprice + 1, o_totalprice FROM orders WHERE o_orderkey % 6 = 0)
+       SELECT v AS _version, CASE WHEN before IS NULL THEN 'insert' ELSE 'update_postimage' END AS change, o_orderkey,
+         after AS o_totalprice FROM steps
+       UNION ALL SELECT v, 'update_preimage', o_orderkey, before FROM steps WHERE before IS NOT NULL""",
+)
+def _(t):
+    """Every change of the second and third version."""
+    log = _versions(t).change_log(1, 3)
+    return log.select(F.col("_version").cast("int").alias("_version"), "change", "o_orderkey", "o_totalprice")
