@@ -33,8 +33,9 @@ from larkspur.workspace import materialize
 
 #: Bytes of text cut into words at a time.
 PIECE = 1 << 20
-#: Bytes of words and ids that a worker remembers; only speed depends on it.
-REMEMBERED = 96 << 20
+#: Bytes of words and ids that a worker remembers, and of an entry besides them; only speed depends on it.
+REMEMBERED = 384 << 20
+ENTRY = 180
 
 #: Steps of a tokenizer file after which no token holds or depends on white space.
 SAFE_NORMALIZERS = {"NFC", "NFD", "Lowercase", "Replace"}
@@ -68,7 +69,14 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
-            self.by_word = keeps_to_words(json.load(file))
+            described = json.load(file)
+        self.by_word = keeps_to_words(described)
+        # A special token stands between words that are encoded in one go, and shows where each one's ids end.
+        marks = [a for a in described["added_tokens"] if a["special"] and not (a["normalized"] or a["single_word"])]
+        self.mark, self.mark_id = (marks[0]["content"].encode(), marks[0]["id"]) if marks else (None, -1)
+        steps = (described.get("normalizer") or {}).get("normalizers", [])
+        self.lowers = self.by_word and self.mark is not None and {"type": "Lowercase"} in steps
+        self.lowers = self.lowers and all(a["content"].encode()[:1] == self.mark[:1] for a in described["added_tokens"])
         self.known: dict[bytes, bytes] = {}
         self.bytes = 0
 
@@ -76,12 +84,21 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        ids = np.frombuffer(self._encode([self.mark.join(words)])[0], "<u4")
+        ends = np.flatnonzero(ids == self.mark_id)
+        starts, raw = [0, *(4 * ends + 4).tolist()], ids.tobytes()
+        return [raw[a:b] for a, b in zip(starts, [*(4 * ends).tolist(), len(raw)], strict=True)]
+
     def _words(self, texts: list[list[bytes]]) -> list[bytes]:
         fresh = list(set().union(*texts).difference(self.known))
         for k in range(0, len(fresh), 10_000):
             part = fresh[k : k + 10_000]
-            self.known.update(zip(part, self._encode(part), strict=True))
-        self.bytes += sum(map(len, fresh)) * 2 + 160 * len(fresh)
+            # A word with the mark's first byte of its own could be taken for a mark.
+            alone = self.mark is None or self.mark.join(part).count(self.mark[:1]) != len(part) - 1
+            found = self._encode(part) if alone else self._encode_words(part)
+            self.known.update(zip(part, found, strict=True))
+            self.bytes += sum(map(len, part)) + sum(map(len, found)) + ENTRY * len(part)
         found = [b"".join(map(self.known.__getitem__, words)) for words in texts]
         if self.bytes > REMEMBERED:
             self.known, self.bytes = {}, 0
@@ -101,6 +118,9 @@ class Encoder:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
+        if self.lowers:
+            # Special tokens are found before letters are made small, so texts that may hold one stay as they are.
+            texts = [t if self.mark[:1] in t else t.lower() for t in texts]
         if len(texts) == 1 and len(texts[0]) > PIECE:
             return [self._long(texts[0])]
         return self._words([t.split() for t in texts])
