@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import ratio
-from larkspur.operators.evaluate import class_metrics
 from larkspur.operators.feature_table import latest_per_key
 from larkspur.operators.joins import attach_label
-from larkspur.operators.ordering import grouped_median
 from larkspur.operators.prep import drop_incomplete
+from larkspur.operators.profiles import observation_counts, profile_of
 from larkspur.operators.tables import insert_by_name, save_table, table_exists
 from larkspur.workspace import materialize
 
@@ -63,7 +62,7 @@ def append_new(spark: SparkSession, rows: DataFrame, table: str, keys: Sequence[
 
 
 def profile_columns(label: str, prediction: str, numeric: Sequence[str]) -> list[Column]:
-    """The statistics of one window that are aggregates in one pass, the same for batch and stream."""
+    """The statistics of one window that are aggregates in one pass, as a stream takes them."""
     y, p = F.col(label), F.col(prediction)
     error = p - y
     n = F.count("*")
@@ -107,13 +106,6 @@ def stream_columns(label: str, prediction: str, numeric: Sequence[str], classes:
     ]
 
 
-def weighted_f1(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> DataFrame:
-    """Weighted F1 per group, over the classes that occur in it."""
-    classes = class_metrics(df, label, prediction, by)
-    score = ratio(F.sum(F.col("support") * F.col("f1")), F.sum("support"))
-    return classes.groupBy(*by).agg(score.alias("f1_score_weighted"))
-
-
 def profile(
     df: DataFrame,
     time: str = "timestamp",
@@ -126,19 +118,17 @@ def profile(
 ) -> DataFrame:
     """One row per time window and model: statistics of the numeric columns and the quality of the predictions.
 
-    Medians are exact (the lower one of two) and classes are those that occur. With ``classes``, as a stream needs, it is one
-    aggregation over the stated classes, and medians are sketches named ``_median_approx``.
+    Medians are exact (the lower one of two) and classes are those that occur; both come from counts that are taken in one
+    pass over the rows (``profiles``). With ``classes``, as a stream needs, it is one aggregation over the stated classes,
+    and medians are sketches named ``_median_approx``.
     """
+    if classes is None:
+        kinds = {c: df.schema[c].dataType.simpleString() for c in numeric}
+        counts = observation_counts(df, time, model, label, prediction, kinds, every)
+        return profile_of(materialize(counts, "counts"), kinds)
     windows = [F.window(time, every).alias("_window"), F.col(model).alias("model_name")]
     columns = profile_columns(label, prediction, numeric)
-    if classes is not None:
-        result = df.groupBy(*windows).agg(*columns, *stream_columns(label, prediction, numeric, classes))
-    else:
-        rows = df.select(*windows, label, prediction, *numeric)
-        by = ["_window", "model_name"]
-        result = rows.groupBy(*by).agg(*columns).join(weighted_f1(rows, label, prediction, by), by)
-        for c in numeric:
-            result = result.join(grouped_median(rows, by, c, f"{c}_median"), by, "left")
+    result = df.groupBy(*windows).agg(*columns, *stream_columns(label, prediction, numeric, classes))
     return (
         result.select("_window.start", "_window.end", "*")
         .drop("_window")

@@ -104,20 +104,6 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return result
 
 
-def grouped_median(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
-    """The median of a column per group, nulls ignored: the smallest value that half of the rows do not exceed.
-
-    Values are counted, then running counts are taken over one range-partitioned sort, so a large group is no single task.
-    """
-    counted = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_count"))
-    running = materialize(running_totals(counted, [*by, column], {"_through": "_count"}), "medians")
-    groups = running.groupBy(*by).agg(
-        F.min(F.col("_through") - F.col("_count")).alias("_before"), F.sum("_count").alias("_size")
-    )
-    reached = running.join(groups, list(by)).where(2 * (F.col("_through") - F.col("_before")) >= F.col("_size"))
-    return reached.groupBy(*by).agg(F.min(column).alias(name))
-
-
 def approximate_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], accuracy: int = 10_000
 ) -> dict[str, list[float | None]]:

@@ -119,6 +119,9 @@ class RankIndex:
 
     def _with_step(self, df: DataFrame) -> DataFrame:
         """Add the number of ranks per block of the row's class."""
+        if not self.grouped:
+            # One class: a literal, so that nothing is joined on a constant.
+            return df.withColumn("_step", F.lit(max(1, self.total() // _PREFIXES)).cast("long"))
         step = F.greatest(F.lit(1), F.expr(f"_total div {_PREFIXES}")).cast("long").alias("_step")
         return df.join(self.classes.select("_class", step), "_class")
 

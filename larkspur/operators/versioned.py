@@ -140,6 +140,8 @@ class VersionedTable:
     def create(self, df: DataFrame, keys: Sequence[str], schema: StructType | None = None, buckets: int = 64) -> int:
         """Cast to the declared schema, check the key, write version 1."""
         typed = df if schema is None else df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        if set(typed.columns) <= set(keys):
+            raise ValueError("a table needs a column besides its key")
         check_keys(typed, keys)
         folder, files = self._write(_bucketed(typed, keys, buckets))
         nullable = StructType([StructField(f.name, f.dataType) for f in typed.schema])

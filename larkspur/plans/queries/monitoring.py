@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from larkspur.operators import monitor
 from larkspur.operators.payload import REQUEST_ID, flatten
 from larkspur.plans.inputs import FIELDS, FLAT, LABELLED, MODEL, RECORD, label_sources, payload
+from larkspur.operators.quality_store import QualityStore
 from larkspur.plans.registry import query
-from larkspur.workspace import scratch_database
+from larkspur.workspace import new_path, scratch_database
 
 ROW_KEY = [REQUEST_ID, "position"]
 
@@ -92,3 +93,37 @@ def _(t):
 )
 def _(t):
     return monitor.check(_profile(t)).withColumn("avg_f1_score_weighted", F.round("avg_f1_score_weighted", 6))
+
+
+def _refreshed(t) -> QualityStore:
+    """A store after three refreshes: each finds a third of the log in new files, and more labels than the one before."""
+    log, path = payload(t), new_path(t.spark, "log")
+    first, second = label_sources(t)
+    store = QualityStore(
+        t.spark, new_path(t.spark, "quality"), lambda rows: flatten(rows, RECORD, FIELDS, MODEL), ROW_KEY, "event_id",
+        "status", {"value": "double"},
+    )
+    known = [[first.where("event_id % 2 = 0")], [first, second.where("event_id % 2 = 1")], [first, second]]
+    for part, labels in enumerate(known):
+        log.where(F.abs(F.xxhash64(REQUEST_ID)) % 3 == part).write.mode("append").parquet(path)
+        store.refresh(path, log.schema, labels)
+    return store
+
+
+@query(
+    "incremental_profile",
+    f"""WITH {PROFILE} SELECT window_start, window_end, model_name, rows, value_nulls, value_min, value_max, value_median,
+              {', '.join(f'round({c}, 9) AS {c}' for c in FINE)},
+              {', '.join(f'round({c}, 6) AS {c}' for c in ROUNDED)} FROM profile""",
+)
+def _(t):
+    """The profile from counts that three refreshes have added up equals the one over the whole log."""
+    return _ntz(_refreshed(t).profile(), "window_start", "window_end").withColumns(
+        {**{c: F.round(c, 9) for c in FINE}, **{c: F.round(c, 6) for c in ROUNDED}}
+    )
+
+
+@query("incremental_refresh", f"WITH {LABELLED} SELECT *, strftime(timestamp, '%Y-%m-%d') AS event_date FROM labelled")
+def _(t):
+    """The monitoring table of the same three refreshes: each record once, whenever its label came."""
+    return _ntz(_refreshed(t).rows(), "timestamp").withColumn("event_date", F.col("event_date").cast("string"))

@@ -2,11 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from larkspur.operators.joins import attach_label
 from larkspur.operators.monitor import label_predictions
+from larkspur.operators.payload import flatten
 from larkspur.plans.inputs import FIELDS, FLAT, MODEL, RECORD, label_sources, payload
 from larkspur.plans.queries.monitoring import PROFILE
 from larkspur.plans.registry import query
-from larkspur.streaming.inference import append_available, flatten_stream, payload_stream, profile_stream
+from larkspur.streaming.inference import (
+    append_available, flatten_stream, labelled_stream, payload_stream, profile_stream,
+)
 from larkspur.workspace import new_path
 
 
@@ -92,3 +96,49 @@ def _(t):
         F.round("accuracy_score", 6).alias("accuracy_score"),
         F.round("f1_score_weighted", 6).alias("f1_score_weighted"),
     )
+
+
+def timed_labels(t, flat):
+    """The label of each record with the time it is known: ten minutes after the record, ten days for every third."""
+    known = attach_label(flat.select("event_id", "timestamp"), label_sources(t), "event_id", "status")
+    after = F.when(F.col("event_id") % 3 == 0, F.expr("INTERVAL 10 DAYS")).otherwise(F.expr("INTERVAL 10 MINUTES"))
+    return known.where("status IS NOT NULL").select("event_id", "status", (F.col("timestamp") + after).alias("labelled_at"))
+
+
+@query(
+    "stream_late_labels",
+    f"""WITH {PROFILE} SELECT window_start, window_end, model_name, rows, value_max,
+              round(accuracy_score, 6) AS accuracy_score, round(f1_score_weighted, 6) AS f1_score_weighted FROM profile""",
+)
+def _(t):
+    """Log and labels both as streams, delivered in three parts by their own times; every third label comes days after its
+    record, in a later run. A last record of the far future on both sides closes all windows before it."""
+    log = payload(t)
+    labels = timed_labels(t, flatten(log, RECORD, FIELDS, MODEL))
+    paths = [new_path(t.spark, name) for name in ("log", "labels", "profile", "state")]
+    edges = ["1970-01-01", "2024-01-11", "2024-01-21", "2200-01-01"]
+    far = F.expr("INTERVAL 3650 DAYS")
+    seconds = 3650 * 86_400_000
+    ends = (
+        log.orderBy("timestamp_ms").limit(1).withColumn("timestamp_ms", F.col("timestamp_ms") + seconds),
+        labels.orderBy("labelled_at").limit(1).withColumn("labelled_at", F.col("labelled_at") + far),
+    )
+    times = (F.timestamp_millis("timestamp_ms"), F.col("labelled_at"))
+    for first, last in [*zip(edges, edges[1:], strict=False), (None, None)]:
+        for path, table, at, end in zip(paths, (log, labels), times, ends, strict=False):
+            part = table.where((at >= F.lit(first).cast("timestamp")) & (at < F.lit(last).cast("timestamp"))) if first else end
+            part.coalesce(1).write.mode("append").parquet(path)
+        flat = flatten_stream(payload_stream(t.spark, paths[0], log.schema), RECORD, FIELDS, MODEL)
+        known = payload_stream(t.spark, paths[1], labels.schema)
+        joined = labelled_stream(flat, known, "event_id", "status", "11 days")
+        counted = joined.where("status IS NOT NULL AND prediction IS NOT NULL")
+        append_available(profile_stream(counted, numeric=["value"]), paths[2], paths[3])
+    return t.spark.read.parquet(paths[2]).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "model_name",
+        "rows",
+        "value_max",
+        F.round("accuracy_score", 6).alias("accuracy_score"),
+        F.round("f1_score_weighted", 6).alias("f1_score_weighted"),
+    )

@@ -35,6 +35,31 @@ def flatten_stream(
     )
 
 
+def labelled_stream(
+    rows: DataFrame,
+    labels: DataFrame,
+    key: str,
+    label: str,
+    wait: str,
+    time: str = "timestamp",
+    labelled_at: str = "labelled_at",
+    lateness: str = LATENESS,
+) -> DataFrame:
+    """Scored records with the label that came for them within ``wait`` of their own time, as ``status``.
+
+    Both sides are streams. A record waits in the state until its label comes, or comes out without one once the watermarks of
+    both sides have passed its time and the wait. Of several labels of a key the first counts.
+    """
+    marked = rows if _has_watermark(rows, time) else rows.withWatermark(time, lateness)
+    known = labels.select(
+        F.col(key).alias("_key"), F.col(label).cast("double").alias("status"), F.col(labelled_at).alias("_labelled_at")
+    )
+    known = known.withWatermark("_labelled_at", lateness).dropDuplicatesWithinWatermark(["_key"])
+    in_time = (F.col("_labelled_at") >= F.col(time)) & (F.col("_labelled_at") <= F.col(time) + F.expr(f"INTERVAL {wait}"))
+    joined = marked.join(known, (F.col(key) == F.col("_key")) & in_time, "left_outer")
+    return joined.drop("_key", "_labelled_at").withColumn("prediction", F.col("prediction").cast("double"))
+
+
 def profile_stream(
     rows: DataFrame,
     time: str = "timestamp",

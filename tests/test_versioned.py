@@ -76,13 +76,16 @@ def test_keys_versions_and_empty_tables(spark, table, tmp_path):
     with pytest.raises(Exception, match="null in the key"):
         table.merge(spark.sql("SELECT CAST(NULL AS BIGINT) AS id, 1L AS a"))
     with pytest.raises(ValueError, match="null or repeats"):
-        VersionedTable(spark, str(tmp_path / "u")).create(spark.range(3).union(spark.range(1)), ["id"])
+        VersionedTable(spark, str(tmp_path / "u")).create(spark.range(3).union(spark.range(1)).withColumn("a", F.lit(1)), ["id"])
+    with pytest.raises(ValueError, match="besides its key"):
+        VersionedTable(spark, str(tmp_path / "u")).create(spark.range(3), ["id"])
     # Keys of another type meet the stored ones; the last update by the given order counts.
     updates = spark.sql("SELECT * FROM VALUES ('3', 10L, 2), ('3', 11L, 1) AS v(id, a, at)")
     table.merge(updates, order=["at"])
     assert table.read().where("id = 3").select("a").collect() == [(10,)]
     empty = VersionedTable(spark, str(tmp_path / "e"))
-    empty.create(spark.range(0), ["id"], buckets=2)
-    assert empty.read().count() == 0 and empty.merge(spark.range(2)) == 2 and empty.read().count() == 2
+    two = spark.range(2).withColumn("a", F.lit(1))
+    empty.create(two.limit(0), ["id"], buckets=2)
+    assert empty.read().count() == 0 and empty.merge(two) == 2 and empty.read().count() == 2
     empty.delete(spark.range(2))
     assert empty.read().count() == 0 and empty.changes_between(1, 3).count() == 0 and empty.read(2).count() == 2
