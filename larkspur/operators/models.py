@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
@@ -16,16 +18,17 @@ from pyspark.ml.classification import (
     LogisticRegression,
     NaiveBayes,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoderModel, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from larkspur.operators.aggregates import top_n
-from larkspur.operators.encode import Preprocessor
+from larkspur.operators.encode import FittedPreprocessor, Preprocessor
 from larkspur.operators.joins import Lookup, training_set
 from larkspur.operators.neighbours import neighbour_vote, smote
 from larkspur.operators.resample import over_sample, under_sample
@@ -127,18 +130,24 @@ class ModelPlan:
         if self.resampling not in (None, "smote", "random_over", "random_under"):
             raise ValueError(f"resampling is smote, random_over or random_under, not {self.resampling}")
 
-    def fit(self, df: DataFrame, label: str, keys: Sequence[str]) -> FittedModel:
-        """Fit on ``df``. Key and label are no features; rows are balanced here and never when scoring."""
-        prepared = self.preprocessor.fit(df, exclude=[*keys, label])
+    def fit(
+        self, df: DataFrame, label: str, keys: Sequence[str], prepared: FittedPreprocessor | None = None
+    ) -> FittedModel:
+        """Fit on ``df``. Key and label are no features; rows are balanced here and never when scoring.
+
+        ``prepared`` is the preprocessing, where it has been fitted before.
+        """
+        prepared = prepared or self.preprocessor.fit(df, exclude=[*keys, label])
         assembler = VectorAssembler(inputCols=prepared.names, outputCol=FEATURES, handleInvalid="keep")
-        steps = PipelineModel([prepared.stage(), assembler])
+        steps = PipelineModel([*prepared.stages(df.sparkSession), assembler])
         rows = steps.transform(df).select(*keys, F.col(label).cast("double").alias("_label"), FEATURES)
         rows = self._balanced(rows, keys)
         if self.model == "knn":
             return FittedModel(steps, neighbours=NeighbourClassifier(**self.params).fit(rows))
         training = rows.select("_label", FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            classifier = create_classifier(self.model, rows=training.count(), **self.params)
+            n = training.count() if _KNOWN.get(self.model, (None,))[0] in _PENALIZED else None
+            classifier = create_classifier(self.model, rows=n, **self.params)
             if isinstance(classifier, _TWO_CLASSES) and training.select("_label").distinct().limit(3).count() > 2:
                 classifier = OneVsRest(classifier=classifier, featuresCol=FEATURES, labelCol="_label")
             return FittedModel(PipelineModel([*steps.stages, classifier.fit(training)]))
@@ -157,12 +166,14 @@ class ModelPlan:
             return over_sample(rows, "_label", keys, **options)
         if self.resampling == "random_under":
             return under_sample(rows, "_label", keys, **options)
+        # Several key columns are one struct to the neighbour search.
+        arrays, key = rows, keys[0]
         if len(keys) != 1:
-            raise ValueError("smote needs one key column")
+            arrays, key = rows.withColumn("_key", F.to_json(F.struct(*keys))), "_key"
         if "k_neighbors" in options:
             options["k"] = options.pop("k_neighbors")
-        arrays = rows.withColumn(FEATURES, vector_to_array(FEATURES))
-        made = smote(arrays, "_label", keys[0], FEATURES, **options)
+        arrays = arrays.withColumn(FEATURES, vector_to_array(FEATURES)).select(key, "_label", FEATURES)
+        made = smote(arrays, "_label", key, FEATURES, **options)
         return arrays.unionByName(made.select(arrays.columns)).withColumn(FEATURES, array_to_vector(FEATURES))
 
 
@@ -187,20 +198,25 @@ class FittedModel:
         return scored.select(*df.columns, "prediction", chance.alias("probability"))
 
     def _vote(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        if len(keys) != 1:
-            raise ValueError("scoring with neighbours needs one key column")
-        rows = self.spark_model.transform(df).select(
-            F.col(keys[0]).alias("_id"), vector_to_array(FEATURES).alias("_vector")
-        )
+        if not keys:
+            raise ValueError("scoring with neighbours needs the key")
+        id = F.col(keys[0]) if len(keys) == 1 else F.to_json(F.struct(*keys))
+        rows = self.spark_model.transform(df).select(id.alias("_id"), vector_to_array(FEATURES).alias("_vector"))
         votes = neighbour_vote(self.neighbours.train, rows, "_id", "_vector", "_label", self.neighbours.k)
-        return df.join(votes.withColumnRenamed("_id", keys[0]), keys[0])
+        return df.withColumn("_id", id).join(votes, "_id").drop("_id")
 
     @property
     def classifier(self) -> Model:
         return self.spark_model.stages[-1]
 
     def feature_names(self) -> list[str]:
-        return next(s for s in self.spark_model.stages if isinstance(s, VectorAssembler)).getInputCols()
+        """A name for each number of the feature vector; those of a one-hot vector are the codes of its dictionary."""
+        sizes = {}
+        for stage in self.spark_model.stages:
+            if isinstance(stage, OneHotEncoderModel):
+                sizes |= dict(zip(stage.getOutputCols(), stage.categorySizes, strict=True))
+        columns = next(s for s in self.spark_model.stages if isinstance(s, VectorAssembler)).getInputCols()
+        return [n for c in columns for n in ([f"{c}[{k}]" for k in range(sizes[c])] if c in sizes else [c])]
 
 
 def score_with_lookups(
@@ -220,17 +236,22 @@ def score_in_batches(df: DataFrame, predict: Callable[[pd.DataFrame], pd.DataFra
     return df.mapInPandas(run, schema)
 
 
+def _importances(classifier: Model) -> np.ndarray:
+    if hasattr(classifier, "featureImportances"):
+        return classifier.featureImportances.toArray()
+    if not classifier.hasParam("regParam"):
+        raise ValueError("Model has no feature importances or coefficients")
+    # The first class of a multinomial model.
+    several = getattr(classifier, "numClasses", 2) > 2
+    return abs(classifier.coefficientMatrix.toArray()[0] if several else classifier.coefficients.toArray())
+
+
 def feature_importance(spark: SparkSession, model: FittedModel, n: int | None = None) -> DataFrame:
     """``feature`` and ``importance``: tree importances or absolute coefficients, largest first."""
     classifier = model.classifier
-    if hasattr(classifier, "featureImportances"):
-        values = classifier.featureImportances.toArray()
-    elif isinstance(classifier, Model) and classifier.hasParam("regParam"):
-        # The first class of a multinomial model.
-        several = getattr(classifier, "numClasses", 2) > 2
-        values = abs(classifier.coefficientMatrix.toArray()[0] if several else classifier.coefficients.toArray())
-    else:
-        raise ValueError("Model has no feature importances or coefficients")
+    # One model per class: the mean over the classes.
+    each = classifier.models if isinstance(classifier, OneVsRestModel) else [classifier]
+    values = sum(_importances(c) for c in each) / len(each)
     rows = [(name, float(v)) for name, v in zip(model.feature_names(), values, strict=True)]
     return top_n(spark.createDataFrame(rows, "feature string, importance double"), "importance", "feature", n)
 
@@ -254,7 +275,8 @@ class ModelFolder:
     def register(self, model: FittedModel, alias: str = "latest-model") -> int:
         """Save as the next version, which becomes the newest under the alias."""
         version = (self.latest(alias) or 0) + 1
-        model.spark_model.write().save(f"{self.path}/{alias}/v={version}")
+        stages = [self._own_tables(s, f"{self.path}/{alias}/tables/v={version}") for s in model.spark_model.stages]
+        PipelineModel(stages).write().save(f"{self.path}/{alias}/v={version}")
         if model.neighbours is not None:
             table = model.neighbours.train.withColumn("_k", F.lit(model.neighbours.k))
             table.write.parquet(f"{self.path}/{alias}/neighbours/v={version}")
@@ -262,6 +284,16 @@ class ModelFolder:
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
         return version
 
+    def _own_tables(self, stage, path: str):
+        """The stage, reading from copies of its tables that are kept with the model."""
+        if not isinstance(stage, SQLTransformer):
+            return stage
+        statement = stage.getStatement()
+        for i, table in enumerate(dict.fromkeys(re.findall(r"parquet\.`([^`]+)`", statement))):
+            self.spark.read.parquet(table).write.partitionBy("column").parquet(f"{path}/{i}")
+            statement = statement.replace(f"parquet.`{table}`", f"parquet.`{path}/{i}`")
+        return SQLTransformer(statement=statement)
+
     def load(self, version: int | None = None, alias: str = "latest-model") -> FittedModel:
         chosen = version or self.latest(alias)
         if chosen is None:

@@ -1,7 +1,8 @@
 """Cross-validation, model comparison and learning curves.
 
-Each fold is a distributed fit. The predictions of all folds become one table, and every metric of every fold comes out of
-one grouped aggregation over it.
+Each fold is a distributed fit; a few fits run at a time, as each leaves much of a cluster idle. What the preprocessing of
+all folds and training shares has to know comes from one pass, whose parts add up. The predictions of all folds become one
+table, and every metric of every fold comes out of one grouped aggregation over it.
 """
 
 from __future__ import annotations
@@ -9,7 +10,9 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,17 @@ from larkspur.workspace import materialize
 CLASSIFICATION = ("accuracy", "precision", "recall", "f1", "roc_auc")
 REGRESSION = ("r2", "neg_mean_squared_error", "neg_mean_absolute_error")
 _AVERAGED = ("precision", "recall", "f1")
+#: Fits at a time.
+PARALLEL = 4
+
+
+def _at_once(work, jobs: Sequence) -> list:
+    """The results of ``work`` for each job, a few at a time."""
+    pool = ThreadPool(min(PARALLEL, max(1, len(jobs))))
+    try:
+        return pool.map(inheritable_thread_target(work), jobs, chunksize=1)
+    finally:
+        pool.close()
 
 
 def _tall(wide: DataFrame, by: Sequence[str], names: dict[str, str]) -> DataFrame:
@@ -105,14 +119,16 @@ def summarize(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def fold_predictions(plan, df: DataFrame, label: str, keys: Sequence[str], cv: int = 5, seed: int = 42) -> DataFrame:
     """Out-of-fold ``fold, label, prediction, probability`` of every row, written once."""
     folded = materialize(with_fold(df, label, keys, cv, seed, "_fold"), "folds")
-    parts = []
-    for fold in range(cv):
-        model = plan.fit(folded.where(F.col("_fold") != fold).drop("_fold"), label, keys)
+    others = [set(range(cv)) - {fold} for fold in range(cv)]
+    prepared = plan.preprocessor.fit_unions(folded, "_fold", others, [*keys, label])
+
+    def predicted(fold: int) -> DataFrame:
+        train = folded.where(F.col("_fold") != fold).drop("_fold")
+        model = plan.fit(train, label, keys, prepared[fold])
         tested = model.score(folded.where(F.col("_fold") == fold).drop("_fold"), keys)
-        parts.append(
-            tested.select(F.lit(fold).alias("fold"), F.col(label).cast("double").alias(label), "prediction", "probability")
-        )
-    return materialize(reduce(DataFrame.unionByName, parts), "predictions")
+        return tested.select(F.lit(fold).alias("fold"), F.col(label).cast("double").alias(label), "prediction", "probability")
+
+    return materialize(reduce(DataFrame.unionByName, _at_once(predicted, range(cv))), "predictions")
 
 
 def cross_validate(
@@ -175,25 +191,30 @@ def learning_curve(
     """
     sizes = sorted(train_sizes)
     folded = materialize(with_fold(df, label, keys, cv, seed, "_fold"), "folds")
-    parts = []
-    for fold in range(cv):
-        test = folded.where(F.col("_fold") == fold).drop("_fold")
-        train = nested_shares(folded.where(F.col("_fold") != fold).drop("_fold"), label, keys, sizes, seed)
-        for i, share in enumerate(sizes):
-            some = train.where(F.col("part") <= i).drop("part")
-            model = plan.fit(some, label, keys)
-            for kind, rows in (("train", some), ("test", test)):
-                parts.append(
-                    model.score(rows, keys).select(
-                        F.lit(float(share)).alias("share"),
-                        F.lit(fold).alias("fold"),
-                        F.lit(kind).alias("kind"),
-                        F.col(label).cast("double").alias(label),
-                        "prediction",
-                        "probability",
-                    )
-                )
-    predictions = materialize(reduce(DataFrame.unionByName, parts), "predictions")
+
+    def shared(fold: int) -> DataFrame:
+        rest = folded.where(F.col("_fold") != fold).drop("_fold")
+        return materialize(nested_shares(rest, label, keys, sizes, seed), "shares")
+
+    trains = _at_once(shared, range(cv))
+    unions = [set(range(i + 1)) for i in range(len(sizes))]
+    prepared = _at_once(lambda fold: plan.preprocessor.fit_unions(trains[fold], "part", unions, [*keys, label]), range(cv))
+
+    def scored(job: tuple[int, int]) -> DataFrame:
+        fold, i = job
+        some = trains[fold].where(F.col("part") <= i).drop("part")
+        model = plan.fit(some, label, keys, prepared[fold][i])
+        both = some.withColumn("_kind", F.lit("train")).unionByName(
+            folded.where(F.col("_fold") == fold).drop("_fold").withColumn("_kind", F.lit("test"))
+        )
+        return model.score(both, keys).select(
+            F.lit(float(sizes[i])).alias("share"), F.lit(fold).alias("fold"), F.col("_kind").alias("kind"),
+            F.col(label).cast("double").alias(label), "prediction", "probability",
+        )
+
+    jobs = [(fold, i) for fold in range(cv) for i in range(len(sizes))]
+    tables = _at_once(lambda job: materialize(scored(job), "predictions"), jobs)
+    predictions = reduce(DataFrame.unionByName, tables)
     by = ["share", "fold", "kind"]
     scores = fold_scores(predictions, label, by=by, metrics=[metric])
     used = predictions.where("kind = 'train'").groupBy("share", "fold").agg(F.count("*").alias("rows"))

@@ -80,9 +80,79 @@ def test_unknown_strategies_raise():
             Preprocessor(**{name: "fancy"})
 
 
-def test_too_many_categories_raise(rows):
-    with pytest.raises(ValueError, match="categories"):
-        Preprocessor(categorical=["key"], max_categories=10).fit(rows)
+@pytest.mark.parametrize("missing", ["mean", "none"])
+def test_dictionaries_give_what_expressions_give(spark, missing):
+    """Text and number categories, nulls, a commonest value, unknown values: codes and vectors as by expressions."""
+    data = spark.range(300).select(
+        "id",
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("v'"), (F.col("id") % 40).cast("string"))).alias("a"),
+        (F.col("id") % 25).cast("int").alias("b"),
+        (F.col("id") % 3).cast("string").alias("few"),
+    )
+    new = data.unionByName(spark.createDataFrame([(900, "new", 999, "9"), (901, None, None, None)], data.schema))
+    for strategy in ("ordinal", "onehot"):
+        options = {"categorical": ["a", "b", "few"], "categorical_strategy": strategy, "missing_strategy": missing}
+        small, large = (Preprocessor(**options, drop=["id"], max_categories=n).fit(data) for n in (10_000, 10))
+        assert [d.column for d in large.dictionaries] == ["a", "b"]
+        want = {r["id"]: r for r in small.transform(new, ["id"]).collect()}
+        for r in large.transform(new, ["id"]).collect():
+            for c in "ab":
+                if strategy == "ordinal":
+                    assert r[f"cat__{c}"] == want[r["id"]][f"cat__{c}"]
+                else:
+                    flags = [v for name, v in want[r["id"]].asDict().items() if name.startswith(f"cat__{c}_")]
+                    assert list(r[f"cat__{c}"].toArray()) == flags
+            assert r["cat__few"] == want[r["id"]]["cat__few"] if strategy == "ordinal" else r["cat__few_2"] is not None
+    named = large.flags(new, "b", ["7", "24"], ["id"])
+    assert named.columns == ["id", "cat__b_7", "cat__b_24"] and named.where("cat__b_7 = 1").count() == 12
+
+
+def test_a_model_keeps_its_dictionary(spark):
+    data = spark.range(60_000).select("id", (F.col("id") % 15_000).cast("string").alias("c"), (F.col("id") % 2).cast("int").alias("y"))
+    plan = ModelPlan("logistic", Preprocessor(categorical=["c"], drop=["rest"]), {"max_iter": 3})
+    model = plan.fit(data, "y", ["id"])
+    assert model.score(data).where("prediction = y").count() == 60_000
+    top = feature_importance(spark, model, 2)
+    assert [r["feature"].startswith("cat__c[") for r in top.collect()] == [True, True] and len(model.feature_names()) == 15_000
+    folder = ModelFolder(spark, new_path(spark, "models"))
+    folder.register(model)
+    assert folder.load().score(data.limit(500)).where("prediction = y").count() == 500
+    statement = next(s for s in folder.load().spark_model.stages if hasattr(s, "getStatement")).getStatement()
+    assert folder.path in statement
+
+
+def test_fits_on_unions_of_parts(spark, rows):
+    """From one pass what separate fits give, and separate fits where quantiles are asked for."""
+    parts = rows.withColumn("part", (F.xxhash64("key", F.lit(5)) % 4 + 3).cast("int") % 4)
+    parts = parts.withColumn("x", F.when(F.col("part") != 2, F.col("x"))).cache()
+    unions = [{0}, {0, 1}, {0, 1, 2, 3}, {2}]
+    for options in ({}, {"numeric_strategy": "minmax", "missing_strategy": "constant"}, {"numeric_strategy": "robust"}):
+        spec = Preprocessor(numeric=["x", "z"], categorical=["kind"], drop=["rest"], **options)
+        for union, fitted in zip(unions, spec.fit_unions(parts, "part", unions, ["key", "y"]), strict=True):
+            own = parts.where(F.col("part").isin(*union))
+            alone = spec.fit(own, ["key", "y"])
+            assert fitted.names == alone.names
+            got, want = (f.transform(own, ["key"]).orderBy("key").collect() for f in (fitted, alone))
+            for g, w in zip(got, want, strict=True):
+                assert [v for v in g[1:] if v is not None] == pytest.approx([v for v in w[1:] if v is not None])
+
+
+def test_composite_keys(spark, rows):
+    two = rows.withColumn("part", F.length("key")).withColumn("y", (F.col("x") > 8).cast("int"))
+    spec = Preprocessor(numeric=["x", "z"], drop=["rest"])
+    balanced = ModelPlan("logistic", spec, resampling="smote").fit(two, "y", ["key", "part"])
+    assert balanced.score(two).where("prediction = y").count() > 350
+    near = ModelPlan("knn", spec).fit(two, "y", ["key", "part"]).score(two, ["key", "part"])
+    assert near.columns[: len(two.columns)] == two.columns and near.where("prediction = y").count() > 350
+
+
+def test_importances_of_one_model_per_class(spark, rows):
+    three = rows.withColumn("y", F.when(F.col("x") > 5, 2).otherwise(F.col("y")))
+    for name in ("lightgbm", "svm"):
+        params = {"n_estimators": 2, "max_depth": 3} if name == "lightgbm" else {"max_iter": 5}
+        model = ModelPlan(name, PREPARATION, params).fit(three, "y", ["key"])
+        got = feature_importance(spark, model).collect()
+        assert len(got) == 4 and got[0]["feature"] == "num__x"
 
 
 def test_approximate_medians(rows):
