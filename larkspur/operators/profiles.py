@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import present, ratio
@@ -20,6 +20,8 @@ GROUP = ["window_start", "window_end", "model_name"]
 #: Which count a row holds: of a (label, prediction) pair, or of a value of the column of that name.
 PAIR = ""
 _LABEL = "="
+#: Distinct values of one column in one window and model that a task sorts.
+HOT_VALUES = 5_000_000
 
 
 def observation_counts(
@@ -46,6 +48,27 @@ def merged(*counts: DataFrame) -> DataFrame:
     return together.groupBy(*GROUP, "what", "a", "b").agg(F.sum("n").alias("n"))
 
 
+def _ranked(known: DataFrame) -> DataFrame:
+    """Values with ``through``, the rows of their group up to and with them, and the group's ``size`` and ``mean``.
+
+    Groups of moderate size are sorted by themselves. Where one has too many values for that, all are sorted over ranges.
+    """
+    group = [*GROUP, "what"]
+    largest = known.groupBy(*group).agg(F.count("*").alias("values")).agg(F.max("values")).first()[0] or 0
+    if largest <= HOT_VALUES:
+        whole = Window.partitionBy(*group)
+        through = F.sum("n").over(whole.orderBy("a").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        mean = F.sum(F.col("a") * F.col("n")).over(whole) / F.sum("n").over(whole)
+        return known.withColumns({"through": through, "size": F.sum("n").over(whole), "mean": mean})
+    running = materialize(running_totals(known, [*group, "a"], {"_through": "n"}), "running")
+    sizes = running.groupBy(*group).agg(
+        F.min(F.col("_through") - F.col("n")).alias("_before"),
+        F.sum("n").alias("size"),
+        (F.sum(F.col("a") * F.col("n")) / F.sum("n")).alias("mean"),
+    )
+    return running.join(sizes, group).withColumn("through", F.col("_through") - F.col("_before"))
+
+
 def profile_of(counts: DataFrame, numeric: Mapping[str, str] | list[str]) -> DataFrame:
     """One row per window and model: statistics of the columns and the quality of the predictions.
 
@@ -57,21 +80,12 @@ def profile_of(counts: DataFrame, numeric: Mapping[str, str] | list[str]) -> Dat
     labels = pairs.select(*GROUP, F.lit(_LABEL).alias("what"), "a", "n")
     values = counts.where(F.col("what") != PAIR).select(*GROUP, "what", "a", "n").unionByName(labels)
     known = values.where(F.col("a").isNotNull())
-    running = materialize(running_totals(known, [*GROUP, "what", "a"], {"through": "n"}), "running")
-    sizes = running.groupBy(*GROUP, "what").agg(
-        F.min(F.col("through") - F.col("n")).alias("before"),
-        F.sum("n").alias("size"),
-        (F.sum(F.col("a") * F.col("n")) / F.sum("n")).alias("mean"),
-    )
-    middle = 2 * (F.col("through") - F.col("before")) >= F.col("size")
+    ranked = _ranked(known)
+    middle = 2 * F.col("through") >= F.col("size")
     spread = F.col("n") * (F.col("a") - F.col("mean")) * (F.col("a") - F.col("mean"))
-    statistics = (
-        running.join(sizes, [*GROUP, "what"])
-        .groupBy(*GROUP, "what")
-        .agg(
-            F.max("size").alias("size"), F.max("mean").alias("mean"), F.sum(spread).alias("spread"),
-            F.min("a").alias("least"), F.max("a").alias("most"), F.min(F.when(middle, F.col("a"))).alias("median"),
-        )
+    statistics = ranked.groupBy(*GROUP, "what").agg(
+        F.max("size").alias("size"), F.max("mean").alias("mean"), F.sum(spread).alias("spread"),
+        F.min("a").alias("least"), F.max("a").alias("most"), F.min(F.when(middle, F.col("a"))).alias("median"),
     )
     empty = counts.where((F.col("what") != PAIR) & F.col("a").isNull())
     empty = empty.select(*GROUP, "what", F.col("n").alias("nulls"))

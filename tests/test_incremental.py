@@ -42,7 +42,9 @@ def test_counts_of_parts_add_up(labelled):
     same_profile(profile_of(materialize(merged(*parts), "counts"), ["value"]), monitor.profile(rows, numeric=["value"]))
 
 
-def test_profile_against_plain_numbers(spark):
+@pytest.mark.parametrize("hot", [5_000_000, 1])
+def test_profile_against_plain_numbers(spark, monkeypatch, hot):
+    monkeypatch.setattr("larkspur.operators.profiles.HOT_VALUES", hot)
     at, late = datetime(2024, 1, 1, 0, 5), datetime(2024, 1, 1, 0, 35)
     rows = [(at, 1.0, 1.0, 5), (at, 0.0, 1.0, None), (at, 0.0, 0.0, 7), (at, 0.0, 0.0, 7), (late, 1.0, 0.0, None)]
     df = spark.createDataFrame(rows, "timestamp timestamp, status double, prediction double, value int")
