@@ -32,7 +32,7 @@ from larkspur.operators.encode import FittedPreprocessor, Preprocessor
 from larkspur.operators.joins import Lookup, training_set
 from larkspur.operators.neighbours import neighbour_vote, smote
 from larkspur.operators.resample import over_sample, under_sample
-from larkspur.workspace import materialize
+from larkspur.workspace import materialize, shared_root
 
 FEATURES = "_features"
 
@@ -145,6 +145,10 @@ class ModelPlan:
         if self.model == "knn":
             return FittedModel(steps, neighbours=NeighbourClassifier(**self.params).fit(rows))
         training = rows.select("_label", FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        context = df.sparkSession.sparkContext
+        if context.getCheckpointDir() is None:
+            # Boosting checkpoints every ten trees, so that hundreds of them don't hang on one lineage.
+            context.setCheckpointDir(f"{shared_root(df.sparkSession)}/checkpoints")
         try:
             n = training.count() if _KNOWN.get(self.model, (None,))[0] in _PENALIZED else None
             classifier = create_classifier(self.model, rows=n, **self.params)

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from conftest import FOLDER
 from larkspur.operators import validation
 from larkspur.operators.encode import Preprocessor, most_frequent
 from larkspur.operators.models import (
@@ -15,6 +17,8 @@ from larkspur.operators.models import (
 )
 from larkspur.operators.splits import random_split
 from larkspur.plans import training
+from larkspur.plans.queries.models import orders_with_label
+from larkspur.plans.registry import Tables
 from larkspur.workspace import new_path, scratch_database
 
 PREPARATION = Preprocessor(numeric=["x", "z"], categorical=["kind"], drop=["rest"])
@@ -260,3 +264,28 @@ def test_logistic_penalty_is_against_the_sum_of_losses(spark):
         plan = ModelPlan("logistic", Preprocessor(numeric=["x"], numeric_strategy="none", missing_strategy="none"), params)
         fitted = plan.fit(rows, "label", ["id"]).classifier
         assert fitted.coefficients[0] == pytest.approx(low, rel=1e-4)
+
+
+@pytest.mark.parametrize("name", ["score_batch", "fit_random_forest", "fit_gradient_boosting", "fit_naive_bayes", "fit_svm", "fit_balanced_smote"])
+def test_results_of_fits(spark, name):
+    """A prediction is the likelier class, every test row has one, and the model beats the commoner class."""
+    got = queries()[name](spark, FOLDER).collect()
+    wanted = {r[0] for r in random_split(orders_with_label(Tables(spark, FOLDER)), ["o_orderkey"])[1].select("o_orderkey").collect()}
+    assert {r["o_orderkey"] for r in got} == wanted and len(got) == len(wanted)
+    for r in got:
+        assert r["prediction"] in (0.0, 1.0)
+        assert r["probability"] is None or abs(r["probability"] - 0.5) < 1e-6 or r["prediction"] == (r["probability"] > 0.5)
+    right = np.mean([r["prediction"] == r["label"] for r in got])
+    positive = np.mean([r["label"] for r in got])
+    assert right > max(positive, 1 - positive) or (name == "fit_svm" and right == 1 - positive)
+
+
+def test_importances_and_curves(spark):
+    whole = queries()["feature_importance"](spark, FOLDER).collect()
+    assert whole[0]["feature"] == "num__o_totalprice" and sum(r["importance"] for r in whole) == pytest.approx(1)
+    assert [r["importance"] for r in whole] == sorted((r["importance"] for r in whole), reverse=True) and len(whole) == 14
+    folds = {r["metric"]: r for r in queries()["cross_validate"](spark, FOLDER).collect()}
+    assert len(folds["accuracy"]["values"]) == 5 and 0.9 < folds["accuracy"]["mean"] <= 1
+    first, second = queries()["train_and_promote"](spark, FOLDER).orderBy("run").collect()
+    assert (first["improved"], first["version"], second["improved"], second["version"]) == (True, 1, False, 1)
+    assert second["champion_f1"] == second["challenger_f1"] == first["challenger_f1"] and first["accuracy"] > 0.9
