@@ -94,8 +94,10 @@ def as_of_join(
 ) -> DataFrame:
     """For each base row the newest feature row of its key at or before the base time; null when there is none.
 
-    Base and features are sorted together per key, so there is no range join. A key with more than ``hot_rows`` rows is
-    sorted in pieces of time on many tasks, and the last feature of each piece is carried to that key's later pieces.
+    Base and features are sorted together per key, so there is no range join. Of a key with more than ``hot_rows`` rows only the
+    moments are sorted, each once, with the last feature of each; base rows get the answer of their moment by a join. Where
+    the moments are too many as well, they are sorted in pieces of time on many tasks, and the last feature of each piece is
+    carried to that key's later pieces.
     """
     feature_keys = list(feature_keys or keys)
     # Rows without key or time match nothing and need no sorting.
@@ -108,32 +110,44 @@ def as_of_join(
         F.lit(0).alias("_kind"),
         # The columns settle ties between features of the same moment.
         F.struct(F.col(feature_time).cast("timestamp").alias("_at"), *columns).alias("_feature"),
-        F.lit(None).cast(base.schema).alias("_base"),
     )
     asked = base.select(
-        *keys,
-        F.col(base_time).cast("timestamp").alias("_time"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(side.schema["_feature"].dataType).alias("_feature"),
-        F.struct(*base.columns).alias("_base"),
-    )
-    both = side.unionByName(asked).withColumn("_piece", F.lit(0.0))
-    hot, n_hot, largest = hot_keys(both, keys, hot_rows)
-    if n_hot:
-        both = _in_pieces(both, keys, hot, pieces=1 + 4 * largest // hot_rows)
-    upto = (
-        Window.partitionBy(*keys, "_piece")
-        .orderBy("_time", "_kind", "_feature")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    found = (
-        both.withColumn("_found", F.last("_feature", ignorenulls=True).over(upto))
-        .where(F.col("_kind") == 1)
-        .select("_base.*", *[F.col(f"_found.{c}").alias(c) for c in columns])
+        *keys, F.col(base_time).cast("timestamp").alias("_time"), F.lit(1).alias("_kind"), F.struct(*base.columns).alias("_base")
     )
+    hot, n_hot, _ = hot_keys(side.select(*keys).unionByName(asked.select(*keys)), keys, hot_rows)
+    if not n_hot:
+        found = _answered(side.unionByName(asked, allowMissingColumns=True), keys)
+    else:
+        few, many = (df.join(hot, list(keys), "left_anti") for df in (side, asked)), asked.join(hot, list(keys), "left_semi")
+        cold = _answered(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), few), keys)
+        moments = _hot_moments(side, asked, keys, hot, hot_rows)
+        answers = _answered(moments, [*keys, "_piece"]).select(*keys, "_time", "_found")
+        found = cold.select("_base", "_found").unionByName(
+            many.join(answers, [*keys, "_time"], "left").select("_base", "_found")
+        )
+    found = found.select("_base.*", *[F.col(f"_found.{c}").alias(c) for c in columns])
     return found.unionByName(unmatched, allowMissingColumns=True)
 
 
+def _answered(both: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The asked rows with ``_found``, the newest feature of their group up to their time."""
+    order = Window.partitionBy(*group).orderBy("_time", "_kind", "_feature")
+    newest = F.last("_feature", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("_found", newest).where(F.col("_kind") == 1)
+
+
+def _hot_moments(side: DataFrame, asked: DataFrame, keys: Sequence[str], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """The moments of hot keys, each asked once and with one feature, in pieces of fewer than about ``hot_rows``.
+
+    Both are aggregations, reduced before the shuffle: a moment that holds most rows of a key is two rows.
+    """
+    last = side.join(hot, list(keys), "left_semi").groupBy(*keys, "_time", "_kind").agg(F.max("_feature").alias("_feature"))
+    times = asked.join(hot, list(keys), "left_semi").select(*keys, "_time", "_kind").distinct()
+    both = last.unionByName(times, allowMissingColumns=True).withColumn("_piece", F.lit(0.0))
+    still, n_still, largest = hot_keys(both, keys, hot_rows)
+    return _in_pieces(both, keys, still, pieces=1 + 4 * largest // hot_rows) if n_still else both
+
+
 def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, pieces: int) -> DataFrame:
     """Give the rows of hot keys a piece of time each, and add the feature carried into every piece.
 
@@ -155,14 +169,7 @@ def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, pieces: int
     carried = (
         newest.withColumn("_feature", F.last("_newest", ignorenulls=True).over(earlier))
         .where(F.col("_feature").isNotNull())
-        .select(
-            *keys,
-            F.col("_feature._at").alias("_time"),
-            F.lit(0).alias("_kind"),
-            "_feature",
-            F.lit(None).cast(both.schema["_base"].dataType).alias("_base"),
-            "_piece",
-        )
+        .select(*keys, F.col("_feature._at").alias("_time"), F.lit(0).alias("_kind"), "_feature", "_piece")
     )
     return placed.drop("_hot").unionByName(carried)
 

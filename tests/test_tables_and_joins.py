@@ -175,3 +175,31 @@ def test_many_hot_keys_are_cut_by_their_own_times(spark):
     got = _in_pieces(rows.withColumn("_feature", F.struct(F.col("_time").alias("_at"))), ["k"], hot, 17)
     largest = got.groupBy("k", "_piece").count().agg(F.max("count")).first()[0]
     assert largest <= 50
+
+
+def test_one_hot_moment_is_not_one_group(spark):
+    """A key whose rows share one time, others with a few hot times: right answers, and no group above the limit."""
+    import random
+
+    from larkspur.operators import joins
+
+    pick = random.Random(3)
+    times = ["2024-01-01 00:00:00"] * 300 + [f"2024-01-01 00:{pick.randrange(60):02d}:00" for _ in range(200)]
+    base = [("hot" if i < 300 else pick.choice(["b", "c"]), at, i) for i, at in enumerate(times)]
+    seen = [("hot", "2024-01-01 00:00:00", k % 7) for k in range(400)] + [("hot", "2023-12-31 00:00:00", 99), ("hot", "2024-01-02 00:00:00", 98)]
+    seen += [("b", f"2024-01-01 00:{pick.randrange(60):02d}:00", k) for k in range(80)]
+    rows = spark.createDataFrame(base, "k string, at string, i int").withColumn("at", F.col("at").cast("timestamp"))
+    features = spark.createDataFrame(seen, "k string, seen string, x int").withColumn("seen", F.col("seen").cast("timestamp"))
+    want = {}
+    for k, at, i in base:
+        known = [(s, x) for o, s, x in seen if o == k and s <= at]
+        want[i] = max(known)[1] if known else None
+    got = as_of_join(rows, features, ["k"], "at", "seen", ["x"], hot_rows=50).collect()
+    assert {r["i"]: r["x"] for r in got} == want and len(got) == len(base)
+
+    side = features.select("k", F.col("seen").alias("_time"), F.lit(0).alias("_kind"), F.struct(F.col("seen").alias("_at"), "x").alias("_feature"))
+    asked = rows.select("k", F.col("at").alias("_time"), F.lit(1).alias("_kind"), F.struct("i").alias("_base"))
+    hot, n, largest = joins.hot_keys(side.select("k").union(asked.select("k")), ["k"], 50)
+    assert n == 3 and largest == 702
+    groups = joins._hot_moments(side, asked, ["k"], hot, 50).groupBy("k", "_piece").count()
+    assert groups.agg(F.max("count")).first()[0] <= 50
