@@ -98,24 +98,27 @@ def _(t):
 
 
 SYNTHETIC_COLUMNS = ["o_totalprice", "order_year", "o_orderpriority", "c_mktsegment"]
-SYNTHETIC = f"""{SALES}, ranked AS (
-  SELECT *, row_number() OVER (ORDER BY {HASH}) - 1 AS r FROM sales),
+# The value at a random place of each sorted column.
+SYNTHETIC = f"""{SALES}, placed AS (
+  SELECT 'o_totalprice' AS c, CAST(o_totalprice AS VARCHAR) AS v, row_number() OVER (ORDER BY o_totalprice) - 1 AS r FROM sales
+  UNION ALL SELECT 'order_year', CAST(order_year AS VARCHAR), row_number() OVER (ORDER BY order_year) - 1 FROM sales
+  UNION ALL SELECT 'o_orderpriority', o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 FROM sales
+  UNION ALL SELECT 'c_mktsegment', c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 FROM sales),
 drawn AS (
   SELECT i, c, CAST('0x' || substr(md5(concat_ws(':', i, c, 42)), 1, 15) AS BIGINT) % (SELECT count(*) FROM sales) AS r
   FROM range(200) a(i) CROSS JOIN
        (VALUES ('o_totalprice'), ('order_year'), ('o_orderpriority'), ('c_mktsegment')) b(c)),
 synthetic AS (
   SELECT 'INS' || (40000 + i) AS row_key,
-         max(CASE WHEN c = 'o_totalprice' THEN o_totalprice END) AS o_totalprice,
-         max(CASE WHEN c = 'order_year' THEN order_year END) AS order_year,
-         max(CASE WHEN c = 'o_orderpriority' THEN o_orderpriority END) AS o_orderpriority,
-         max(CASE WHEN c = 'c_mktsegment' THEN c_mktsegment END) AS c_mktsegment
-  FROM drawn JOIN ranked USING (r) GROUP BY i)"""
+         CAST(max(v) FILTER (c = 'o_totalprice') AS DOUBLE) AS o_totalprice,
+         CAST(max(v) FILTER (c = 'order_year') AS INT) AS order_year,
+         max(v) FILTER (c = 'o_orderpriority') AS o_orderpriority, max(v) FILTER (c = 'c_mktsegment') AS c_mktsegment
+  FROM drawn JOIN placed USING (c, r) GROUP BY i)"""
 
 
 @query("synthetic_rows", f"WITH {SYNTHETIC} SELECT * FROM synthetic")
 def _(t):
-    return synthetic.synthetic_rows(sales(t), ["o_orderkey"], "row_key", SYNTHETIC_COLUMNS, 200, 42)
+    return synthetic.synthetic_rows(sales(t), "row_key", SYNTHETIC_COLUMNS, 200, 42)
 
 
 @query(
@@ -127,5 +130,5 @@ def _(t):
 )
 def _(t):
     source = sales(t)
-    rows = synthetic.synthetic_rows(source, ["o_orderkey"], "row_key", SYNTHETIC_COLUMNS, 200, 42)
+    rows = synthetic.synthetic_rows(source, "row_key", SYNTHETIC_COLUMNS, 200, 42)
     return synthetic.add_drift(rows, source, "row_key", ["o_totalprice"], "order_year", 2, 42)

@@ -74,8 +74,8 @@ def test_any_number_of_classes(spark):
 
 def test_synthetic_keys_follow_one_rule_at_every_size(spark):
     rows = spark.range(500).select("id", (F.col("id") * 2).alias("x"))
-    made = synthetic.synthetic_rows(rows, ["id"], "k", ["x"], 70_000)
-    few = synthetic.synthetic_rows(rows, ["id"], "k", ["x"], 10)
+    made = synthetic.synthetic_rows(rows, "k", ["x"], 70_000)
+    few = synthetic.synthetic_rows(rows, "k", ["x"], 10)
     assert made.select("k").distinct().count() == 70_000
     assert few.select("k").subtract(made.select("k")).count() == 0
 
@@ -122,7 +122,7 @@ def test_balancing(skewed):
 
 
 def test_synthetic_rows(skewed):
-    got = synthetic.synthetic_rows(skewed, ["id"], "key", ["kind", "x"], 500, 1)
+    got = synthetic.synthetic_rows(skewed, "key", ["kind", "x"], 500, 1)
     assert got.count() == got.select("key").distinct().count() == 500
     seen = {r["x"] for r in skewed.select("x").distinct().collect()}
     assert {r["x"] for r in got.collect()} <= seen
