@@ -3,12 +3,13 @@
 The features are densities of a lexicon learned from the labels, how near its words stand to second-person words,
 capitals, punctuation and obfuscation (letters written as digits or signs, signs inside words, letters standing alone). The
 lexicon holds words and beginnings of words that toxic texts have clearly more often than others; it is counted over all
-labelled rows that may be learned from and cut to ``lexicon_size`` entries. So that the trees don't see features made from
+labelled rows that may be learned from and kept whole, as sorted arrays that workers map. So that the trees don't see features made from
 their own labels, those rows are split in two halves, and each half's training features use the other half's lexicon;
 all scores use the lexicon of both.
 
 Trees are fitted on at most ``sample_rows`` labelled rows, chosen by hash; four fifths grow the trees, the rest calibrates
 them. The calibrated score keeps a fiftieth of the trees' own probability, so that rows of one calibration step stay in order.
+With fewer than a hundred rows to calibrate with, probabilities are drawn towards the share of toxic rows instead.
 
 Scoring needs no shuffle. Defined results: null and empty texts have zero features and get a score like any other.
 Without labels of both classes every score is their mean (0 without labels). Labels of a repeated id count once, the
@@ -18,17 +19,19 @@ larger one; rows are scored one by one, so repeated rows repeat; all columns of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.llm import store
 from larkspur.llm.kernels import BLANKS, LOWER, Texts, pieces, prefix_hashes, range_hashes, texts_of, words
-from larkspur.workspace import materialize
+from larkspur.workspace import materialize, new_path
 
 #: Words that speak to someone, in English, German, French and Spanish.
 SECOND_PERSON = (
@@ -39,6 +42,10 @@ SECOND_PERSON = (
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 #: Beginnings of words that may be lexicon entries, in bytes.
 BEGINNINGS = (4, 5, 6)
+#: Log likelihood ratio that makes an entry, and bits of a hash that name its file.
+SURE, SHARD_BITS = 2.0, 4
+#: Rows that the prior counts as in scores that are not calibrated.
+PRIOR_ROWS = 40
 NEAR = 5
 FEATURES = (
     "words word_density word_best word_hits word_strong begin_density begin_best begin_hits begin_strong near_second_person "
@@ -119,28 +126,62 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _lexicon(counts: DataFrame, prior: float, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Entries by kind (words, then beginnings): sorted hashes and weights, the log of how much likelier they make a
-    toxic text, drawn towards none by four rows of the prior."""
-    weight = F.log((F.col("toxic") + 4 * prior) / (F.col("rows") + 4) / prior)
-    chosen = counts.withColumn("weight", weight).where("toxic >= 2").where(F.col("weight") >= 0.7)
-    top = chosen.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term").limit(size).toArrow()
-    out = []
-    for k in range(len(BEGINNINGS) + 1):
-        mine = top.filter(pa.compute.equal(top["kind"], k))
-        term, weights = mine["term"].to_numpy().view(np.uint64), mine["weight"].to_numpy()
+def _lexicon(counts: DataFrame, prior: float) -> DataFrame:
+    """``term``, ``kind`` and ``weight`` of the entries: the log of how much likelier they make a toxic text, drawn towards none
+    by four rows of the prior.
+
+    An entry needs two toxic texts and a log likelihood ratio against the prior of two, which one text in some twenty
+    reaches by chance. The bar does not rise with the number of terms, so a word that only two texts have, both toxic, is one.
+    """
+    t, n = F.col("toxic").cast("double"), F.col("rows").cast("double")
+    clean = F.when(n > t, (n - t) * F.log((n - t) / (n * (1 - prior)))).otherwise(0.0)
+    sure = t * F.log(t / (n * prior)) + clean >= SURE
+    weight = F.log((t + 4 * prior) / (n + 4) / prior)
+    chosen = counts.where("toxic >= 2").withColumn("weight", weight).where((F.col("weight") >= 0.7) & sure)
+    return chosen.select("term", "kind", "weight")
+
+
+def _stored(spark: SparkSession, parts: list[DataFrame]) -> str:
+    """The lexica as sorted arrays in the shared folder, one file for each part, kind and range of hashes."""
+    path = new_path(spark, "lexicon")
+    tables = [part.withColumn("part", F.lit(k)) for k, part in enumerate(parts)]
+    entries = reduce(DataFrame.unionByName, tables)
+    entries = entries.withColumn("shard", F.shiftrightunsigned("term", 64 - SHARD_BITS).cast("int"))
+
+    def write(table: pa.Table) -> pa.Table:
+        part, kind, shard = (table[c][0].as_py() for c in ("part", "kind", "shard"))
+        term, weight = table["term"].to_numpy().view(np.uint64), table["weight"].to_numpy()
         order = np.argsort(term)
-        out.append((term[order], weights[order]))
-    return out
+        store.save(path, f"terms-{part}-{kind}-{shard}", term[order])
+        store.save(path, f"weights-{part}-{kind}-{shard}", weight[order])
+        return pa.table({"entries": [len(term)]})
+
+    entries.groupBy("part", "kind", "shard").applyInArrow(write, "entries long").agg(F.sum("entries")).collect()
+    return path
+
+
+@lru_cache(maxsize=8)
+def _entries(path: str, part: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Mapped arrays of a lexicon by kind (words, then beginnings) and range of hashes."""
+    return [
+        [
+            (store.load(path, f"terms-{part}-{kind}-{shard}", np.uint64), store.load(path, f"weights-{part}-{kind}-{shard}", float))
+            for shard in range(1 << SHARD_BITS)
+        ]
+        for kind in range(len(BEGINNINGS) + 1)
+    ]
 
 
-def _weights(hashes: np.ndarray, entries: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    term, weight = entries
-    if not len(term):
-        return np.zeros(len(hashes))
-    at = np.searchsorted(term, hashes)
-    at[at == len(term)] = 0
-    return np.where(term[at] == hashes, weight[at], 0.0)
+def _weights(hashes: np.ndarray, entries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    found = np.zeros(len(hashes))
+    shard = (hashes >> np.uint64(64 - SHARD_BITS)).astype(np.uint8)
+    for k, (term, weight) in enumerate(entries):
+        mine = np.flatnonzero(shard == k)
+        if len(term) and len(mine):
+            at = np.searchsorted(term, hashes[mine])
+            at[at == len(term)] = 0
+            found[mine] = np.where(term[at] == hashes[mine], weight[at], 0.0)
+    return found
 
 
 def _by_text(values: np.ndarray, first: np.ndarray, largest: bool = False) -> np.ndarray:
@@ -221,14 +262,14 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(table.reshape(-1)))
 
 
-def _crossed(held):
+def _crossed(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Features of labelled rows under the lexicon of the half they are not in."""
         for batch in batches:
-            half, rows = batch.column("half").to_numpy(), []
+            half, rows, lexica = batch.column("half").to_numpy(), [], (_entries(path, 1), _entries(path, 2))
             for first, piece in pieces(texts_of(batch.column("text"))):
                 reading = Reading(piece)
-                one, two = (features(piece, reading, lexicon) for lexicon in held.value[1:])
+                one, two = (features(piece, reading, lexicon) for lexicon in lexica)
                 rows.append(np.where(half[first : first + len(piece), None] == 0, two, one))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), _lists(rows)],
                                              names=["id", "toxic", "features"])
@@ -239,8 +280,8 @@ def _crossed(held):
 class Toxicity:
     """A fitted lexicon, trees and calibration."""
 
-    def __init__(self, held, trees=None, steps=None, level: float = 0.0):
-        self.held, self.trees, self.steps, self.level = held, trees, steps, level
+    def __init__(self, held: str | None, trees=None, steps=None, level: float = 0.0, rows: int = 0):
+        self.held, self.trees, self.steps, self.level, self.rows = held, trees, steps, level, rows
 
     @classmethod
     def fit(
@@ -251,7 +292,6 @@ class Toxicity:
         id_col: str = "doc_id",
         text_col: str = "text",
         label_col: str = "toxic",
-        lexicon_size: int = 8192,
         sample_rows: int = 50_000,
     ) -> Toxicity:
         """``learn`` says, on a column named ``id``, which rows may be learned from."""
@@ -273,7 +313,7 @@ class Toxicity:
         counts = materialize(counts.groupBy("term", "kind", "half").agg(*sums), "terms")
         whole = counts.groupBy("term", "kind").agg(*sums)
         parts = (whole, counts.where("half = 0"), counts.where("half = 1"))
-        held = spark.sparkContext.broadcast([_lexicon(part, prior, lexicon_size) for part in parts])
+        held = _stored(spark, [_lexicon(part, prior) for part in parts])
 
         kind = source.schema["id"].dataType.simpleString()
         rows = labelled.mapInArrow(_crossed(held), f"id {kind}, toxic int, features array<double>")
@@ -291,7 +331,7 @@ class Toxicity:
         steps = trees.transform(rest).select("label", vector_to_array("probability")[1].alias("features"))
         classes = {r.label: r["count"] for r in steps.groupBy("label").count().collect()}
         if len(classes) < 2 or sum(classes.values()) < 100:
-            return cls(held, trees)
+            return cls(held, trees, level=prior, rows=n)
         fitted = IsotonicRegression().fit(steps)
         return cls(held, trees, (list(fitted.boundaries), list(fitted.predictions)))
 
@@ -304,8 +344,9 @@ class Toxicity:
         held = self.held
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lexicon = _entries(held, 0)
             for batch in batches:
-                rows = [features(p, Reading(p), held.value[0]) for _, p in pieces(texts_of(batch.column("text")))]
+                rows = [features(p, Reading(p), lexicon) for _, p in pieces(texts_of(batch.column("text")))]
                 yield pa.RecordBatch.from_arrays([batch.column("row"), _lists(rows)], names=["row", "features"])
 
         kind = source.schema["row"].dataType.simpleString()
@@ -313,6 +354,8 @@ class Toxicity:
         scored = self.trees.transform(rows.select("row", array_to_vector("features").alias("features")))
         own = vector_to_array("probability")[1]
         if self.steps is None:
+            # Too few rows to calibrate with: the prior counts as some rows of its own.
+            own = (self.rows * own + PRIOR_ROWS * self.level) / (self.rows + PRIOR_ROWS)
             return scored.select("row", own.alias("score"))
         score = 0.98 * _interpolated(F.col("own"), *self.steps) + 0.02 * F.col("own")
         scored = scored.select("row", own.alias("own"))

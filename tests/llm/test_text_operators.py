@@ -225,21 +225,24 @@ def test_page_text_is_that_of_the_article(ready):
 def test_lexicon_keeps_rare_toxic_words(ready):
     """A word or beginning of two toxic texts and no other is an entry, however many terms there are."""
     rows = [(k, k % 4, 10, 1) for k in range(5000)] + [(10_000 + kind, kind, 2, 2) for kind in range(len(BEGINNINGS) + 1)]
-    found = _lexicon(ready.createDataFrame(rows, "term long, kind int, rows long, toxic long"), 0.1, 8192)
+    rows += [(20_000 + k, k % 4, 6, 2) for k in range(40)]  # two of six may be chance
+    found = _lexicon(ready.createDataFrame(rows, "term long, kind int, rows long, toxic long"), 0.1).collect()
     assert BEGINNINGS == (4, 5, 6)
-    assert [list(terms) for terms, _ in found] == [[10_000 + kind] for kind in range(4)]
+    assert sorted((r["kind"], r["term"]) for r in found) == [(kind, 10_000 + kind) for kind in range(4)]
 
 
-def test_inner_article_wins_over_an_outer_class_name():
-    page = "<div class='with-sidebar'><p>x</p><article><header>by<h1>T</h1></header><p>text</p></article></div><p>open</p>"
-    assert [t for level, t in blocks_of(page) if level == ARTICLE] == ["T", "text"]
-    page = "<article>own</article><div class='related'><article>teaser</article></div>"
-    assert blocks_of(page) == [(ARTICLE, "own"), (BOILERPLATE, "teaser")]
-    assert blocks_of("<div class='ad'><nav><article>a</article></nav></div>") == [(BOILERPLATE, "a")]
+def test_a_lexicon_of_any_size(ready):
+    """More entries than any list of the commonest would hold; all are found again, negative hashes too."""
+    import numpy as np
 
+    from larkspur.llm.kernels import mix
+    from larkspur.llm.toxicity import _entries, _stored, _weights
 
-def test_a_text_on_two_pages_of_a_host_stays(ready):
-    text = "the same article of more than six words without any markup"
-    rows = [(i, f"https://h.example/{i}", f"<p>{text}</p>") for i in range(2)]
-    pages = ready.createDataFrame(rows, "page_id long, url string, html string")
-    assert [r["text"] for r in main_text(pages).collect()] == [text, text]
+    terms = mix(np.arange(1, 40_001, dtype=np.uint64)).view(np.int64)
+    rows = ready.createDataFrame([(int(t), i % 4, float(i)) for i, t in enumerate(terms)], "term long, kind int, weight double")
+    path = _stored(ready, [rows, rows.limit(0)])
+    for kind, entries in enumerate(_entries(path, 0)):
+        own = np.arange(40_000) % 4 == kind
+        got = _weights(terms.view(np.uint64), entries)
+        assert (got == np.where(own, np.arange(40_000.0), 0)).all()
+    assert not _weights(terms.view(np.uint64), _entries(path, 1)[0]).any()
