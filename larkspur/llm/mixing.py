@@ -12,13 +12,14 @@ that no source had run out yet. ``position`` numbers all rows of the mixture fro
 the sources' sizes, without sorting the table.
 
 A row's rank in its source is its rank in one of many ranges of the random order plus the rows of the ranges before, so a
-source with a third of all rows is ranked by many tasks. Rows are shuffled once. What is broadcast is the period: Q
-rows with three numbers for each source. Q is ``resolution`` slots (four for each source if that is more), and a slot for
+source with a third of all rows is ranked by many tasks. Rows are shuffled once. What is broadcast, up to a checked size, is
+the period: Q rows with three numbers for each source. Q is ``resolution`` slots (four for each source if that is more), and a slot for
 each source whose weight is too small for one; the fold
 takes Q steps over all sources, so this is made for up to some thousand sources.
 
 Defined results: a null source is a source of its own; null ids count as empty text in the order; rows of one id follow each
-other by text; an empty table gives an empty mixture. All columns stay; a clash with the added ones is an error.
+other by text; an empty table gives an empty mixture. All columns stay; one named
+like an added column gets the prefix ``own_``.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from larkspur.workspace import materialize
 ADDED = ("block", "slot", "position", "on_target")
 #: Rows of one range of a source's random order.
 RANGE_ROWS = 20_000
+#: Entries of the period (sources times slots, some 40 bytes each) that are broadcast at most.
+BROADCAST_ENTRIES = 1_000_000
 
 
 def _name(source: Column) -> Column:
@@ -110,8 +113,10 @@ def mix_sources(
 
     ``weights`` gives each source's target weight, above 0; without it, sources weigh as the root of their size.
     """
-    if clash := set(ADDED) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are in the way")
+    kept = dict(zip(docs.columns, docs.columns, strict=True))
+    for name in set(ADDED) & set(docs.columns):
+        while kept[name] in {*ADDED, *docs.columns}:
+            kept[name] = "own_" + kept[name]
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     at = {c: F.col("row").getField(c) for c in (source_col, id_col, text_col)}
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(at[id_col].cast("string"), F.lit(""))).cast("binary"))
@@ -125,11 +130,14 @@ def mix_sources(
         if min(weights.values()) <= 0:
             raise ValueError("weights must be above 0")
     plan = materialize(period(shares(sizes, weight, resolution)), "period")
+    # The period is broadcast up to a checked size, joined plainly beyond it.
+    entries = plan.agg(F.coalesce(F.sum(F.size("others")), F.lit(0))).first()[0]
+    beside = F.broadcast if entries <= BROADCAST_ENTRIES else (lambda df: df)
 
     # Ranks within a source: ranges of the order, counted, then ranked each on its own.
     ranges = F.ceil(F.col("n") / RANGE_ROWS).cast("long")
     place = F.floor(F.conv(F.substring("o", 1, 8), 16, 10).cast("long") * ranges / (1 << 32)).cast("long")
-    ranged = row.join(F.broadcast(sizes), "s").withColumn("range", place)
+    ranged = row.join(beside(sizes), "s").withColumn("range", place)
     counted = ranged.groupBy("s", "range").agg(F.count("*").alias("rows"))
     above = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.select("s", "range", F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("above"))
@@ -139,9 +147,9 @@ def mix_sources(
     ranked = ranked.withColumn("rank", F.col("within") + F.col("above"))
 
     block = F.floor(F.col("rank") / block_rows)
-    blocks = ranked.withColumn("block", block).join(F.broadcast(plan.select("s", "a").distinct()), "s")
+    blocks = ranked.withColumn("block", block).join(beside(plan.select("s", "a").distinct()), "s")
     blocks = blocks.withColumns({"j": F.col("block") % F.col("a"), "turn": F.floor(F.col("block") / F.col("a"))})
-    placed = blocks.drop("a").join(F.broadcast(plan), ["s", "j"])
+    placed = blocks.drop("a").join(beside(plan), ["s", "j"])
     # Rows of every source in the slots before, each at most all it has.
     earlier = F.aggregate(
         F.transform("others", lambda x: F.least(x.n, block_rows * (F.col("turn") * x.a + x.before))),
@@ -151,7 +159,7 @@ def mix_sources(
     # A source has run out before this slot if it would have had more blocks by then than it has.
     short = F.exists("others", lambda x: F.col("turn") * x.a + x.before > F.ceil(x.n / block_rows))
     return placed.select(
-        "row.*",
+        *[F.col("row").getField(c).alias(name) for c, name in kept.items()],
         F.col("block").cast("long").alias("block"),
         (F.col("turn") * F.col("q") + F.col("slot")).cast("long").alias("slot"),
         (earlier + F.col("rank") % block_rows).cast("long").alias("position"),

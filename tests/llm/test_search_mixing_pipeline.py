@@ -82,8 +82,20 @@ def test_mixture_of_awkward_rows(ready, awkward, nothing):
     assert sorted(r["position"] for r in got.collect()) == list(range(11))
     assert got.columns == [*awkward.columns, "block", "slot", "position", "on_target"]
     assert mix_sources(nothing).count() == 0
-    with pytest.raises(ValueError, match="in the way"):
-        mix_sources(awkward.withColumn("slot", F.lit(1)))
+    clash = mix_sources(awkward.withColumns({"slot": F.lit(-1), "own_slot": F.lit(-2), "position": F.lit("here")}))
+    assert set(clash.columns) == {*got.columns, "own_slot", "own_own_slot", "own_position"} and clash.count() == 11
+    assert {(r["own_slot"], r["own_own_slot"], r["own_position"]) for r in clash.collect()} == {(-2, -1, "here")}
+
+
+def test_a_period_too_large_to_broadcast(ready, monkeypatch):
+    from larkspur.llm import mixing
+
+    want = placed(ready, {"a": 200, "b": 50}, None)
+    monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 10)
+    assert placed(ready, {"a": 200, "b": 50}, None) == want
+
+
+def test_sources_without_a_weight(ready, awkward):
     with pytest.raises(Exception, match="no weight for source"):
         mix_sources(awkward, {"s": 1.0}).collect()
 
