@@ -137,7 +137,10 @@ class ModelPlan:
 
         ``prepared`` is the preprocessing, where it has been fitted before.
         """
-        prepared = prepared or self.preprocessor.fit(df, exclude=[*keys, label])
+        if prepared is None:
+            # Each statistic reads the rows anew: what is behind them is worked out once.
+            df = materialize(df, "rows")
+            prepared = self.preprocessor.fit(df, exclude=[*keys, label])
         assembler = VectorAssembler(inputCols=prepared.names, outputCol=FEATURES, handleInvalid="keep")
         steps = PipelineModel([*prepared.stages(df.sparkSession), assembler])
         rows = steps.transform(df).select(*keys, F.col(label).cast("double").alias("_label"), FEATURES)

@@ -7,8 +7,11 @@ table, and the rest of the work stays inside the slices. Boundaries come from sa
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +19,6 @@ from larkspur.workspace import materialize
 
 _PLACE_BITS = 33
 _BEFORE = (Window.unboundedPreceding, -1)
-_THROUGH = (Window.unboundedPreceding, Window.currentRow)
 
 
 def _sliced(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
@@ -46,22 +48,39 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "pos
 
 
 def running_totals(df: DataFrame, order: Sequence[Column | str], totals: Mapping[str, str]) -> DataFrame:
-    """Add cumulative sums in the given order: ``totals`` maps each new column to the column it adds up.
+    """Add cumulative sums in the given order: ``totals`` maps each new column to the column of whole numbers it adds up.
 
-    The order should leave no large ties: group by the ordering columns first.
+    One shuffle: a task adds up its slice as it comes out of the sort. The order should leave no large ties: group by the
+    ordering columns first.
     """
-    rows = _sliced(df, order)
+    names = list(df.columns)
+    places = [names.index(source) for source in totals.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far, own = [0] * len(places), TaskContext.get().partitionId()
+        for batch in batches:
+            added = []
+            for i, place in enumerate(places):
+                through = np.cumsum(batch.column(place).fill_null(0).to_numpy().astype(np.int64)) + so_far[i]
+                so_far[i] = int(through[-1]) if len(through) else so_far[i]
+                added.append(pa.array(through))
+            added.append(pa.array(np.full(batch.num_rows, own, np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, *totals, "_slice"])
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
+    schema = ", ".join([*kinds, *(f"`{new}` long" for new in totals), "_slice int"])
+    rows = materialize(df.orderBy(*order).mapInArrow(run, schema), "running")
     ahead = Window.orderBy("_slice").rowsBetween(*_BEFORE)
     offsets = (
         rows.groupBy("_slice")
         .agg(*[F.sum(source).alias(new) for new, source in totals.items()])
         .select("_slice", *[F.coalesce(F.sum(new).over(ahead), F.lit(0)).alias(f"_ahead_{new}") for new in totals])
     )
-    inside = Window.partitionBy("_slice").orderBy("_place").rowsBetween(*_THROUGH)
+    # One row per sorted partition.
     return (
         rows.join(F.broadcast(offsets), "_slice")
-        .withColumns({new: F.sum(source).over(inside) + F.col(f"_ahead_{new}") for new, source in totals.items()})
-        .drop("_slice", "_place", "_id", *[f"_ahead_{new}" for new in totals])
+        .withColumns({new: F.col(new) + F.col(f"_ahead_{new}") for new in totals})
+        .drop("_slice", *[f"_ahead_{new}" for new in totals])
     )
 
 

@@ -5,6 +5,7 @@ Tables are Parquet tables of the session catalog. Errors are raised, never turne
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 AUDIT_COLUMN = "update_timestamp_utc"
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_SETTING = threading.Lock()
 
 
 def with_audit(
@@ -64,14 +66,18 @@ def insert_by_name(df: DataFrame, name: str, overwrite: bool = False) -> None:
     target = df.sparkSession.table(name).columns
     if set(target) != set(df.columns):
         raise ValueError(f"columns differ: table {sorted(target)}, rows {sorted(df.columns)}")
-    spark = df.sparkSession
-    # Only the session setting counts for an insert; a writer option is not looked at.
-    previous = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        df.select(*target).write.insertInto(name, overwrite=overwrite)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, previous)
+    spark, rows = df.sparkSession, df.select(*target)
+    if not overwrite:
+        rows.write.insertInto(name)
+        return
+    # Only the session setting counts for an insert; a writer option is not looked at. One thread at a time changes it.
+    with _SETTING:
+        previous = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            rows.write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, previous)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -11,13 +11,17 @@ from larkspur.operators.prep import FeatureSpec, prepare
 from larkspur.operators.splits import random_split, stratified_split
 from larkspur.operators.tables import save_table
 from larkspur.sources.files import read_csv
+from larkspur.workspace import materialize
 
 
 def prepare_and_split(
     raw: DataFrame, spec: FeatureSpec, test_size: float = 0.2, seed: int = 42, stratify: bool = False, custom=None
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of the prepared rows; with ``stratify`` the class shares of the target are kept."""
-    rows = prepare(raw, spec, custom)
+    """(train, test) of the prepared rows; with ``stratify`` the class shares of the target are kept.
+
+    The prepared rows are written once: the split counts them before it filters them, and the source is read a single time.
+    """
+    rows = materialize(prepare(raw, spec, custom), "prepared")
     if stratify:
         return stratified_split(rows, spec.target_name, spec.keys, test_size, seed)
     return random_split(rows, spec.keys, test_size, seed)

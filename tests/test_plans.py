@@ -81,3 +81,27 @@ def test_profile_is_one_aggregation(t):
     plan = plan_of(profile(rows, time="ts", numeric=["value"]))
     # The adaptive plan is printed twice, as run and as first planned.
     assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_the_source_is_read_once_for_both_parts(spark, tmp_path):
+    """The split counts and filters the prepared rows; neither part goes back to the CSV."""
+    from larkspur.plans.inputs import SPEC, sales_text
+    from larkspur.plans.preparation import prepare_and_split
+    from larkspur.plans.registry import Tables
+
+    text = sales_text(Tables(spark, FOLDER))
+    text.write.csv(str(tmp_path / "sales"), header=True)
+    raw = spark.read.csv(str(tmp_path / "sales"), header=True, schema=text.schema)
+    train, test = prepare_and_split(raw, SPEC)
+    for part in (train, test):
+        assert "csv" not in plan_of(part).lower()
+    assert train.count() + test.count() == raw.count()
+
+
+def test_running_totals_shuffle_once(t):
+    from larkspur.operators.ordering import running_totals
+
+    counted = t.lineitem.groupBy("l_quantity").agg(F.count("*").alias("n"))
+    plan = plan_of(running_totals(counted, ["l_quantity"], {"through": "n"}))
+    # The only other exchange is that of one row per slice.
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1 and "hashpartitioning(_slice" in plan
