@@ -10,12 +10,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import ArrayType, NumericType
 
 from larkspur.functions.columns import present, ratio
 from larkspur.operators.curves import curve_summary
+from larkspur.workspace import materialize
 
 METRICS = ("accuracy", "precision", "recall", "f1")
+#: Classes of a dense confusion matrix, at most.
+DENSE_CLASSES = 1_000
 
 
 def _common_type(df: DataFrame, *columns: str) -> str:
@@ -113,15 +116,22 @@ def classification_metrics(
     return result.withColumns({c: F.when(binary, v) for c, v in values.items()}).drop("_true_classes")
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Every (true, predicted) pair of the classes seen, with its count and its share of the true class."""
-    pairs = pair_counts(df, label, prediction)
-    seen = pairs.select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
-    # The window is over the distinct classes only.
-    grid = seen.withColumn("_all", F.collect_set("label").over(Window.partitionBy())).select(
-        "label", F.explode("_all").alias("prediction")
-    )
-    filled = grid.join(pairs, ["label", "prediction"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+def confusion_matrix(df: DataFrame, label: str, prediction: str, dense: bool = False) -> DataFrame:
+    """(true, predicted) pairs with their count and their share of the true class.
+
+    Pairs that occur, for any number of classes; with ``dense`` every pair of the classes seen, up to ``DENSE_CLASSES`` of them.
+    """
+    filled = pair_counts(df, label, prediction)
+    if dense:
+        pairs = materialize(filled, "pairs")
+        seen = pairs.select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
+        classes = [r[0] for r in seen.limit(DENSE_CLASSES + 1).collect()]
+        if len(classes) > DENSE_CLASSES:
+            raise ValueError(f"a dense matrix of more than {DENSE_CLASSES} classes")
+        kind = pairs.schema["label"].dataType
+        every = F.array(*[F.lit(c).cast(kind) for c in classes]).cast(ArrayType(kind))
+        grid = seen.select("label", F.explode(every).alias("prediction"))
+        filled = grid.join(pairs, ["label", "prediction"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     row = F.sum("n").over(Window.partitionBy("label"))
     return filled.withColumn("share", F.when(row > 0, F.col("n") / row))
 

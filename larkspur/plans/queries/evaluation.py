@@ -103,6 +103,15 @@ def _(t):
                round(coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY a.c), 6) AS share
         FROM classes a CROSS JOIN classes b LEFT JOIN counts ON status = a.c AND guess = b.c""",
 )
+def _(t):
+    return _rounded(evaluate.confusion_matrix(scored(t), "status", "guess", dense=True), "share")
+
+
+@query(
+    "confusion_pairs",
+    f"""WITH {SCORED}, counts AS (SELECT status, guess, count(*) AS n FROM scored GROUP BY 1, 2)
+        SELECT status AS label, guess AS prediction, n, round(n / sum(n) OVER (PARTITION BY status), 6) AS share FROM counts""",
+)
 def _(t):
     return _rounded(evaluate.confusion_matrix(scored(t), "status", "guess"), "share")
 

@@ -56,7 +56,7 @@ def test_empty_divisions_are_zero(spark):
 def test_label_and_prediction_of_different_types(spark):
     rows = spark.createDataFrame([(0, 0.0), (1, 1.0), (1, 0.0)], "y int, p double")
     assert evaluate.classification_metrics(rows, "y", "p").first()["accuracy"] == pytest.approx(2 / 3)
-    assert evaluate.confusion_matrix(rows, "y", "p").count() == 4
+    assert evaluate.confusion_matrix(rows, "y", "p", dense=True).count() == 4
 
 
 def test_first_best_threshold_wins(spark):
@@ -99,3 +99,12 @@ def test_missing_values_are_errors(spark):
     ):
         with pytest.raises(PySparkException, match="missing value"):
             run().collect()
+
+
+def test_confusion_of_many_classes(spark):
+    """Only pairs that occur, for any number of classes; a dense matrix of so many is an error."""
+    rows = spark.range(6_000).select((F.col("id") % 3_000).alias("y"), (F.col("id") % 1_500).alias("p"))
+    got = evaluate.confusion_matrix(rows, "y", "p")
+    assert got.count() == 3_000 and got.agg(F.sum("n"), F.min("share")).first() == (6_000, 1.0)
+    with pytest.raises(ValueError, match="more than 1000 classes"):
+        evaluate.confusion_matrix(rows, "y", "p", dense=True)
