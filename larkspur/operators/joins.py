@@ -171,7 +171,7 @@ def _in_pieces(both: DataFrame, keys: Sequence[str], hot: DataFrame, pieces: int
         .where(F.col("_feature").isNotNull())
         .select(*keys, F.col("_feature._at").alias("_time"), F.lit(0).alias("_kind"), "_feature", "_piece")
     )
-    return placed.drop("_hot").unionByName(carried)
+    return placed.drop("_hot").unionByName(carried, allowMissingColumns=True)
 
 
 def attach_label(df: DataFrame, sources: Sequence[DataFrame], key: str, label: str, name: str = "status") -> DataFrame:
