@@ -24,20 +24,31 @@ _LABEL = "="
 HOT_VALUES = 5_000_000
 
 
-def observation_counts(
+def observations(
     df: DataFrame, time: str, model: str, label: str, prediction: str, numeric: Mapping[str, str] | list[str], every: str
 ) -> DataFrame:
-    """``n`` rows per window, model and ``what``: label ``a`` with prediction ``b``, or value ``a`` of a column.
+    """What each row counts for: ``what, a, b`` in its window (``_window``) and model.
 
-    One pass and one shuffle. Rows without a time are in no window; a missing label or prediction fails the query.
+    Rows without a time are in no window; a missing label or prediction fails the query.
     """
     nothing = F.lit(None).cast("double").alias("b")
     cells = [F.struct(F.lit(PAIR).alias("what"), present(df, label).cast("double").alias("a"), present(df, prediction).cast("double").alias("b"))]
     cells += [F.struct(F.lit(c).alias("what"), F.col(c).cast("double").alias("a"), nothing) for c in numeric]
     window = F.window(time, every)
     rows = df.select(window.alias("_window"), F.col(model).alias("model_name"), F.explode(F.array(*cells)).alias("c"))
+    return rows.select("_window", "model_name", "c.*")
+
+
+def observation_counts(
+    df: DataFrame, time: str, model: str, label: str, prediction: str, numeric: Mapping[str, str] | list[str], every: str
+) -> DataFrame:
+    """``n`` rows per window, model and ``what``: label ``a`` with prediction ``b``, or value ``a`` of a column.
+
+    One pass and one shuffle.
+    """
+    rows = observations(df, time, model, label, prediction, numeric, every)
     start, end = F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")
-    return rows.groupBy(start, end, "model_name", "c.what", "c.a", "c.b").agg(F.count("*").alias("n"))
+    return rows.groupBy(start, end, "model_name", "what", "a", "b").agg(F.count("*").alias("n"))
 
 
 def merged(*counts: DataFrame) -> DataFrame:

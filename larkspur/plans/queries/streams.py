@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from larkspur.operators.joins import attach_label
 from larkspur.operators.monitor import label_predictions
 from larkspur.operators.payload import flatten
+from larkspur.operators.profiles import profile_of
 from larkspur.plans.inputs import FIELDS, FLAT, MODEL, RECORD, label_sources, payload
 from larkspur.plans.queries.monitoring import PROFILE
 from larkspur.plans.registry import query
 from larkspur.streaming.inference import (
-    append_available, flatten_stream, labelled_stream, payload_stream, profile_stream,
+    append_available, count_stream, flatten_stream, labelled_stream, payload_stream, profile_stream,
 )
 from larkspur.workspace import new_path
 
@@ -80,19 +81,22 @@ def _(t):
         WHERE window_end <= (SELECT max(timestamp) FROM flat) - INTERVAL 1 HOUR""",
 )
 def _(t):
-    """From logged JSON to the quality of each closed window in one stream; the labels are static tables."""
+    """From logged JSON to the quality of each closed window: one stream of exact counts, whose profile is taken in batch.
+
+    The labels are static tables.
+    """
     path, schema = _log_folder(t)
     flat = flatten_stream(payload_stream(t.spark, path, schema), RECORD, FIELDS, MODEL)
     labelled = label_predictions(flat, label_sources(t), "event_id", "status")
-    out = new_path(t.spark, "profile")
-    append_available(profile_stream(labelled, numeric=["value"]), out, new_path(t.spark, "state"))
-    return t.spark.read.parquet(out).select(
+    out = new_path(t.spark, "counts")
+    append_available(count_stream(labelled, numeric=["value"]), out, new_path(t.spark, "state"))
+    return profile_of(t.spark.read.parquet(out), ["value"]).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "model_name",
         "rows",
         "value_max",
-        "value_median_approx",
+        F.col("value_median").alias("value_median_approx"),
         F.round("accuracy_score", 6).alias("accuracy_score"),
         F.round("f1_score_weighted", 6).alias("f1_score_weighted"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from larkspur.operators.monitor import WINDOW, profile
 from larkspur.operators.payload import REQUEST_ID, flatten
+from larkspur.operators.profiles import observations
 
 # How long after its own time a row may still arrive.
 LATENESS = "1 hour"
@@ -79,6 +80,29 @@ def profile_stream(
     return profile(marked, time=time, numeric=numeric, every=every, classes=classes, **columns)
 
 
+def count_stream(
+    rows: DataFrame,
+    time: str = "timestamp",
+    model: str = "model_name",
+    label: str = "status",
+    prediction: str = "prediction",
+    numeric: Sequence[str] = (),
+    lateness: str = LATENESS,
+    every: str = WINDOW,
+) -> DataFrame:
+    """The counts of ``profiles`` as a stream: those of a window come out once the watermark has passed its end.
+
+    ``profile_of`` what was written is the exact profile, medians included, over the classes that occur. The state holds one
+    count per window, model and different value, so a window with many rows is spread over all tasks.
+    """
+    marked = rows if _has_watermark(rows, time) else rows.withWatermark(time, lateness)
+    # The window itself carries the watermark.
+    counts = observations(marked, time, model, label, prediction, list(numeric), every)
+    counts = counts.groupBy("_window", "model_name", "what", "a", "b").agg(F.count("*").alias("n"))
+    start, end = F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")
+    return counts.select(start, end, "model_name", "what", "a", "b", "n")
+
+
 def _has_watermark(df: DataFrame, column: str) -> bool:
     field = next(f for f in df.schema if f.name == column)
     return "spark.watermarkDelayMs" in (field.metadata or {})

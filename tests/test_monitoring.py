@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import monitor, payload
 from larkspur.plans import booking, monitoring
-from larkspur.streaming.inference import append_available, closed_windows, flatten_stream, payload_stream, profile_stream
+from larkspur.operators.profiles import profile_of
+from larkspur.streaming.inference import (
+    append_available, closed_windows, count_stream, flatten_stream, payload_stream, profile_stream,
+)
 from larkspur.workspace import new_path, scratch_database
 
 BASE = 1_700_000_000_000
@@ -116,6 +119,25 @@ def test_stream_profile_equals_batch_on_closed_windows(spark, t):
     assert 0 < len(got)
 
 
+def test_stream_counts_give_exact_medians_of_large_windows(spark):
+    """More different values in a window than a sketch keeps apart."""
+    rows = spark.range(60_000).select(
+        F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id DIV 10)").alias("timestamp"),
+        F.lit("m").alias("model_name"),
+        (F.abs(F.xxhash64("id")) / 1e12).alias("value"),
+        (F.col("id") % 2).cast("double").alias("status"),
+        (F.col("id") % 3 % 2).cast("double").alias("prediction"),
+    )
+    path, out, state = (new_path(spark, n) for n in ("events", "counts", "state"))
+    for part in (rows.where("id < 40000"), rows.where("id >= 40000")):
+        part.write.mode("append").parquet(path)
+        append_available(count_stream(payload_stream(spark, path, rows.schema), numeric=["value"]), out, state)
+    batch = closed_windows(monitor.profile(rows, numeric=["value"]), rows.agg(F.max("timestamp")).first()[0])
+    names = ["window_start", "window_end", "model_name", "rows", "value_min", "value_median", "accuracy_score"]
+    got = sorted(map(tuple, profile_of(spark.read.parquet(out), ["value"]).select(names).collect()))
+    assert got == sorted(map(tuple, batch.select(names).collect())) and got[0][3] == 18_000
+
+
 def test_rows_without_a_time_are_stored_once(spark):
     name = f"{scratch_database(spark)}.log"
     rows = spark.createDataFrame(
