@@ -374,9 +374,66 @@ def _stars(per_100: int):
     return run
 
 
+#: Bits of the smallest outline, and bits for each member of a larger set.
+_OUTLINE, _EACH = 512, 8
+#: Pairs whose outlines are compared at a time.
+_AT_ONCE = 1 << 15
+
+
+def outline(members: np.ndarray) -> np.ndarray:
+    """Bits that the members of a set have by their hashes; a power of two of them, several for each member."""
+    n = max(_OUTLINE, 1 << (_EACH * max(len(members), 1) - 1).bit_length())
+    bits = np.zeros(n, np.uint8)
+    bits[mix(members) & np.uint64(n - 1)] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+class _Outlines:
+    """An exact bound of what two sets share: a bit that one of them has alone stands for a member it has alone.
+
+    Outlines of different lengths are compared at the shorter one; the longer is folded, half onto half.
+    """
+
+    def __init__(self, bits: list[bytes]):
+        self.width = np.array([len(b) for b in bits], np.int64)
+        self.row = np.zeros(len(bits), np.int64)
+        self.tables: dict[tuple[int, int], np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            mine = np.flatnonzero(self.width == w)
+            self.row[mine] = np.arange(len(mine))
+            self.tables[w, w] = np.frombuffer(b"".join(bits[k] for k in mine), np.uint64).reshape(len(mine), -1)
+
+    def _folded(self, width: int, to: int) -> np.ndarray:
+        if (width, to) not in self.tables:
+            wide = self._folded(width, 2 * to)
+            half = wide.shape[1] // 2
+            self.tables[width, to] = wide[:, :half] | wide[:, half:]
+        return self.tables[width, to]
+
+    def possible(self, a, b, size_a, size_b, per_100: int) -> np.ndarray:
+        """Whether sets number ``a`` and ``b``, of these sizes, may share enough to be linked."""
+        out = np.zeros(len(a), bool)
+        for first in range(0, len(a), _AT_ONCE):
+            x, y = a[first : first + _AT_ONCE], b[first : first + _AT_ONCE]
+            widths = self.width[x] << 32 | self.width[y]
+            for both in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == both)
+                low = min(both >> 32, both & 0xFFFFFFFF)
+                left = self._folded(both >> 32, low)[self.row[x[at]]]
+                right = self._folded(both & 0xFFFFFFFF, low)[self.row[y[at]]]
+                n, m = size_a[first + at], size_b[first + at]
+                shared = np.minimum(
+                    n - np.bitwise_count(left & ~right).sum(axis=1, dtype=np.int64),
+                    m - np.bitwise_count(right & ~left).sum(axis=1, dtype=np.int64),
+                )
+                out[first + at] = shared >= _need(n, m, per_100)
+        return out
+
+
 def _crossings(per_100: int, pivots_only: bool):
     """All pairs of classes in different components that may be linked; or only those of each class outside a bucket's
-    commonest component with a pivot inside it, other ones than those compared first."""
+    commonest component with a pivot inside it, other ones than those compared first. Where the labels come with the
+    outlines of the sets, pairs that these rule out are left out."""
 
     def run(posted: pa.Table, labels: pa.Table) -> pa.Table:
         """Pairs of classes in different components that their groups' sizes and places leave possible."""
@@ -386,6 +443,9 @@ def _crossings(per_100: int, pivots_only: bool):
         leader, node, label = (labels[name].to_numpy() for name in ("owner", "node", "label"))
         order = np.argsort(leader, kind="stable")
         leader, node, label = leader[order], node[order], label[order]
+        outlines = None
+        if "outline" in labels.column_names:
+            outlines = _Outlines(labels["outline"].take(pa.array(order)).to_pylist())
         low, high = np.searchsorted(leader, owner), np.searchsorted(leader, owner, "right")
         a, b, held = [], [], 0
         for first, last in zip(*_buckets(gram), strict=True):
@@ -410,9 +470,13 @@ def _crossings(per_100: int, pivots_only: bool):
                 ok = (kind[x] != kind[y]) & ((kind[y] == common) | (x < y))
                 ok &= _possible(size[at[x]], place[at[x]], size[at[y]], place[at[y]], per_100)
                 i, j = np.nonzero(ok)
-                a.append(node[which[x[i, 0]]])
-                b.append(node[which[y[0, j]]])
-                held += len(i)
+                x, y = x[i, 0], y[0, j]
+                if outlines is not None:
+                    may = outlines.possible(which[x], which[y], size[at[x]].astype(np.int64), size[at[y]].astype(np.int64), per_100)
+                    x, y = x[may], y[may]
+                a.append(node[which[x]])
+                b.append(node[which[y]])
+                held += len(x)
                 if held > 1 << 21:
                     done = _pairs(a, b)
                     a, b, held = [done[0]], [done[1]], 0
@@ -423,18 +487,27 @@ def _crossings(per_100: int, pivots_only: bool):
 
 
 def settled(
-    near: DataFrame, posted: DataFrame, places: DataFrame, members: DataFrame, sets, per_100: int, kind=np.uint64
+    near: DataFrame,
+    posted: DataFrame,
+    places: DataFrame,
+    members: DataFrame,
+    sets: DataFrame,
+    per_100: int,
+    kind=np.uint64,
+    outlines: DataFrame | None = None,
 ) -> DataFrame:
     """Components of all links, given those found among the first pairs.
 
     ``places`` says in which shards a group is posted, ``members`` which classes it stands for. First, classes outside
     their buckets' commonest component are compared with pivots inside it; what is then still apart is compared in full.
+    With ``outlines`` (node, outline) each shard drops the pairs that cannot reach the threshold, before any set is joined.
     """
     labels = materialize(connected_components(near), "components")
     for again in (True, False):
         labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
         labelled = materialize(labelled.select("owner", "node", "label"), "labels")
-        here = places.join(labelled, "owner").groupBy("shard")
+        here = places.join(labelled, "owner")
+        here = (here if outlines is None else here.join(outlines, "node")).groupBy("shard")
         rest = posted.groupBy("shard").cogroup(here).applyInArrow(_crossings(per_100, again), "a long, b long")
         if not again:
             x, y = labelled.alias("x"), labelled.alias("y")
@@ -442,7 +515,7 @@ def settled(
             rest = rest.union(inside.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
         rest = materialize(rest.distinct(), "rest")
         # New links join components, which are few beside the classes in them.
-        found = agreed(rest, sets(rest), per_100, kind)
+        found = agreed(rest, sets, per_100, kind)
         named = labelled.select("node", "label").distinct()
         found = found.join(named.withColumnsRenamed({"node": "a", "label": "x"}), "a")
         found = found.join(named.withColumnsRenamed({"node": "b", "label": "y"}), "b")
@@ -498,7 +571,7 @@ def _linked(source: DataFrame, width: int, per_100: int) -> tuple[DataFrame, Dat
     folds = posted.mapInArrow(_folds, "owner long, node long").distinct()
     alone = places.select("owner").union(folds.select("owner")).distinct().select("owner", F.col("owner").alias("node"))
     members = materialize(alone.union(folds), "members")
-    found = settled(near, posted, places, members, lambda pairs: lists, per_100)
+    found = settled(near, posted, places, members, lists, per_100)
     return survey.where("docs = 0").select("id", "version", "n", "node"), found
 
 

@@ -4,7 +4,9 @@ A paragraph is a line. Paragraphs of at least ``min_paragraph`` words get MinHas
 number of bands and rows is tuned so that two paragraphs at the threshold meet with the wanted chance. Paragraphs that
 collide in a band are joined, verified by the exact Jaccard similarity of their whole sets, and linked; a component of
 links keeps its earliest paragraph (smallest id, then place) and marks the others. The links are found in two rounds, as
-in ``jaccard_join``: each colliding paragraph against one pivot, then all pairs that lie in different components.
+in ``jaccard_join``: each colliding paragraph against one pivot, then all pairs that lie in different components. Paragraphs
+of half the threshold collide often; a shard compares the outlines of their sets, and only pairs that may reach the
+threshold by this exact bound are joined with their sets.
 
 A passage may also lie inside paragraphs that differ around it. Its sentences are paragraphs of their own then: equal
 sentences (of at least ``min_sentence`` words) keep the earliest and mark the others.
@@ -35,6 +37,7 @@ from larkspur.llm.jaccard_join import (
     _shared,
     _stars,
     agreed,
+    outline,
     posted_rows,
     posted_schema,
     settled,
@@ -247,9 +250,8 @@ def _selected(layout: Layout, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return layout.hashes[np.repeat(begin - first[:-1], size) + np.arange(first[-1])], first
 
 
-def _sets(source: DataFrame, places: DataFrame, pairs: DataFrame, width: int, min_paragraph: int) -> DataFrame:
-    """Distinct shingle hashes of every paragraph of some pair, from one text that holds it."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets(source: DataFrame, places: DataFrame, nodes: DataFrame, width: int, min_paragraph: int) -> DataFrame:
+    """Distinct shingle hashes of these paragraphs, from one text that holds each, and their outlines."""
     home = places.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
     wanted = materialize(home.groupBy("key").agg(F.collect_set("node").alias("nodes")), "wanted")
 
@@ -273,13 +275,14 @@ def _sets(source: DataFrame, places: DataFrame, pairs: DataFrame, width: int, mi
                         for a, b in zip(begin[:-1], begin[1:], strict=True)
                     ]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(content[use].view(np.int64)), pa.array([len(s) for s in found], pa.int64()), binary(found)],
-                        names=["node", "n", "grams"],
+                        [pa.array(content[use].view(np.int64)), pa.array([len(s) for s in found], pa.int64()), binary(found),
+                         binary([outline(s) for s in found])],
+                        names=["node", "n", "grams", "outline"],
                     )
 
     few = wanted.where(F.size("nodes") > 0)
     texts = source.join(few, "key").select("key", "version", "text", "nodes")
-    return materialize(texts.mapInArrow(run, "node long, n long, grams binary").dropDuplicates(["node"]), "sets")
+    return materialize(texts.mapInArrow(run, "node long, n long, grams binary, outline binary").dropDuplicates(["node"]), "sets")
 
 
 def _near_paragraphs(
@@ -292,14 +295,13 @@ def _near_paragraphs(
     )
     sent = source.mapInArrow(_bands(shards, bands, rows, width, min_paragraph), posted_schema())
     posted = materialize(sent.groupBy("shard").applyInArrow(_shared, _PACKED), "posted")
-    stars = materialize(posted.mapInArrow(_stars(threshold), "a long, b long").distinct(), "stars")
-    near = agreed(stars, _sets(source, places, stars, width, min_paragraph), threshold, _SHORT)
-    near = materialize(near, "near")
     here = materialize(posted.mapInArrow(_places, "shard int, owner long").distinct(), "places")
     members = materialize(here.select("owner", F.col("owner").alias("node")).distinct(), "members")
-    found = settled(
-        near, posted, here, members, lambda pairs: _sets(source, places, pairs, width, min_paragraph), threshold, _SHORT
-    )
+    # The sets of all paragraphs that collide, taken from the texts once.
+    sets = _sets(source, places, members.select("node"), width, min_paragraph)
+    stars = materialize(posted.mapInArrow(_stars(threshold), "a long, b long").distinct(), "stars")
+    near = materialize(agreed(stars, sets, threshold, _SHORT), "near")
+    found = settled(near, posted, here, members, sets, threshold, _SHORT, sets.select("node", "outline"))
     held = materialize(places.join(found, "node").drop("node"), "held")
     first = held.groupBy("component").agg(F.min(F.struct("key", "version", "number")).alias("first"))
     later = held.join(first, "component").where(F.struct("key", "version", "number") != F.col("first"))

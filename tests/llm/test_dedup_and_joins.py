@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import components, repeats
 from hypothesis import given, settings
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from llm_fixtures import awkward, nothing, ready  # noqa: F401
 
 from larkspur.llm.components import connected_components
-from larkspur.llm.jaccard_join import jaccard_components, keep_one_of_each
+from larkspur.llm.jaccard_join import _POSTED, _crossings, _Outlines, jaccard_components, keep_one_of_each, outline
 from larkspur.llm.paragraph_dedup import passage_report, passages, remove_passages, tune
 from larkspur.llm.suffix_array import suffix_order, token_order
 from larkspur.llm.suffix_dedup import remove_repeats
@@ -219,3 +220,38 @@ def test_near_paragraphs_that_repeat_themselves(ready):
     table = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = {k for (k, _), (_, least) in zip(rows, components(rows), strict=True) if least != k}
     assert want == {1, 3, 5, 7, 9, 11} and {r["key"] for r in passages(table).collect()} == want
+
+
+def test_outlines_rule_out_half_similar_sets_and_no_link():
+    """Of 300 sets that share half of their members and one band, only the near copies are left to be joined."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 32, 45, dtype=np.uint32)
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 1 << 32, 20, dtype=np.uint32)])) for _ in range(300)]
+    sets += [np.unique(np.concatenate([s[:-k], rng.integers(0, 1 << 32, m, dtype=np.uint32)])) for s, k, m in zip(sets[:9], range(1, 10), (0, 1, 9) * 3)]
+    sizes, n = np.array([len(s) for s in sets], np.int32), len(sets)
+    links = set()
+    for a in range(n):
+        for b in range(a + 1, n):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (sizes[a] + sizes[b] - both):
+                links.add((a, b))
+    kinds = {**_POSTED}
+    columns = {"gram": np.ones(n), "owner": np.arange(n), "size": sizes, "place": np.zeros(n), "weight": np.ones(n)}
+    posted = pa.table({c: pa.array([columns[c].astype(kind).tobytes()], pa.binary()) for c, kind in kinds.items()})
+    labels = pa.table({"owner": np.arange(n), "node": np.arange(n), "label": np.arange(n)})
+    outlines = pa.array([outline(s).tobytes() for s in sets], pa.binary())
+    plain = _crossings(75, False)(posted, labels).num_rows
+    found = _crossings(75, False)(posted, labels.append_column("outline", outlines)).to_pylist()
+    found = {(row["a"], row["b"]) for row in found}
+    assert links and links <= found and len(found) <= len(links) + n // 10 and plain > n * n // 3
+
+
+def test_outlines_of_different_lengths_are_a_bound():
+    rng = np.random.default_rng(3)
+    for n in (10, 63, 64, 65, 200, 3000):
+        whole = np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint32))
+        part = whole[rng.random(len(whole)) < 0.8]
+        both = _Outlines([outline(whole).tobytes(), outline(part).tobytes()])
+        linked = 100 * len(part) >= 75 * len(whole)
+        one, other = (np.array([len(s)]) for s in (whole, part))
+        assert both.possible(np.array([0]), np.array([1]), one, other, 75)[0] or not linked
