@@ -176,6 +176,29 @@ def test_nearest_between_tables_with_text_keys(spark):
     assert got == {(1, 1): "b", (1, 2): "a", (2, 1): "c", (2, 2): "b"}
 
 
+def test_neighbours_visit_few_cells(spark, monkeypatch):
+    """A data row travels for the lists of its own cell, and the answer is that of brute force."""
+    rng = np.random.default_rng(5)
+    points = np.hstack([rng.normal(size=(4000, 3)), 6 * np.eye(4)[rng.integers(0, 4, 4000)]])
+    points[3900:] = points[:100]  # ties
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<double>")
+    plain, offered = neighbours._top_k, spark.sparkContext.accumulator(0)
+
+    def counted(queries, data, k):
+        offered.add(len(data))
+        return plain(queries, data, k)
+
+    monkeypatch.setattr(neighbours, "_top_k", counted)
+    monkeypatch.setattr(neighbours, "_QUERY_ROWS", 200)
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in neighbours.nearest(rows, rows, 3, same=True).collect()}
+    for i in range(0, 4000, 37):
+        away = np.sqrt(((points - points[i]) ** 2).sum(1))
+        away[i] = np.inf
+        assert [got[i, r] for r in (1, 2, 3)] == np.lexsort((np.arange(4000), away))[:3].tolist()
+    # Each row to every one of 20 lists would be 80,000.
+    assert len(got) == 12_000 and 0 < offered.value < 60_000
+
+
 def test_smote_stays_inside_the_class(spark):
     rows = spark.range(120).select(
         "id", (F.col("id") % 6 == 0).cast("int").alias("y"), F.array(F.rand(1), F.rand(2) + 3).alias("v")
