@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from conftest import FOLDER
-from larkspur.operators import validation
+from larkspur.operators import models, validation
 from larkspur.operators.encode import Preprocessor, most_frequent
 from larkspur.operators.models import (
     CLASSIFIERS,
@@ -289,3 +289,20 @@ def test_importances_and_curves(spark):
     first, second = queries()["train_and_promote"](spark, FOLDER).orderBy("run").collect()
     assert (first["improved"], first["version"], second["improved"], second["version"]) == (True, 1, False, 1)
     assert second["champion_f1"] == second["challenger_f1"] == first["challenger_f1"] and first["accuracy"] > 0.9
+
+def test_a_fit_reads_rows_on_all_cores(spark, monkeypatch):
+    """However few files the rows lie in: one task would do all passes of hundreds of trees."""
+    parts = []
+
+    class Recorded:
+        def fit(self, training):
+            parts.append([len(p) for p in training.rdd.glom().collect()])
+            raise InterruptedError
+
+    monkeypatch.setattr(models, "create_classifier", lambda *a, **k: Recorded())
+    rows = spark.range(0, 40_000, 1, 1).select("id", F.rand(1).alias("x"), (F.col("id") % 2).alias("y"))
+    with pytest.raises(InterruptedError):
+        ModelPlan("lightgbm", Preprocessor(numeric=["x"])).fit(rows, "y", ["id"])
+    cores = spark.sparkContext.defaultParallelism
+    assert len(parts[0]) == min(cores, 5) and sum(parts[0]) == 40_000
+    assert max(parts[0]) <= 2 * min(parts[0])
