@@ -12,7 +12,7 @@ from larkspur.plans.registry import query
 from larkspur.streaming.inference import (
     append_available, count_stream, flatten_stream, labelled_stream, payload_stream, profile_stream,
 )
-from larkspur.workspace import new_path
+from larkspur.workspace import materialize, new_path
 
 
 def _log_folder(t) -> tuple[str, object]:
@@ -117,8 +117,8 @@ def timed_labels(t, flat):
 def _(t):
     """Log and labels both as streams, delivered in three parts by their own times; every third label comes days after its
     record, in a later run. A last record of the far future on both sides closes all windows before it."""
-    log = payload(t)
-    labels = timed_labels(t, flatten(log, RECORD, FIELDS, MODEL))
+    log = materialize(payload(t), "payload")
+    labels = materialize(timed_labels(t, flatten(log, RECORD, FIELDS, MODEL)), "labels")
     paths = [new_path(t.spark, name) for name in ("log", "labels", "profile", "state")]
     edges = ["1970-01-01", "2024-01-11", "2024-01-21", "2200-01-01"]
     far = F.expr("INTERVAL 3650 DAYS")
@@ -131,7 +131,7 @@ def _(t):
     for first, last in [*zip(edges, edges[1:], strict=False), (None, None)]:
         for path, table, at, end in zip(paths, (log, labels), times, ends, strict=False):
             part = table.where((at >= F.lit(first).cast("timestamp")) & (at < F.lit(last).cast("timestamp"))) if first else end
-            part.coalesce(1).write.mode("append").parquet(path)
+            part.write.mode("append").parquet(path)
         flat = flatten_stream(payload_stream(t.spark, paths[0], log.schema), RECORD, FIELDS, MODEL)
         known = payload_stream(t.spark, paths[1], labels.schema)
         joined = labelled_stream(flat, known, "event_id", "status", "11 days")

@@ -109,14 +109,25 @@ def _has_watermark(df: DataFrame, column: str) -> bool:
 
 
 def append_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write everything that has arrived to a Parquet folder, then stop; the checkpoint makes the next run go on."""
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    """Write everything that has arrived to a Parquet folder, then stop; the checkpoint makes the next run go on.
+
+    A batch opens and commits the state of every partition, rows or none. So a new checkpoint gets one partition for each core,
+    if the session asks for more; it keeps their number.
+    """
+    spark = stream.sparkSession
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    # The stream takes its settings when it starts.
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(asked), spark.sparkContext.defaultParallelism))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
     query.awaitTermination()
     return query
 

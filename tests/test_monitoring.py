@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -172,3 +173,21 @@ def test_the_median_is_exact(spark):
         F.lit(1.0).alias("prediction"), F.col("id").cast("double").alias("value"),
     )
     assert monitor.profile(rows, numeric=["value"]).first()["value_median"] == 24_999.0
+
+
+def test_a_stream_keeps_no_more_state_partitions_than_cores(spark):
+    """Each batch commits the state of every partition, rows or none."""
+    path, out, state = (new_path(spark, name) for name in ("rows", "out", "state"))
+    rows = spark.range(100).select(F.timestamp_seconds(F.col("id") + 86_400).alias("timestamp"), "id")
+    rows.write.parquet(path)
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        stream = payload_stream(spark, path, rows.schema).withWatermark("timestamp", "1 hour")
+        append_available(stream.dropDuplicatesWithinWatermark(["id"]), out, state)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+    partitions = [p.name for p in (Path(state) / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(partitions) == spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(out).count() == 100
