@@ -306,3 +306,14 @@ def test_a_fit_reads_rows_on_all_cores(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert len(parts[0]) == min(cores, 5) and sum(parts[0]) == 40_000
     assert max(parts[0]) <= 2 * min(parts[0])
+
+
+def test_rows_are_drawn_before_vectors_are_made(t, monkeypatch):
+    from larkspur.operators import models
+
+    seen = []
+    drawn = models.over_sample
+    monkeypatch.setattr(models, "over_sample", lambda df, *a, **k: seen.append(df.columns) or drawn(df, *a, **k))
+    preparation = Preprocessor(numeric=["o_totalprice"], categorical=["o_orderpriority"], drop=["rest"])
+    ModelPlan("logistic", preparation, resampling="random_over").fit(orders_with_label(t), "label", ["o_orderkey"])
+    assert seen == [["o_orderkey", "label", "o_totalprice", "o_orderpriority", "_label"]]
