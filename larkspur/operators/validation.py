@@ -116,19 +116,32 @@ def summarize(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def fold_predictions(plan, df: DataFrame, label: str, keys: Sequence[str], cv: int = 5, seed: int = 42) -> DataFrame:
-    """Out-of-fold ``fold, label, prediction, probability`` of every row, written once."""
+def fold_predictions(
+    plans: Sequence[tuple[str, object]], df: DataFrame, label: str, keys: Sequence[str], cv: int = 5, seed: int = 42
+) -> DataFrame:
+    """Out-of-fold ``model, fold, label, prediction, probability`` of every row, written once.
+
+    The models share the folds; those with the same preprocessing share its statistics.
+    """
     folded = materialize(with_fold(df, label, keys, cv, seed, "_fold"), "folds")
     others = [set(range(cv)) - {fold} for fold in range(cv)]
-    prepared = plan.preprocessor.fit_unions(folded, "_fold", others, [*keys, label])
-
-    def predicted(fold: int) -> DataFrame:
+    fitted: list[tuple] = []
+    for _, plan in plans:
+        if all(plan.preprocessor != known for known, _ in fitted):
+            fitted.append((plan.preprocessor, plan.preprocessor.fit_unions(folded, "_fold", others, [*keys, label])))
+
+    def predicted(job: tuple[str, object, int]) -> DataFrame:
+        name, plan, fold = job
+        prepared = next(found for known, found in fitted if known == plan.preprocessor)
         train = folded.where(F.col("_fold") != fold).drop("_fold")
         model = plan.fit(train, label, keys, prepared[fold])
         tested = model.score(folded.where(F.col("_fold") == fold).drop("_fold"), keys)
-        return tested.select(F.lit(fold).alias("fold"), F.col(label).cast("double").alias(label), "prediction", "probability")
+        return tested.select(
+            F.lit(name).alias("model"), F.lit(fold).alias("fold"), F.col(label).cast("double").alias(label), "prediction", "probability"
+        )
 
-    return materialize(reduce(DataFrame.unionByName, _at_once(predicted, range(cv))), "predictions")
+    jobs = [(name, plan, fold) for name, plan in plans for fold in range(cv)]
+    return materialize(reduce(DataFrame.unionByName, _at_once(predicted, jobs)), "predictions")
 
 
 def cross_validate(
@@ -142,7 +155,7 @@ def cross_validate(
     seed: int = 42,
 ) -> DataFrame:
     """``metric, mean, std, values`` over the folds."""
-    predictions = fold_predictions(plan, df, label, keys, cv, seed)
+    predictions = fold_predictions([("", plan)], df, label, keys, cv, seed)
     return summarize(fold_scores(predictions, label, task=task, metrics=metrics))
 
 
@@ -166,13 +179,9 @@ def compare_models(
     seed: int = 42,
 ) -> DataFrame:
     """Cross-validate several models on the same folds, one row per model."""
-    parts = [
-        fold_scores(fold_predictions(plan, df, label, keys, cv, seed), label, task=task, metrics=metrics).withColumn(
-            "model", F.lit(name)
-        )
-        for name, plan in plans
-    ]
-    return compare_scores(reduce(DataFrame.unionByName, parts))
+    predictions = fold_predictions(plans, df, label, keys, cv, seed)
+    scores = fold_scores(predictions, label, by=["model", "fold"], task=task, metrics=metrics)
+    return compare_scores(materialize(scores, "scores"))
 
 
 def learning_curve(

@@ -308,6 +308,23 @@ def test_a_fit_reads_rows_on_all_cores(spark, monkeypatch):
     assert max(parts[0]) <= 2 * min(parts[0])
 
 
+def test_models_share_folds_and_orders_are_joined_once(t, monkeypatch):
+    """compare_models deals the folds once for all models, and what it reads again and again is a stored table."""
+    rows = orders_with_label(t)
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+    calls = []
+    dealt = validation.with_fold
+    monkeypatch.setattr(validation, "with_fold", lambda *a: calls.append(a) or dealt(*a))
+    preparation = Preprocessor(numeric=["o_totalprice", "order_year"], drop=["rest"])
+    plans = [(n, ModelPlan("decision_tree", preparation, {"max_depth": d})) for n, d in (("low", 1), ("high", 3))]
+    got = {r["model"]: r for r in validation.compare_models(plans, rows, "label", ["o_orderkey"], cv=2).collect()}
+    assert len(calls) == 1 and set(got) == {"low", "high"}
+    for name, plan in plans:
+        alone = {r["metric"]: r for r in validation.cross_validate(plan, rows, "label", ["o_orderkey"], cv=2).collect()}
+        for metric, r in alone.items():
+            assert abs(got[name][f"{metric}_mean"] - r["mean"]) < 1e-9 and abs(got[name][f"{metric}_std"] - r["std"]) < 1e-9
+
+
 def test_rows_are_drawn_before_vectors_are_made(t, monkeypatch):
     from larkspur.operators import models
 
