@@ -63,11 +63,13 @@ def fold_scores(
     by: Sequence[str] = ("fold",),
     task: str = "classification",
     metrics: Sequence[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """``by..., metric, value``: every metric of every fold.
 
     ``precision``, ``recall`` and ``f1`` look at class 1 and need two classes; a suffix ``_weighted``, ``_macro`` or
-    ``_micro`` averages over the classes. A metric that cannot be computed is left out with a warning.
+    ``_micro`` averages over the classes. A metric that cannot be computed is left out with a warning. ``weight`` is a
+    column of row counts, where rows have been counted per label and prediction; areas and errors need the rows.
     """
     if task not in ("classification", "regression"):
         raise ValueError(f"Unknown task type: {task}")
@@ -90,7 +92,8 @@ def fold_scores(
         else:
             warnings.warn(f"Could not calculate {metric}", stacklevel=2)
     for average, names in averages.items():
-        parts.append(_tall(classification_metrics(predictions, label, prediction, average=average, by=by), by, names))
+        found = classification_metrics(predictions, label, prediction, average=average, by=by, weight=weight)
+        parts.append(_tall(found, by, names))
     if not parts:
         raise ValueError(f"none of the metrics {wanted} can be computed")
     return reduce(DataFrame.unionByName, parts)
@@ -198,7 +201,7 @@ def learning_curve(
 
     The shares are nested: a larger one holds the rows of every smaller one.
     """
-    sizes = sorted(train_sizes)
+    sizes, areas = sorted(train_sizes), metric == "roc_auc"
     folded = materialize(with_fold(df, label, keys, cv, seed, "_fold"), "folds")
 
     def shared(fold: int) -> DataFrame:
@@ -216,17 +219,20 @@ def learning_curve(
         both = some.withColumn("_kind", F.lit("train")).unionByName(
             folded.where(F.col("_fold") == fold).drop("_fold").withColumn("_kind", F.lit("test"))
         )
-        return model.score(both, keys).select(
+        rows = model.score(both, keys).select(
             F.lit(float(sizes[i])).alias("share"), F.lit(fold).alias("fold"), F.col("_kind").alias("kind"),
             F.col(label).cast("double").alias(label), "prediction", "probability",
         )
+        # Most metrics follow from the rows per label and prediction; only areas look at each score.
+        return rows if areas else rows.groupBy("share", "fold", "kind", label, "prediction").agg(F.count("*").alias("_n"))
 
     jobs = [(fold, i) for fold in range(cv) for i in range(len(sizes))]
     tables = _at_once(lambda job: materialize(scored(job), "predictions"), jobs)
     predictions = reduce(DataFrame.unionByName, tables)
     by = ["share", "fold", "kind"]
-    scores = fold_scores(predictions, label, by=by, metrics=[metric])
-    used = predictions.where("kind = 'train'").groupBy("share", "fold").agg(F.count("*").alias("rows"))
+    scores = fold_scores(predictions, label, by=by, metrics=[metric], weight=None if areas else "_n")
+    counted = F.count("*") if areas else F.sum("_n")
+    used = predictions.where("kind = 'train'").groupBy("share", "fold").agg(counted.alias("rows"))
     value = {k: F.when(F.col("kind") == k, F.col("value")) for k in ("train", "test")}
     return (
         scores.join(used, ["share", "fold"])

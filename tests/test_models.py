@@ -325,6 +325,23 @@ def test_models_share_folds_and_orders_are_joined_once(t, monkeypatch):
             assert abs(got[name][f"{metric}_mean"] - r["mean"]) < 1e-9 and abs(got[name][f"{metric}_std"] - r["std"]) < 1e-9
 
 
+def test_learning_curve_keeps_counts_not_rows(t, monkeypatch):
+    """Predictions are stored as rows per label and prediction; an area still looks at each score."""
+    stored = []
+    written = validation.materialize
+    monkeypatch.setattr(validation, "materialize", lambda df, label: stored.append((label, df.columns)) or written(df, label))
+    rows = orders_with_label(t)
+    plan = ModelPlan("decision_tree", Preprocessor(numeric=["o_totalprice"], drop=["rest"]), {"max_depth": 2})
+    curves = {}
+    for metric in ("accuracy", "roc_auc"):
+        stored.clear()
+        found = validation.learning_curve(plan, rows, "label", ["o_orderkey"], cv=2, train_sizes=(0.5, 1.0), metric=metric)
+        curves[metric] = {r["share"]: r for r in found.collect()}
+        assert all(("_n" in columns) == (metric == "accuracy") for label, columns in stored if label == "predictions")
+    # Both ways count the same training rows.
+    assert {s: r["train_rows"] for s, r in curves["accuracy"].items()} == {s: r["train_rows"] for s, r in curves["roc_auc"].items()}
+
+
 def test_rows_are_drawn_before_vectors_are_made(t, monkeypatch):
     from larkspur.operators import models
 
