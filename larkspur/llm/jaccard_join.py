@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from larkspur.llm.components import connected_components
 from larkspur.llm.kernels import (
     BLANKS,
+    SMALL_PIECE,
     binary,
     joined,
     mix,
@@ -64,7 +65,7 @@ PIVOTS = 8
 
 def sets_of(texts, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """Number of each text and the sorted distinct hashes of its word n-grams (lower-case in A-Z)."""
-    for first, piece in pieces(texts):
+    for first, piece in pieces(texts, SMALL_PIECE):
         found = words(piece, BLANKS)
         runs, begin = shingles(word_hashes(piece, found), found.first, width)
         for i in range(len(piece)):

@@ -43,6 +43,7 @@ from larkspur.llm.jaccard_join import (
     settled,
 )
 from larkspur.llm.kernels import (
+    SMALL_PIECE,
     binary,
     joined,
     mix,
@@ -117,7 +118,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _layouts(batch: pa.RecordBatch) -> Iterator[tuple[int, Layout]]:
-    for first, piece in pieces(texts_of(batch.column("text"))):
+    for first, piece in pieces(texts_of(batch.column("text")), SMALL_PIECE):
         yield first, Layout(piece)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.kernels import (
+    SMALL_PIECE,
     joined,
     packed,
     pieces,
@@ -69,7 +70,7 @@ def _anchors(shards: int, length: int):
         """Anchors of every text, posted by shard; one that may repeat within its own segment, twice."""
         for batch in batches:
             keys, parts = batch.column("key").to_numpy(), []
-            for first, piece in pieces(texts_of(batch.column("text"))):
+            for first, piece in pieces(texts_of(batch.column("text")), SMALL_PIECE):
                 text, _, n, anchor, _, _ = _segments(piece, length)
                 again = np.where(n > length, 2, 1)
                 parts.append((np.repeat(anchor, again), np.repeat(keys[first + text], again)))
@@ -110,7 +111,7 @@ def _windows(shards: int, length: int):
             edges = np.asarray(batch.column("anchors").offsets)
             wanted = batch.column("anchors").values.to_numpy().view(np.uint64)
             parts, held = [], []
-            for first, piece in pieces(texts_of(batch.column("text"))):
+            for first, piece in pieces(texts_of(batch.column("text")), SMALL_PIECE):
                 text, start, n, anchor, begin, hashes = _segments(piece, length)
                 some = np.unique(wanted[edges[first] : edges[first + len(piece)]])
                 at = np.flatnonzero(np.isin(anchor, some))

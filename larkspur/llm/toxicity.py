@@ -23,9 +23,6 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -295,6 +292,11 @@ class Toxicity:
         sample_rows: int = 50_000,
     ) -> Toxicity:
         """``learn`` says, on a column named ``id``, which rows may be learned from."""
+        # Workers import this module for its functions and have no use for pyspark.ml, which would stay in their memory.
+        from pyspark.ml.classification import GBTClassifier
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.regression import IsotonicRegression
+
         spark = docs.sparkSession
         half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).cast("int")
         source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -337,6 +339,8 @@ class Toxicity:
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """Columns ``row`` (each row as it came) and ``score``; no shuffle."""
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+
         whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
         source = docs.select(whole, F.col(text_col).cast("string").alias("text"))
         if self.trees is None:

@@ -246,3 +246,12 @@ def test_a_lexicon_of_any_size(ready):
         got = _weights(terms.view(np.uint64), entries)
         assert (got == np.where(own, np.arange(40_000.0), 0)).all()
     assert not _weights(terms.view(np.uint64), _entries(path, 1)[0]).any()
+
+
+def test_workers_import_no_more_than_they_use():
+    """The module whose functions workers run brings neither pyspark.ml nor pandas into their memory."""
+    import subprocess
+    import sys
+
+    code = "import sys, larkspur.llm.toxicity; print([m for m in sys.modules if m.startswith('pyspark.ml') or m == 'pandas'])"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "[]"
