@@ -36,7 +36,7 @@ from larkspur.llm.kernels import (
     word_hashes,
     words,
 )
-from larkspur.llm.store import load, save
+from larkspur.store import load, save
 from larkspur.workspace import materialize, new_path
 
 START = np.uint64(0x5BD1E9955BD1E995)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import store
+from larkspur import store
 from larkspur.llm.kernels import BLANKS, LOWER, Texts, pieces, prefix_hashes, range_hashes, texts_of, words
 from larkspur.workspace import materialize, new_path
 

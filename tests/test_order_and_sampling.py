@@ -199,6 +199,49 @@ def test_neighbours_visit_few_cells(spark, monkeypatch):
     assert len(got) == 12_000 and 0 < offered.value < 60_000
 
 
+def test_neighbours_move_each_row_once(spark, monkeypatch):
+    """Vectors of many dimensions, of which no cell can be left out: rows are stored once, not once for each cell that is visited."""
+    monkeypatch.setattr(neighbours, "_CELL_ROWS", 40)
+    listed, blocks = [], neighbours._blocks
+    monkeypatch.setattr(neighbours, "_blocks", lambda *a: listed.append(blocks(*a)) or listed[-1])
+    points = np.random.default_rng(3).normal(size=(1200, 24))
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<double>")
+    found = neighbours.nearest(rows, rows, 3, same=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan and "explode" not in plan
+    assert len(listed) == 1 and listed[0].agg(F.sum("n")).first()[0] == 1200
+    assert listed[0].select("cell").distinct().count() > 20
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in found.collect()}
+    for i in range(0, 1200, 31):
+        away = np.sqrt(((points - points[i]) ** 2).sum(1))
+        away[i] = np.inf
+        assert [got[i, r] for r in (1, 2, 3)] == np.argsort(away)[:3].tolist()
+
+
+@pytest.mark.parametrize("shift, scale", [(0, 1), (1e6, 1), (0, 1e-18), (0, 1e20)])
+def test_neighbours_of_any_magnitude(spark, shift, scale):
+    """Distances that short floats cannot tell apart, or not hold, are measured in double precision."""
+    points = np.random.default_rng(4).normal(size=(150, 3)) * scale + shift
+    points[100:] = points[:50]
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<double>")
+    got = {(r["id"], r["rank"]): (r["neighbour"], r["distance"]) for r in neighbours.nearest(rows, rows, 4, same=True).collect()}
+    for i in range(150):
+        away = np.sqrt(((points - points[i]) ** 2).sum(1))
+        away[i] = np.inf
+        order = np.lexsort((np.arange(150), away))[:4]
+        assert [got[i, r] for r in (1, 2, 3, 4)] == list(zip(order.tolist(), away[order].tolist(), strict=True))
+
+
+def test_few_rows_are_sent_for_pivots(spark):
+    """Those that may be the first in hash order, however many tasks there are; copies of an id change nothing."""
+    rows = spark.range(0, 20_000, 1, 40).select("id", F.array(F.col("id").cast("double")).alias("vector"))
+    first = [r["vector"] for r in rows.orderBy(neighbours.row_hash(["id"], 0)).limit(100).collect()]
+    assert neighbours._likely(rows, 100, 20_000).count() < 600
+    assert neighbours._pivots(rows, 100, 20_000).tolist() == first
+    copies = rows.where("id < 1500").withColumn("id", F.lit(7))
+    assert len(neighbours._pivots(copies, 100, 1500)) == 100
+
+
 def test_smote_stays_inside_the_class(spark):
     rows = spark.range(120).select(
         "id", (F.col("id") % 6 == 0).cast("int").alias("y"), F.array(F.rand(1), F.rand(2) + 3).alias("v")
