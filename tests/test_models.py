@@ -351,3 +351,59 @@ def test_rows_are_drawn_before_vectors_are_made(t, monkeypatch):
     preparation = Preprocessor(numeric=["o_totalprice"], categorical=["o_orderpriority"], drop=["rest"])
     ModelPlan("logistic", preparation, resampling="random_over").fit(orders_with_label(t), "label", ["o_orderkey"])
     assert seen == [["o_orderkey", "label", "o_totalprice", "o_orderpriority", "_label"]]
+
+
+@pytest.mark.parametrize("name", ["decision_tree", "lightgbm"])
+def test_trees_from_counted_rows(spark, monkeypatch, name):
+    """Many rows are counted by bins and label before the fit: equal columns give the model of the single rows."""
+    rows = spark.range(6_000).select(
+        "id",
+        (F.xxhash64("id") % 12).cast("double").alias("x"),
+        (F.xxhash64("id", F.lit(1)) % 5).cast("double").alias("z"),
+        F.when(F.col("id") % 3 == 0, "it's").otherwise("other").alias("kind"),
+    )
+    rows = rows.withColumn("y", ((F.col("x") + F.col("z") > 3) & (F.xxhash64("id", F.lit(2)) % 10 > 1)).cast("int"))
+    params = {"random_state": 1} | ({"n_estimators": 3, "max_depth": 3} if name == "lightgbm" else {})
+    plan = ModelPlan(name, PREPARATION, params)
+    want = {r["id"]: r for r in plan.fit(rows, "y", ["id"]).score(rows).collect()}
+    monkeypatch.setattr(models, "_MANY_ROWS", 1_000)
+    trained, grown = [], models.create_classifier
+
+    def create(*a, weightCol=None, **k):
+        if weightCol is None:
+            return grown(*a, **k)
+        classifier = grown(*a, weightCol=weightCol, **k)
+        fit = classifier.fit
+        monkeypatch.setattr(classifier, "fit", lambda df: trained.append(df.agg(F.count("*"), F.sum(weightCol)).first()) or fit(df), raising=False)
+        return classifier
+
+    monkeypatch.setattr(models, "create_classifier", create)
+    model = plan.fit(rows, "y", ["id"])
+    assert trained[0][0] <= 23 * 9 * 2 * 2 and trained[0][1] == 6_000
+    for r in model.score(rows).collect():
+        assert r["prediction"] == want[r["id"]]["prediction"] and r["probability"] == pytest.approx(want[r["id"]]["probability"])
+    # Drawn rows and least numbers of rows are single rows.
+    for one in ({"min_samples_leaf": 5}, *([{"subsample": 0.5}] if name == "lightgbm" else [])):
+        ModelPlan(name, PREPARATION, params | one).fit(rows, "y", ["id"])
+    assert len(trained) == 1
+
+
+def test_columns_of_many_values_are_cut_into_bins(spark, monkeypatch):
+    """At shares of all rows: few different rows are left, and the model keeps its names and can be saved."""
+    monkeypatch.setattr(models, "_MANY_ROWS", 1_000)
+    rows = spark.range(20_000).select(
+        "id", F.rand(1).alias("x"), (F.rand(2) * 100).alias("z"), F.when(F.col("id") % 2 == 0, "it's").otherwise("other").alias("kind")
+    )
+    rows = spark.createDataFrame(rows.withColumn("y", (F.col("x") > 0.5).cast("int")).toPandas())
+    counted, written = [], models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, label: counted.append((label, written(df, label))) or counted[-1][1])
+    model = ModelPlan("decision_tree", PREPARATION, {"random_state": 1}).fit(rows, "y", ["id"])
+    table = dict(counted)["counted"]
+    assert table.count() <= 2 * 32 * 32 * 2 and table.agg(F.sum("_rows")).first()[0] == 20_000
+    assert model.score(rows).where("prediction = y").count() > 19_900
+    top = feature_importance(spark, model).collect()
+    assert {r["feature"] for r in top} == {"num__x", "num__z", "cat__kind_it's", "cat__kind_other"} and top[0]["feature"] == "num__x"
+    folder = ModelFolder(spark, new_path(spark, "models"))
+    folder.register(model)
+    again = folder.load().score(rows).select("id", F.col("prediction").alias("again"))
+    assert model.score(rows).join(again, "id").where("prediction = again").count() == 20_000
