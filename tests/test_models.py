@@ -407,3 +407,26 @@ def test_columns_of_many_values_are_cut_into_bins(spark, monkeypatch):
     folder.register(model)
     again = folder.load().score(rows).select("id", F.col("prediction").alias("again"))
     assert model.score(rows).join(again, "id").where("prediction = again").count() == 20_000
+
+
+def test_a_learning_curve_of_many_rows_keeps_counted_rows(spark, monkeypatch):
+    """Whatever the share of rows, a fit keeps the different rows, and the curve is that of single rows."""
+    rows = spark.range(4_000).select(
+        "id",
+        (F.xxhash64("id") % 9).cast("double").alias("x"),
+        (F.xxhash64("id", F.lit(1)) % 4).cast("double").alias("z"),
+        F.lit("one").alias("kind"),
+    )
+    rows = rows.withColumn("y", ((F.col("x") + F.col("z") > 2) | (F.xxhash64("id", F.lit(2)) % 9 == 0)).cast("int"))
+    plan = ModelPlan("decision_tree", PREPARATION, {"max_depth": 3, "random_state": 1})
+
+    def curve():
+        found = validation.learning_curve(plan, rows, "y", ["id"], cv=2, train_sizes=(0.5, 1.0))
+        return [v for r in found.orderBy("share").collect() for v in r]
+
+    want = curve()
+    monkeypatch.setattr(models, "_MANY_ROWS", 500)
+    kept, written = [], models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, label: kept.append((label, written(df, label))) or kept[-1][1])
+    assert curve() == pytest.approx(want)
+    assert [label for label, _ in kept] == ["counted"] * 4 and all(t.count() <= 17 * 7 * 2 for _, t in kept)
