@@ -242,6 +242,27 @@ def test_few_rows_are_sent_for_pivots(spark):
     assert len(neighbours._pivots(copies, 100, 1500)) == 100
 
 
+def test_smote_stores_rows_once_and_cells_follow_the_class(spark, monkeypatch):
+    """Rows of small classes are stored once in blocks; many classes don't make many tiny cells."""
+    listed, blocks = [], neighbours._blocks
+    monkeypatch.setattr(neighbours, "_blocks", lambda *a: listed.append(blocks(*a)) or listed[-1])
+    points = np.random.default_rng(6).normal(size=(6000, 12))
+    label = [0 if i % 24 == 0 and i < 1000 else i % 8 for i in range(6000)]
+    rows = spark.createDataFrame([(i, y, p.tolist()) for i, (y, p) in enumerate(zip(label, points, strict=True))], "id long, y int, v array<double>")
+    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    made = neighbours.smote(rows, "y", "id", "v", 3).toPandas()
+    top = max(sizes.values())
+    small = {y: n for y, n in sizes.items() if n < top}
+    assert len(made) == sum(top - n for n in small.values())
+    assert len(listed) == 1 and listed[0].agg(F.sum("n")).first()[0] == sum(small.values())
+    # At least some hundred rows a cell on average: 500 for each.
+    assert listed[0].select("group", "cell").distinct().count() <= 2 * len(small)
+    for r in made.head(40).itertuples():
+        own = [i for i in range(6000) if label[i] == r.y and i != r.id]
+        near = sorted(own, key=lambda i: (((points[i] - points[r.id]) ** 2).sum(), i))[:3]
+        assert r.neighbour in near
+
+
 def test_smote_stays_inside_the_class(spark):
     rows = spark.range(120).select(
         "id", (F.col("id") % 6 == 0).cast("int").alias("y"), F.array(F.rand(1), F.rand(2) + 3).alias("v")
