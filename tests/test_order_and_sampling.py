@@ -247,7 +247,7 @@ def test_smote_stores_rows_once_and_cells_follow_the_class(spark, monkeypatch):
     listed, blocks = [], neighbours._blocks
     monkeypatch.setattr(neighbours, "_blocks", lambda *a: listed.append(blocks(*a)) or listed[-1])
     points = np.random.default_rng(6).normal(size=(6000, 12))
-    label = [0 if i % 24 == 0 and i < 1000 else i % 8 for i in range(6000)]
+    label = [0 if i % 3 == 0 and i < 1000 else i % 8 for i in range(6000)]
     rows = spark.createDataFrame([(i, y, p.tolist()) for i, (y, p) in enumerate(zip(label, points, strict=True))], "id long, y int, v array<double>")
     sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     made = neighbours.smote(rows, "y", "id", "v", 3).toPandas()
